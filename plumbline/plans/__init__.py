@@ -1 +1 @@
-"""plans"""
+"""Compositions of operators: load, corrupt, gate, remediate, train."""

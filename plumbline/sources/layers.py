@@ -11,7 +11,7 @@ import os
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from plumbline.domain import CREDIT, Domain
 from plumbline.functions.cleaning import text_nulls, truncated_int
@@ -100,8 +100,12 @@ class LayerStore:
 
     def read(self, layer: str) -> DataFrame:
         """The whole layer. Dataset ids stay text whatever they look like."""
-        df = self.spark.read.parquet(self.path(layer))
-        return df.withColumn("dataset_id", F.col("dataset_id").cast("string"))
+        return self.spark.read.schema(self.schema(layer)).parquet(self.path(layer))
+
+    def schema(self, layer: str) -> T.StructType:
+        found = self.spark.read.parquet(self.path(layer)).schema
+        return T.StructType([
+            T.StructField(f.name, T.StringType() if f.name == "dataset_id" else f.dataType) for f in found.fields])
 
     def load(self, layer: str, **filters) -> DataFrame:
         return load_rows(self.read(layer), **filters)

@@ -1 +1 @@
-"""streaming"""
+"""Incremental validation of arriving dataset versions."""
