@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import zlib
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 MASK32 = 0xFFFFFFFF
 # Odd multipliers below 2**31, so a 32-bit value times one stays inside a signed 64-bit integer.
@@ -24,36 +24,35 @@ def salts(tag: str, seed: int) -> tuple[int, int]:
     return zlib.crc32(text.encode()), zlib.crc32(text[::-1].encode())
 
 
-def integer_key(key: Column, dtype: str = "bigint") -> Column:
-    """Integer keys as they are, anything else through a 64-bit hash."""
+def integer_key(name: str, dtype: str = "bigint") -> str:
+    """SQL of an integer key: integers as they are, anything else through a 64-bit hash."""
     if dtype in ("tinyint", "smallint", "int", "bigint"):
-        return key.cast("bigint")
-    return F.xxhash64(key)
+        return f"cast(`{name}` as bigint)"
+    return f"xxhash64(`{name}`)"
 
 
-def hash32(key: Column, tag: str, seed: int = 42) -> Column:
+def key_of(df: DataFrame, name: str) -> str:
+    return integer_key(name, df.schema[name].dataType.simpleString())
+
+
+def hash32_sql(key: str, tag: str, seed: int = 42) -> str:
     """Well-mixed 32-bit hash of an integer key, as a non-negative bigint."""
     first, second = salts(tag, seed)
-    mask = F.lit(MASK32)
-    key = key.cast("bigint")
-    high = (F.shiftright(key, 32).bitwiseAND(mask) * F.lit(MUL_HIGH)).bitwiseAND(mask)
-    x = key.bitwiseAND(mask).bitwiseXOR(high).bitwiseXOR(F.lit(first).cast("bigint"))
-    x = (x * F.lit(MUL_FIRST)).bitwiseAND(mask)
-    x = x.bitwiseXOR(F.shiftright(x, 15)) + F.lit(second)
-    x = (x * F.lit(MUL_SECOND)).bitwiseAND(mask)
-    return x.bitwiseXOR(F.shiftright(x, 16))
+    x = f"(({key} & {MASK32}L) ^ (((shiftright({key}, 32) & {MASK32}L) * {MUL_HIGH}L) & {MASK32}L) ^ {first}L)"
+    x = f"(({x} * {MUL_FIRST}L) & {MASK32}L)"
+    x = f"((({x} ^ shiftright({x}, 15)) + {second}L) * {MUL_SECOND}L & {MASK32}L)"
+    return f"({x} ^ shiftright({x}, 16))"
 
 
-def uniform(key: Column, tag: str, seed: int = 42) -> Column:
-    """Uniform draw in [0, 1)."""
-    return hash32(key, tag, seed) / F.lit(4294967296.0)
+def uniform(key: str, tag: str, seed: int = 42) -> Column:
+    """Uniform draw in [0, 1) from the SQL of an integer key."""
+    return F.expr(f"{hash32_sql(key, tag, seed)} / 4294967296.0D")
 
 
-def ticket(key: Column, tag: str, seed: int = 42) -> Column:
+def ticket(key: str, tag: str, seed: int = 42) -> Column:
     """53-bit draw to order rows by; ties are possible but rare, break them by key."""
-    return hash32(key, tag + "|hi", seed) * F.lit(2097152) + F.shiftright(
-        hash32(key, tag + "|lo", seed), 11
-    )
+    high, low = hash32_sql(key, tag + "|hi", seed), hash32_sql(key, tag + "|lo", seed)
+    return F.expr(f"{high} * 2097152L + shiftright({low}, 11)")
 
 
 def pick(choices: list, draw: Column) -> Column:

@@ -5,17 +5,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from plumbline.domain import CREDIT, Domain, level
-from plumbline.functions.draws import between, integer_key, pick, ticket, uniform
+from plumbline.functions.draws import between, key_of, pick, ticket, uniform
 from plumbline.operators import stats
 
 
-def _key(df: DataFrame, key: str) -> Column:
-    return integer_key(F.col(key), df.schema[key].dataType.simpleString())
-
-
 def missing_values(df: DataFrame, scenario: str, domain: Domain = CREDIT, *, key: str = "id", seed: int = 42,
                    fraction: float | None = None) -> DataFrame:
     """NULL in an exact number of rows per column, where the table has more rows than that.
@@ -23,7 +19,7 @@ def missing_values(df: DataFrame, scenario: str, domain: Domain = CREDIT, *, key
     ``fraction`` nulls that share of the rows instead, without looking at the table first.
     """
     counts = {c: k for c, k in domain.missing_counts[level(scenario)].items() if c in df.columns}
-    k = _key(df, key)
+    k = key_of(df, key)
     if fraction is not None:
         hits = {c: uniform(k, f"missing:{c}:u", seed) < F.lit(float(fraction)) for c in counts}
     else:
@@ -31,14 +27,15 @@ def missing_values(df: DataFrame, scenario: str, domain: Domain = CREDIT, *, key
         # a cut that would take every row takes none: the count must stay below the table's size
         rows = df.count()
         tickets = {c: t for c, t in tickets.items() if t[1][0] < rows}
-        hits = {c: p[0] for c, p in stats.ticket_cuts(df, tickets, k).items()} if tickets else {}
+        cuts = stats.ticket_cuts(df, tickets, F.expr(k), counts=dict.fromkeys(tickets, rows)) if tickets else {}
+        hits = {c: p[0] for c, p in cuts.items()}
     return df.withColumns({c: F.when(~hit, F.col(c)) for c, hit in hits.items()})
 
 
 def outliers(df: DataFrame, scenario: str, domain: Domain = CREDIT, *, key: str = "id", seed: int = 42) -> DataFrame:
     """Multiply some numbers out of range, replace some of those by a fixed extreme."""
     params = domain.outliers[level(scenario)]
-    k = _key(df, key)
+    k = key_of(df, key)
     changed = {}
     for c, p in params.probability.items():
         if c not in df.columns:
@@ -62,7 +59,7 @@ def categorical_errors(df: DataFrame, scenario: str, domain: Domain = CREDIT, *,
                        seed: int = 42) -> DataFrame:
     """Replace some categories by values outside the column's domain."""
     p, columns = domain.category_errors[level(scenario)]
-    k = _key(df, key)
+    k = key_of(df, key)
     return df.withColumns({
         c: F.when(uniform(k, f"category:{c}:hit", seed) < F.lit(p),
                   pick(list(domain.invalid_values[c]), uniform(k, f"category:{c}:pick", seed))).otherwise(F.col(c))
@@ -76,7 +73,7 @@ def label_errors(df: DataFrame, scenario: str, domain: Domain = CREDIT, *, key:
     p = domain.label_flip[level(scenario)] if prob is None else prob
     label = F.col(domain.target)
     return df.withColumn(domain.target, F.when(
-        uniform(_key(df, key), "label:hit", seed) < F.lit(float(p)), (F.lit(3) - label).cast(df.schema[domain.target].dataType)
+        uniform(key_of(df, key), "label:hit", seed) < F.lit(float(p)), (F.lit(3) - label).cast(df.schema[domain.target].dataType)
     ).otherwise(label))
 
 
@@ -84,7 +81,7 @@ def relationship_violations(df: DataFrame, scenario: str, domain: Domain = CREDI
                             seed: int = 42) -> DataFrame:
     """Make the duration larger than the amount in some rows with a positive amount."""
     p = domain.relation[level(scenario)]
-    k = _key(df, key)
+    k = key_of(df, key)
     amount = F.col(domain.amount).cast("double")
     hit = (uniform(k, "relation:hit", seed) < F.lit(p)) & (amount > 0)
     return df.withColumn(domain.duration, F.when(

@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from plumbline.functions.draws import integer_key, ticket
+from plumbline.functions.draws import key_of, ticket
 from plumbline.operators import stats
 from plumbline.sources.staging import staged
 
@@ -69,11 +69,11 @@ def fit(df: DataFrame, columns: Sequence[str], *, key: str = "id", seed: int = 4
         raise ValueError("an isolation forest needs rows")
     size = min(TREE_ROWS, n)
     pool_rows = min(n, trees * TREE_ROWS)
-    k = integer_key(F.col(key), df.schema[key].dataType.simpleString())
+    k = key_of(df, key)
     draw = ticket(k, "isolation", seed)
-    taken = stats.ticket_cuts(df, {"pool": (draw, [pool_rows])}, k)["pool"][0]
+    taken = stats.ticket_cuts(df, {"pool": (draw, [pool_rows])}, F.expr(k))["pool"][0]
     pool = (
-        df.filter(taken).select(draw.alias("draw"), k.alias("key"), *_values(df, columns, about))
+        df.filter(taken).select(draw.alias("draw"), F.expr(k).alias("key"), *_values(df, columns, about))
         .withColumn("rank", F.row_number().over(Window.orderBy("draw", "key")) - 1)  # at most pool_rows rows
     )
     # positions of every tree: distinct within a tree, since its stride shares no factor with the pool

@@ -245,6 +245,7 @@ def ticket_cuts(
     accuracy: int = ACCURACY,
     small_rows: int = SMALL_ROWS,
     few: int = 10_000,
+    counts: Mapping[str, int] | None = None,
 ) -> dict[str, list[Column]]:
     """Predicates that hold for exactly the k rows with the smallest (ticket, key).
 
@@ -258,7 +259,7 @@ def ticket_cuts(
     """
     out = {n: [F.lit(False)] * len(ks) for n, (_, ks) in wanted.items()}
     tickets = {n: t for n, (t, _) in wanted.items()}
-    counts = scalars(df, {n: F.count(t) for n, t in tickets.items()})
+    counts = counts or scalars(df, {n: F.count(t) for n, t in tickets.items()})
     long, short = [], []
     for n, (_, ks) in wanted.items():
         for i, k in enumerate(ks):
