@@ -1,4 +1,4 @@
 """Registered queries and the SQL each is checked against."""
 
 from catalog.registry import CHECKS, QUERIES  # noqa: F401
-from catalog import validation, corruption, repairs, drifts  # noqa: E402,F401
+from catalog import validation, corruption, repairs, drifts, storage, modelling, flow  # noqa: E402,F401

@@ -28,7 +28,8 @@ def shown(df: DataFrame, digits: int | None = None, columns=("id", *NAMES)) -> D
         if c == "id" or c in TEXTS:
             return F.col(c)
         v = F.col(c).cast("double")
-        return (F.round(v, digits) if digits is not None else v).alias(c)
+        places = 6 if c == "avg_discount" else digits
+        return (F.round(v, places) if digits is not None else v).alias(c)
     return df.select(*[one(c) for c in columns])
 
 

@@ -83,7 +83,7 @@ def r9(spark, folder):
     return shown(repair.multivariate_outliers(corrupted(spark, folder), q.NUMBERS, trees=50))
 
 
-@query("r9_cap_flagged", _on_corrupted(*q.cap("repaired", "corrupted", q.BETWEEN_COLUMNS, "priority = '1-URGENT'", "isolated")))
+@query("r9_cap_flagged", _on_corrupted(*q.cap("repaired", "corrupted", q.BETWEEN_COLUMNS, "coalesce(priority = '1-URGENT', false)", "isolated")))
 def r9b(spark, folder):
     df = corrupted(spark, folder)
     return shown(repair.cap_outliers(df, q.BETWEEN_COLUMNS, flag=F.coalesce(F.col("priority") == "1-URGENT", F.lit(False)),

@@ -261,5 +261,7 @@ def shown(source: str, digits: int | None = None, columns=("id", *NAMES)) -> str
         if c == "id" or c in TEXTS:
             return c
         v = f"CAST({c} AS DOUBLE)"
-        return f"round({v}, {digits}) AS {c}" if digits is not None else f"{v} AS {c}"
+        # the average discount is given to six places, fewer would round halves
+        places = 6 if c == "avg_discount" else digits
+        return f"round({v}, {places}) AS {c}" if digits is not None else f"{v} AS {c}"
     return "SELECT " + ", ".join(one(c) for c in columns) + f" FROM {source}"
