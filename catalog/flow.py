@@ -87,8 +87,9 @@ def f5(spark, folder):
 
 @query("f6_arrivals", q.with_ctes(
     *CORRUPTED, *q.conjoined("lighter", "applications", "light"),
-    f"arrived AS ({q.shown('corrupted').replace('SELECT', '''SELECT 'corrupt_1' AS dataset_id,''', 1)} UNION ALL "
-    f"{q.shown('lighter').replace('SELECT', '''SELECT 'corrupt_2' AS dataset_id,''', 1)})",
+    q.step("kept_1", "corrupted", {"n_lines": "trunc(n_lines)"}), q.step("kept_2", "lighter", {"n_lines": "trunc(n_lines)"}),
+    f"arrived AS ({q.shown('kept_1').replace('SELECT', '''SELECT 'corrupt_1' AS dataset_id,''', 1)} UNION ALL "
+    f"{q.shown('kept_2').replace('SELECT', '''SELECT 'corrupt_2' AS dataset_id,''', 1)})",
     q.suite_results("found", "arrived", SUITE, ("dataset_id",)), select=f"SELECT dataset_id, {q.SHOW_RESULTS} FROM found"))
 def f6(spark, folder):
     store = _store(spark)

@@ -226,8 +226,8 @@ def q2(spark, folder):
 # --- model log ------------------------------------------------------------------------
 
 ML_LOG = [RAW, *metrics_sql("raw", GROUPS), """
-ml AS (SELECT m.*, row_number() OVER (PARTITION BY m.dataset_id, m.run_id ORDER BY accuracy DESC, model) = 1 AS is_best_model, t.at
-       FROM metrics m JOIN (SELECT dataset_id, run_id, max(loaded_at) AS at FROM raw GROUP BY 1, 2) t
+ml AS (SELECT m.*, row_number() OVER (PARTITION BY m.dataset_id, m.run_id ORDER BY accuracy DESC, model) = 1 AS is_best_model, t.loaded
+       FROM metrics m JOIN (SELECT dataset_id, run_id, max(loaded_at) AS loaded FROM raw GROUP BY 1, 2) t
        ON m.dataset_id = t.dataset_id AND m.run_id = t.run_id)"""]
 
 
@@ -243,7 +243,7 @@ def _ml_log(spark, folder):
         four | {"f1_score": F.round("f1", 4), "model_name": F.col("model")}).drop("f1", "model")
 
 
-AT = "strftime(at, '%Y-%m-%d %H:%M:%S') AS created_at"
+AT = "strftime(loaded, '%Y-%m-%d %H:%M:%S') AS created_at"
 SHORT = f"model AS model_name, round(accuracy, 4) AS accuracy, round(roc_auc, 4) AS roc_auc, {AT}"
 
 
@@ -253,7 +253,7 @@ def q3(spark, folder):
 
 
 @query("q5_best_models", q.with_ctes(*ML_LOG, select=f"""
-SELECT {SHORT} FROM ml WHERE dataset_id = 'il_1995' AND is_best_model ORDER BY at DESC, model LIMIT 3"""))
+SELECT {SHORT} FROM ml WHERE dataset_id = 'il_1995' AND is_best_model ORDER BY loaded DESC, model LIMIT 3"""))
 def q5(spark, folder):
     return _stamped(results.best_models(_ml_log(spark, folder), "il_1995", 3), "created_at")
 
@@ -267,6 +267,6 @@ def q6(spark, folder):
 
 @query("q7_performance_history", q.with_ctes(*ML_LOG, select=f"""
 SELECT run_id, round(accuracy, 4) AS accuracy, round(roc_auc, 4) AS roc_auc, {AT} FROM ml
-WHERE dataset_id = 'il_1996' AND model = 'by_quantity' ORDER BY at DESC, run_id DESC LIMIT 3"""))
+WHERE dataset_id = 'il_1996' AND model = 'by_quantity' ORDER BY loaded DESC, run_id DESC LIMIT 3"""))
 def q7(spark, folder):
     return _stamped(results.performance_history(_ml_log(spark, folder), "il_1996", "by_quantity", 3), "created_at")
