@@ -14,11 +14,23 @@ NAMES = list(COLUMNS)
 NUMBERS = [c for c, t in COLUMNS.items() if t != "string"]
 TEXTS = [c for c, t in COLUMNS.items() if t == "string"]
 
-APPLICATIONS_CTE = """applications AS (
+def with_ctes(*ctes: str, select: str) -> str:
+    return "WITH " + ",\n".join((APPLICATIONS_CTE, *ctes)) + "\n" + select
+
+
+def half(key: str, first: int, second: int) -> str:
+    k = f"CAST({key} AS BIGINT)"
+    x = f"xor(({k} & {MASK}), (((({k} >> 32) & {MASK}) * 739982445) & {MASK}))"
+    x = f"(({x} * {first}) & {MASK})"
+    return f"((xor({x}, ({x} >> 15)) * {second}) & {MASK})"
+
+
+APPLICATIONS_CTE = f"""applications AS (
   SELECT o.o_orderkey AS id, o.o_orderstatus AS status, o.o_orderpriority AS priority,
          c.c_mktsegment AS segment, r.r_name AS region, o.o_totalprice AS amount,
          l.total_qty, l.avg_qty, l.n_lines, l.avg_discount,
-         CAST(1 + coalesce(l.returned, 0) AS INTEGER) AS category, o.o_orderdate AS ordered_at
+         CAST(1 + coalesce(l.returned, 0) AS INTEGER) AS category, o.o_orderdate AS ordered_at,
+         {half('o.o_orderkey', 2146121005, 830770091)} AS ka, {half('o.o_orderkey', 830770091, 739982445)} AS kb
   FROM orders o
   LEFT JOIN (SELECT l_orderkey, sum(l_quantity) AS total_qty, avg(l_quantity) AS avg_qty,
                     CAST(count(*) AS INTEGER) AS n_lines, round(avg(l_discount), 6) AS avg_discount,
@@ -29,26 +41,19 @@ APPLICATIONS_CTE = """applications AS (
   LEFT JOIN region r ON n.n_regionkey = r.r_regionkey)"""
 
 
-def with_ctes(*ctes: str, select: str) -> str:
-    return "WITH " + ",\n".join((APPLICATIONS_CTE, *ctes)) + "\n" + select
-
-
-def hash32(key: str, tag: str, seed: int = 42) -> str:
-    text = f"{seed}:{tag}"
-    first, second = zlib.crc32(text.encode()), zlib.crc32(text[::-1].encode())
-    k = f"CAST({key} AS BIGINT)"
-    x = f"xor(xor(({k} & {MASK}), (((({k} >> 32) & {MASK}) * 739982445) & {MASK})), {first})"
-    x = f"(({x} * 2146121005) & {MASK})"
-    x = f"(((xor({x}, ({x} >> 15)) + {second}) * 830770091) & {MASK})"
-    return f"xor({x}, ({x} >> 16))"
+def hash32(tag: str, seed: int = 42) -> str:
+    salt = f"{seed}:{tag}"
+    first, second = zlib.crc32(salt.encode()), zlib.crc32(salt[::-1].encode())
+    x = f"(xor((xor(ka, {first}) * 2146121005), kb) & {MASK})"
+    return f"((((xor({x}, ({x} >> 15)) + {second}) & {MASK}) * 830770091) & {MASK})"
 
 
-def u(tag: str, seed: int = 42, key: str = "id") -> str:
-    return f"({hash32(key, tag, seed)} / CAST(4294967296 AS DOUBLE))"
+def u(tag: str, seed: int = 42) -> str:
+    return f"({hash32(tag, seed)} / CAST(4294967296 AS DOUBLE))"
 
 
-def ticket(tag: str, seed: int = 42, key: str = "id") -> str:
-    return f"({hash32(key, tag + '|hi', seed)} * 2097152 + ({hash32(key, tag + '|lo', seed)} >> 11))"
+def ticket(tag: str, seed: int = 42) -> str:
+    return f"({hash32(tag + '|hi', seed)} * 2097152 + ({hash32(tag + '|lo', seed)} >> 11))"
 
 
 def num(x: float) -> str:
@@ -67,7 +72,7 @@ def choose(values: list[str], draw: str) -> str:
     return f"list_extract([{', '.join(values)}], CAST(floor({draw} * {num(len(values))}) + 1 AS BIGINT))"
 
 
-def step(name: str, source: str, changes: dict[str, str], columns=("id", *NAMES)) -> str:
+def step(name: str, source: str, changes: dict[str, str], columns=("id", *NAMES, "ka", "kb")) -> str:
     """A CTE that changes some columns of its source and keeps the others."""
     return f"{name} AS (SELECT " + ", ".join(
         f"{changes[c]} AS {c}" if c in changes else c for c in columns) + f" FROM {source})"
@@ -198,7 +203,7 @@ def fill(name: str, source: str, columns, suite) -> str:
     return step(name, source, changes)
 
 
-def cap(name: str, source: str, columns, flag: str = "true", tag: str = "cap", keep=("id", *NAMES)) -> list[str]:
+def cap(name: str, source: str, columns, flag: str = "true", tag: str = "cap", keep=("id", *NAMES, "ka", "kb")) -> list[str]:
     """Two CTEs: statistics per column, then the capped table."""
     stats = ", ".join(
         f"quantile_cont(CAST({c} AS DOUBLE), 0.25) AS {c}_q1, quantile_cont(CAST({c} AS DOUBLE), 0.75) AS {c}_q3" for c in columns)

@@ -113,16 +113,19 @@ def unexpected_rows(df: DataFrame, suite: Suite, key: str = "id") -> DataFrame:
 
     Lazy and distributed: violating cells stay rows, nothing is gathered.
     """
-    cells = []
+    found, types, values = [], {}, F.lit(None).cast("string")
     for i, e in enumerate(suite.expectations):
         rule = rules.build(df, e)
         if rule.unexpected is None:
             continue
+        found.append(F.when(rule.unexpected, F.lit(i)))
+        types[i] = e.type
         value = rule.subject.cast("string") if e.column else F.to_json(rule.subject)
-        cells.append(F.when(rule.unexpected, F.struct(
-            F.lit(i).alias("idx"), F.lit(e.type).alias("expectation_type"), value.alias("value"),
-        )))
-    if not cells:
+        values = F.when(F.col("idx") == i, value).otherwise(values)
+    if not found:
         return df.select(key).filter(F.lit(False)).selectExpr(
             key, "cast(null as int) idx", "cast(null as string) expectation_type", "cast(null as string) value")
-    return df.select(key, F.inline(F.array(*cells))).filter(F.col("idx").isNotNull())
+    # only numbers of broken rules are generated; type and value are looked up for those alone
+    names = F.create_map(*[F.lit(x) for pair in types.items() for x in pair])
+    broken = df.select("*", F.explode(F.array(*found)).alias("idx")).filter(F.col("idx").isNotNull())
+    return broken.select(key, "idx", names[F.col("idx")].alias("expectation_type"), values.alias("value"))

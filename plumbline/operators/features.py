@@ -9,7 +9,7 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
 
 from plumbline.functions.cleaning import numeric_columns, text_columns
-from plumbline.functions.draws import key_of, ticket
+from plumbline.functions.draws import key_of, ticket, with_key, without_key
 from plumbline.operators import stats
 
 UNKNOWN = "UNKNOWN"
@@ -77,10 +77,9 @@ def vectorize(train: DataFrame, others: Sequence[DataFrame], columns: Sequence[s
 
 
 def _label_tickets(df: DataFrame, label: str, key: str, tag: str, seed: int):
-    k = key_of(df, key)
-    draw = ticket(k, tag, seed)
+    draw = ticket(tag, seed)
     sizes = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per class
-    return F.expr(k), {value: (F.when(F.col(label) == F.lit(value), draw), n) for value, n in sizes.items() if value is not None}
+    return F.expr(key_of(df, key)), {value: (F.when(F.col(label) == F.lit(value), draw), n) for value, n in sizes.items() if value is not None}
 
 
 def stratified_split(df: DataFrame, label: str = "label", *, test_size: float = 0.2, key: str = "id",
@@ -88,21 +87,23 @@ def stratified_split(df: DataFrame, label: str = "label", *, test_size: float =
     """Mark ``test_size`` of every class, rounded, as test rows. The class sizes and one threshold
     per class decide it, so no class is ever sorted in one task. ``exact=False`` only draws."""
     if not exact:
-        k = key_of(df, key)
-        return df.withColumn(output, ticket(k, "split", seed) < F.lit(int(test_size * (1 << 53))))
+        drawn = with_key(df, key).withColumn(output, ticket("split", seed) < F.lit(int(test_size * (1 << 53))))
+        return without_key(drawn)
+    df = with_key(df, key)
     k, classes = _label_tickets(df, label, key, "split", seed)
     cuts = stats.ticket_cuts(df, {str(v): (t, [int(test_size * n + 0.5)]) for v, (t, n) in classes.items()}, k,
                              counts={str(v): n for v, (_, n) in classes.items()})
     chosen = F.lit(False)
     for v in classes:
         chosen = chosen | cuts[str(v)][0]
-    return df.withColumn(output, chosen)
+    return without_key(df.withColumn(output, chosen))
 
 
 def stratified_folds(df: DataFrame, label: str = "label", *, folds: int = 5, key: str = "id", seed: int = 42,
                      output: str = "fold") -> DataFrame:
     """Number every row 0..folds-1, evenly within each class: the shuffled class is cut into
     ``folds`` runs whose sizes differ by one at most."""
+    df = with_key(df, key)
     k, classes = _label_tickets(df, label, key, "fold", seed)
     ends = {v: [i * (n // folds) + min(i, n % folds) for i in range(1, folds)] for v, (_, n) in classes.items()}
     cuts = stats.ticket_cuts(df, {str(v): (t, ends[v]) for v, (t, _) in classes.items()}, k,
@@ -113,7 +114,7 @@ def stratified_folds(df: DataFrame, label: str = "label", *, folds: int = 5, key
         for i in reversed(range(folds - 1)):
             inside = F.when(cuts[str(v)][i], F.lit(i)).otherwise(inside)
         fold = F.when(F.col(label) == F.lit(v), inside).otherwise(fold)
-    return df.withColumn(output, fold)
+    return without_key(df.withColumn(output, fold))
 
 
 def class_weights(df: DataFrame, label: str = "label", output: str = "weight") -> DataFrame:

@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from plumbline.functions.draws import key_of, ticket
+from plumbline.functions.draws import key_of, ticket, with_key
 from plumbline.operators import stats
 from plumbline.sources.staging import staged
 
@@ -69,8 +69,8 @@ def fit(df: DataFrame, columns: Sequence[str], *, key: str = "id", seed: int = 4
         raise ValueError("an isolation forest needs rows")
     size = min(TREE_ROWS, n)
     pool_rows = min(n, trees * TREE_ROWS)
-    k = key_of(df, key)
-    draw = ticket(k, "isolation", seed)
+    k, draw = key_of(df, key), ticket("isolation", seed)
+    df = with_key(df, key)
     taken = stats.ticket_cuts(df, {"pool": (draw, [pool_rows])}, F.expr(k))["pool"][0]
     pool = (
         df.filter(taken).select(draw.alias("draw"), F.expr(k).alias("key"), *_values(df, columns, about))

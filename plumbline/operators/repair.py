@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from plumbline.domain import CREDIT, Domain
 from plumbline.functions.cleaning import numeric_columns, text_columns
-from plumbline.functions.draws import between, key_of, uniform
+from plumbline.functions.draws import between, uniform, with_key, without_key
 from plumbline.operators import impute, isolation, stats
 from plumbline.operators.expectations import Suite
 from plumbline.sources.staging import staged
@@ -101,7 +101,6 @@ def cap_outliers(df: DataFrame, columns: Sequence[str], *, key: str = "id", seed
     normal = stats.quantiles(df, {
         c: (F.when(~h, value[c]), [0.75, 0.95]) for c, h in high.items()
     }, rows=rows)
-    k = key_of(df, key)
     changed = {}
     for c, h in high.items():
         low, top = normal[c]
@@ -110,9 +109,9 @@ def cap_outliers(df: DataFrame, columns: Sequence[str], *, key: str = "id", seed
         elif low == top:
             new = F.lit(min(bounds[c], top))
         else:
-            new = between(low, top, uniform(k, f"{tag}:{c}", seed))
+            new = between(low, top, uniform(f"{tag}:{c}", seed))
         changed[c] = F.when(h, new).otherwise(value[c])
-    return df.withColumns(changed)
+    return without_key(with_key(df, key).withColumns(changed)) if changed else df
 
 
 def fix_categories(df: DataFrame, columns: Sequence[str], suite: Suite) -> DataFrame:
@@ -126,10 +125,9 @@ def fix_categories(df: DataFrame, columns: Sequence[str], suite: Suite) -> DataF
 
 def fix_pair(df: DataFrame, domain: Domain = CREDIT, *, key: str = "id", seed: int = 42) -> DataFrame:
     """Where the amount is below the duration, 10 to 50 times the duration."""
-    k = key_of(df, key)
     amount, duration = F.col(domain.amount).cast("double"), F.col(domain.duration).cast("double")
-    return df.withColumn(domain.amount, F.when(
-        amount < duration, duration * between(10, 50, uniform(k, "pair", seed))).otherwise(amount))
+    return without_key(with_key(df, key).withColumn(domain.amount, F.when(
+        amount < duration, duration * between(10, 50, uniform("pair", seed))).otherwise(amount)))
 
 
 def fix_range(df: DataFrame, domain: Domain = CREDIT, rows: int | None = None) -> DataFrame:

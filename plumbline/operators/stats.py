@@ -277,19 +277,25 @@ def ticket_cuts(
         for n, _, k in short:
             largest[n] = max(k, largest.get(n, 0))
         bounds = {n: span * min(1.0, (k + 8 * math.sqrt(k) + 40) / counts[n]) for n, k in largest.items()}
+        # the tickets get a projection of their own, so that each is computed once per row
+        drawn = df.select(key.alias("key"), *[tickets[n].alias(f"t{j}") for j, n in enumerate(bounds)])
         cells = F.array(*[
-            F.when(tickets[n] < F.lit(b), F.struct(F.lit(n).alias("name"), tickets[n].alias("ticket"), key.alias("key")))
-            for n, b in bounds.items()
+            F.when(F.col(f"t{j}") < F.lit(b), F.struct(F.lit(n).alias("name"), F.col(f"t{j}").alias("ticket"), F.col("key")))
+            for j, (n, b) in enumerate(bounds.items())
         ])
-        ranked = df.select(F.inline(cells)).filter(F.col("name").isNotNull()).withColumn(
+        ranked = drawn.select(F.inline(cells)).filter(F.col("name").isNotNull()).withColumn(
             "k", F.row_number().over(Window.partitionBy("name").orderBy("ticket", "key")))
         hits = F.lit(False)
         for n, _, k in short:
-            hits = hits | ((F.col("name") == n) & (F.col("k") == k))
-        ends = {(r["name"], r["k"]): r for r in ranked.filter(hits).collect()}  # one row per cut
+            hits = hits | ((F.col("name") == n) & F.col("k").isin(k, k + 1))
+        ends = {(r["name"], r["k"]): r for r in ranked.filter(hits).collect()}  # two rows per cut
         for n, i, k in short:
             if (n, k) in ends:
-                out[n][i] = upto(tickets[n], ends[n, k]["ticket"], ends[n, k]["key"])
+                last, following = ends[n, k], ends.get((n, k + 1))
+                if following is None or following["ticket"] != last["ticket"]:
+                    out[n][i] = F.coalesce(tickets[n] <= F.lit(last["ticket"]), F.lit(False))
+                else:
+                    out[n][i] = upto(tickets[n], last["ticket"], last["key"])
             else:
                 long.append((n, i, k))
     if not long:

@@ -7,14 +7,28 @@ import os
 from pyspark.sql import SparkSession
 
 
+# Runtime settings worth having on any cluster: re-planning at run time, and methods beyond the
+# JIT's limit compiled per operator instead of being interpreted.
+SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    for name, value in SETTINGS.items():
+        spark.conf.set(name, value)
+    return spark
+
+
 def local_session(cpus: str | int = "*", app: str = "plumbline") -> SparkSession:
     cores = os.cpu_count() if cpus == "*" else int(cpus)
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(cores))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "8g")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
@@ -23,4 +37,4 @@ def local_session(cpus: str | int = "*", app: str = "plumbline") -> SparkSession
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    return spark
+    return tune(spark)
