@@ -15,16 +15,20 @@ from pyspark.sql import DataFrame, SparkSession
 SETTING = "spark.checkpoint.dir"
 
 
+_own: dict[str, str] = {}  # by application, for local sessions without a setting
+
+
 def shared_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir`` of the session; a local session without one gets its own."""
-    folder = spark.conf.get(SETTING, None) or spark.sparkContext.getConf().get(SETTING, None)
+    context = spark.sparkContext
+    folder = spark.conf.get(SETTING, None) or context.getConf().get(SETTING, None) or context.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {SETTING} to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="plumbline-")
-    spark.conf.set(SETTING, folder)
-    return folder
+    if context.applicationId not in _own:
+        _own[context.applicationId] = tempfile.mkdtemp(prefix="plumbline-")
+    return _own[context.applicationId]
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
