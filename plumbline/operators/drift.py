@@ -49,19 +49,23 @@ def cut_edges(low: float, high: float, bins: int) -> list[float]:
     return histogram_edges(low, high, bins)
 
 
-def _left_closed(value: Column, edges: list[float]) -> Column:
-    return _steps([value >= F.lit(e) for e in edges[1:-1]])
+def _guess(value: str, edges: list[float]) -> Column:
+    """Bin by division, at most one off the bin that the edges say; beyond the ends the end bin."""
+    bins = len(edges) - 1
+    width = (edges[-1] - edges[0]) / bins
+    return F.expr(f"cast(least(greatest(floor(({value} - ({edges[0]!r}D)) / {width!r}D), 0), {bins - 1}) as int)")
 
 
-def _right_closed(value: Column, edges: list[float]) -> Column:
-    return _steps([value > F.lit(e) for e in edges[1:-1]])
-
-
-def _steps(tests: list[Column]) -> Column:
-    out = F.lit(0)
-    for t in tests:
-        out = out + t.cast("int")
-    return out
+def _settled(value: str, guess: str, edges: list[float], right_closed: bool) -> Column:
+    """The guess corrected by its own edges; inner edges belong to the upper bin, or to the lower
+    one where bins are right-closed. Ends are open."""
+    bins = len(edges) - 1
+    at = f"array({', '.join(f'{e!r}D' for e in edges)})"
+    below, above = ("<=", ">") if right_closed else ("<", ">=")
+    return F.expr(
+        f"case when {value} is null then null "
+        f"when {guess} > 0 and {value} {below} element_at({at}, {guess} + 1) then {guess} - 1 "
+        f"when {guess} < {bins - 1} and {value} {above} element_at({at}, {guess} + 2) then {guess} + 1 else {guess} end")
 
 
 def edge_labels(low: float, high: float, bins: int) -> list[tuple[float, float]]:
@@ -86,16 +90,18 @@ def edge_labels(low: float, high: float, bins: int) -> list[tuple[float, float]]
 
 
 def _cells(df: DataFrame, side: int, cats: Sequence[str], nums: Sequence[str], edges: dict) -> DataFrame:
+    # values, guesses, bins and cells in projections of their own: each is computed once per row
+    cut = [(i, c, metric, e) for i, c in enumerate(nums) for metric, e in zip(("kl", "psi"), edges[c, side]) if e]
+    df = df.select(*[F.col(c).cast("string").alias(f"s{i}") for i, c in enumerate(cats)],
+                   *[to_number(F.col(c)).alias(f"v{i}") for i, c in enumerate(nums)])
+    df = df.select("*", *[_guess(f"v{i}", e).alias(f"g{i}_{m}") for i, _, m, e in cut])
+    df = df.select(*[f"s{i}" for i in range(len(cats))], *[
+        _settled(f"v{i}", f"g{i}_{m}", e, m == "psi").alias(f"b{i}_{m}")
+        for i, _, m, e in cut])
     cell = lambda name, metric, value: F.struct(
         F.lit(name).alias("column"), F.lit(metric).alias("metric"), value.cast("string").alias("cell"))
-    cells = [cell(c, "kl", F.col(c)) for c in cats]
-    for c in nums:
-        kl, psi = edges[c, side]
-        value = to_number(F.col(c))
-        if kl:
-            cells.append(cell(c, "kl", F.when(value.isNotNull(), _left_closed(value, kl))))
-        if psi:
-            cells.append(cell(c, "psi", F.when(value.isNotNull(), _right_closed(value, psi))))
+    cells = [cell(c, "kl", F.col(f"s{i}")) for i, c in enumerate(cats)]
+    cells += [cell(c, m, F.col(f"b{i}_{m}")) for i, c, m, _ in cut]
     return (
         df.select(F.inline(F.array(*cells))).filter(F.col("cell").isNotNull())
         .select("*", F.lit(side).alias("side"))

@@ -62,22 +62,31 @@ def _bucket(score: Column, cuts: list[float]) -> Column:
     return half(0, len(cuts))
 
 
-def roc_auc(scored: DataFrame, keys: Sequence[str] = (), buckets: int = 128) -> DataFrame:
+def roc_auc(scored: DataFrame, keys: Sequence[str] = (), buckets: int = 128, splits: int = 64) -> DataFrame:
     """Area under the ROC curve with half credit for ties, exact.
 
-    Counts per distinct score are cut into score ranges of about equal size, so the running
-    count that ranks need is taken within a range and over the few ranges, never over all
-    scores in one task. Keys without both classes give NULL."""
-    shares = [i / buckets for i in range(1, buckets)]
-    cuts = scored.agg(F.percentile_approx("score", shares, 10_000).alias("c")).first()["c"] or []
+    Counts per distinct score are cut into score ranges: ``buckets`` that hold about equally many
+    rows, each in ``splits`` equal widths. The running count that ranks need is taken within a
+    range and over the ranges (8192 per key by default), never over all scores in one task; a
+    score that many rows share is one count. Keys without both classes give NULL."""
+    shares = [i / buckets for i in range(buckets + 1)]
+    ends = scored.agg(F.percentile_approx("score", shares, 10_000).alias("c")).first()["c"] or [0.0]
+    ends = sorted(set(ends))
+    bucket = _bucket(F.col("score"), ends[1:-1])
+    place = F.lit(0)
+    if len(ends) > 1:
+        low = F.element_at(F.array(*[F.lit(float(e)) for e in ends[:-1]]), F.col("bucket") + 1)
+        width = F.element_at(F.array(*[F.lit(float(b - a)) for a, b in zip(ends, ends[1:])]), F.col("bucket") + 1)
+        place = F.floor((F.col("score") - low) / width * F.lit(float(splits))).cast("int")
+        place = F.greatest(F.lit(0), F.least(F.lit(splits - 1), place))
     counts = (
         scored.groupBy(*keys, "score")
         .agg(F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg"))
-        .withColumn("bucket", _bucket(F.col("score"), sorted(set(cuts))))
+        .withColumn("bucket", bucket).withColumn("bucket", F.col("bucket") * splits + place)
     )
     per_bucket = counts.groupBy(*keys, "bucket").agg(F.sum("neg").alias("bucket_neg"))
     before = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    # at most ``buckets`` rows per key
+    # at most ``buckets * splits`` rows per key
     offsets = per_bucket.select(*keys, "bucket", F.coalesce(F.sum("bucket_neg").over(before), F.lit(0)).alias("offset"))
     within = Window.partitionBy(*keys, "bucket").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
     ranked = counts.withColumn("below", F.coalesce(F.sum("neg").over(within), F.lit(0)))

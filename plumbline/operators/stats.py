@@ -23,7 +23,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-SMALL_ROWS = 1_000_000
+SMALL_ROWS = 250_000
 ACCURACY = 10_000
 
 
