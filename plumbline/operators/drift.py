@@ -98,8 +98,10 @@ def _cells(df: DataFrame, side: int, cats: Sequence[str], nums: Sequence[str], e
     df = df.select(*[f"s{i}" for i in range(len(cats))], *[
         _settled(f"v{i}", f"g{i}_{m}", e, m == "psi").alias(f"b{i}_{m}")
         for i, _, m, e in cut])
+    # a number stands for (column, metric) until the counts are in: it hashes faster than two names
+    slots = {slot: i for i, slot in enumerate(_slots(cats, nums))}
     cell = lambda name, metric, value: F.struct(
-        F.lit(name).alias("column"), F.lit(metric).alias("metric"), value.cast("string").alias("cell"))
+        F.lit(slots[name, metric]).alias("slot"), value.cast("string").alias("cell"))
     cells = [cell(c, "kl", F.col(f"s{i}")) for i, c in enumerate(cats)]
     cells += [cell(c, m, F.col(f"b{i}_{m}")) for i, c, m, _ in cut]
     return (
@@ -108,6 +110,10 @@ def _cells(df: DataFrame, side: int, cats: Sequence[str], nums: Sequence[str], e
     )
 
 
+def _slots(cats: Sequence[str], nums: Sequence[str]) -> list[tuple[str, str]]:
+    return [(c, "kl") for c in cats] + [(c, m) for c in nums for m in ("kl", "psi")]
+
+
 def profile(df: DataFrame, columns: Sequence[str]) -> dict:
     """Rows, missing share, and range of the numbers: one pass."""
     measures = {"rows": F.count(F.lit(1))}
@@ -143,21 +149,26 @@ def cell_counts(before: DataFrame, after: DataFrame, columns: Sequence[str], bin
                 moved[c] = {theirs[label]: i for i, label in enumerate(edge_labels(*ranges[c, 0], PSI_BINS))
                             if label in theirs}
     counted = _cells(before, 0, cats, nums, edges).unionByName(_cells(after, 1, cats, nums, edges))
+    slots = _slots(cats, nums)
+    names = {
+        name: F.element_at(F.array(*[F.lit(slot[j]) for slot in slots]), F.col("slot") + 1)
+        for j, name in enumerate(("column", "metric"))
+    }
     if bins == "own" and nums:
         # bins of the second table get the number of the coinciding bin of the first, or a name of their own
         pairs = [(c, str(j), str(i)) for c in nums for j, i in moved.get(c, {}).items()]
         renamed = F.lit(None).cast("string")
         for c, j, i in pairs:
             renamed = F.when((F.col("column") == c) & (F.col("cell") == j), F.lit(i)).otherwise(renamed)
-        counted = counted.groupBy("column", "metric", "cell", "side").agg(F.count(F.lit(1)).alias("n")).withColumn(
+        counted = counted.groupBy("slot", "cell", "side").agg(F.count(F.lit(1)).alias("n")).withColumns(names).withColumn(
             "cell", F.when((F.col("side") == 1) & (F.col("metric") == "psi"),
                            F.coalesce(renamed, F.concat(F.lit("other "), F.col("cell")))).otherwise(F.col("cell")))
     else:
         counted = counted.withColumn("n", F.lit(1).cast("bigint"))
-    counts = counted.groupBy("column", "metric", "cell").agg(
+    counts = counted.groupBy("slot", "cell").agg(
         F.sum(F.when(F.col("side") == 0, F.col("n")).otherwise(0)).alias("n_before"),
         F.sum(F.when(F.col("side") == 1, F.col("n")).otherwise(0)).alias("n_after"),
-    )
+    ).withColumns(names).drop("slot")
     return counts, nums, widths, {c: [str(i) for i in m.values()] for c, m in moved.items()}
 
 
