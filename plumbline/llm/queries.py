@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plumbline.llm import simhash
+from plumbline.llm import decontaminate, packing, rules, simhash
 from plumbline.llm.common import table
+from plumbline.llm.oracles import DECONTAMINATION_SQL, RULES_SQL
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,6 +23,23 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_packing_tournament_ffd")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"))
+
+
+@query("op5_benchmark_decontamination", DECONTAMINATION_SQL)
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op6_quality_rule_ledger", RULES_SQL)
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    found = rules.judged(rules.ledger(table(spark, folder, "documents")))
+    base = (F.col("failed").bitwiseAND(F.lit(rules.BASE).cast("long")) != 0).alias("base_failed")
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base, "kept", "failed")
+
+
 @query("op9_simhash_covering")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
