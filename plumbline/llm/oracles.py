@@ -57,3 +57,33 @@ judged AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed & 3 <> 0 AS base_failed, failed = 0 AS kept, failed
 FROM judged
 """
+
+# Windows are cut at multiples of 1024 tokens (four bytes each and four per turn); a window repeats the system turn and the turns of the 256 tokens
+# before it.
+CHAT_SQL = r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+marked AS (
+  SELECT *, CAST(ceil(strlen(text) / 4.0) AS BIGINT) + 4 AS tokens,
+         length('<|im_start|>' || replace(replace(replace(replace(role, '\', '\s'), '<', '\l'), '[', '\b'), chr(10), '\n') || chr(10)
+           || replace(replace(replace(text, '\', '\s'), '<', '\l'), '[', '\b') || '<|im_end|>' || chr(10)) AS chars
+  FROM rows),
+placed AS (
+  SELECT *, coalesce(sum(tokens) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s
+  FROM marked),
+turns AS (
+  SELECT *, s + tokens AS e, 2 * (s // 1024) + CASE WHEN s // 1024 < (s + tokens - 1) // 1024 THEN 1 ELSE 0 END AS w FROM placed),
+wins AS (SELECT conv_id, w, min(s) AS p FROM turns GROUP BY conv_id, w),
+old AS (
+  SELECT b.conv_id, sum(chars) AS chars FROM turns a JOIN wins b ON a.conv_id IS NOT DISTINCT FROM b.conv_id AND b.p > 0
+    AND (a.e <= b.p AND a.s >= b.p - 256 AND NOT (a.s = 0 AND a.role = 'system') OR a.s = 0 AND a.role = 'system' AND b.w > a.w)
+  GROUP BY b.conv_id),
+each AS (
+  SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY s)) AS turns_sha256,
+         CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+         sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY s), '')) AS loss_sha256, sum(chars) AS chars
+  FROM turns GROUP BY conv_id)
+SELECT each.conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, CAST(each.chars + coalesce(old.chars, 0) AS BIGINT) AS formatted_chars
+FROM each LEFT JOIN old ON each.conv_id IS NOT DISTINCT FROM old.conv_id
+"""

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plumbline.llm import decontaminate, packing, rules, simhash
+from plumbline.llm import chat, decontaminate, packing, pii, rules, simhash
 from plumbline.llm.common import table
-from plumbline.llm.oracles import DECONTAMINATION_SQL, RULES_SQL
+from plumbline.llm.oracles import CHAT_SQL, DECONTAMINATION_SQL, RULES_SQL
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -28,6 +28,11 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
 
+@query("op3_pii_disclosure")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.find(table(spark, folder, "documents"))
+
+
 @query("op5_benchmark_decontamination", DECONTAMINATION_SQL)
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
@@ -43,3 +48,11 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_simhash_covering")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
+@query("op10_chat_budgeted_windows", CHAT_SQL)
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.sql(f"SELECT -7L AS conv_id, t AS turn, r AS role, '{said}' AS text FROM VALUES (0L, 'user'), (1L, 'assistant') AS v(t, r)")
+    return chat.digests(chat.windows(rows.unionByName(extra)))
