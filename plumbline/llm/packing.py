@@ -24,16 +24,28 @@ END = 0
 GROUP = 8192
 LEAST_GAP = 8
 TOKENIZER, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
-_MEMO = 300_000
+BLOCK = 256
+_MEMO = 400_000
 _SPECIAL = "<|endoftext|>"
 
 
+# Fixed: white space beside the blank and the line end.
+_OTHER = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+def _odd(text: str) -> bool:
+    """Other white space, two in a row, or some at an end."""
+    return (text[0] in " \n" or text[-1] in " \n" or "  " in text or "\n\n" in text or " \n" in text or "\n " in text
+            or any(map(text.__contains__, _OTHER)))
+
+
 class Encoder:
-    """Ids of a text under the public byte-level vocabulary, as the tokenizer file defines them.
+    """Ids of texts under the public byte-level vocabulary, as the tokenizer file defines them.
 
-    Between a character that is no white space and a space the vocabulary's pattern always breaks,
-    so such chunks are encoded apart and remembered. Chunks beyond Latin letters and texts with
-    the vocabulary's special string go to the tokenizer itself.
+    Where no white space meets other white space, the vocabulary's pattern breaks before every
+    space and around every line end. So such texts are taken apart into words, each encoded once
+    with what stands before it and remembered; the words new to a block are encoded in one call.
+    Words beyond Latin letters, other texts and the special string go to the tokenizer itself.
     """
 
     def __init__(self, folder: str | None = None):
@@ -52,39 +64,58 @@ class Encoder:
         with open(path(RANKS), "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.fast = tiktoken.Encoding("public", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.odd = regex.compile(r"\s ")
+        self.line_end = self._packed(self.fast.encode_ordinary("\n"))
         self.latin = regex.compile("[\x00-ɏ]*")
         self.memo: dict[str, bytes] = {}
 
-    def _chunk(self, chunk: str) -> bytes:
+    @staticmethod
+    def _packed(ids) -> bytes:
         import numpy as np
 
-        if self.latin.fullmatch(chunk):
-            ids = self.fast.encode_ordinary(chunk)
-        else:
-            ids = self.whole.encode(chunk, add_special_tokens=False).ids
-        out = np.array(ids, "<u4").tobytes()
-        if len(self.memo) >= _MEMO:
-            self.memo.clear()
-        if len(chunk) <= 64:
-            self.memo[chunk] = out
-        return out
+        return np.array(ids, "<u2").tobytes()  # the vocabulary has fewer than 65,536 ids
 
-    def __call__(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
+    def _learn(self, new: list[str]) -> dict[str, bytes]:
+        """Ids of words that stand after a blank, or after the line end they begin with."""
         import numpy as np
 
-        if not text:
-            return b""
-        if _SPECIAL in text:
-            return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        if self.odd.search(text):
-            return self._chunk(text)
-        first, *rest = text.split(" ")
-        get, chunk = self.memo.get, self._chunk
-        out = [get(first) or chunk(first)] if first else []
-        out += [get(c) or chunk(c) for c in [" " + w for w in rest]]
-        return b"".join(out)
+        plain = [w[1:] if w[0] == "\n" else " " + w for w in new]
+        line = "\n".join(plain)
+        if self.latin.fullmatch(line):
+            ids = np.array(self.fast.encode_ordinary(line), "<u2")
+            cuts = (2 * np.flatnonzero(ids == np.frombuffer(self.line_end, "<u2")[0])).tolist()
+            raw = ids.tobytes()
+            parts = [raw[a:b] for a, b in zip([0, *(c + 2 for c in cuts)], [*cuts, len(raw)])]
+        else:
+            parts = [self._packed(self.whole.encode(w, add_special_tokens=False).ids) for w in plain]
+        return {w: self.line_end + ids if w[0] == "\n" else ids for w, ids in zip(new, parts)}
+
+    def block(self, texts: list[str]) -> list[bytes]:
+        """Little-endian unsigned 16-bit ids of each text."""
+        if len(self.memo) > _MEMO:
+            self.memo = {}
+        get, known, new = self.memo.get, [], {}
+        for text in texts:
+            if not text or _SPECIAL in text or _odd(text):
+                known.append(None)
+                continue
+            words = ("\n" + text).replace("\n", " \n").split(" ")
+            del words[0]
+            ids = list(map(get, words))
+            known.append((words, ids))
+            if None in ids:
+                new.update(dict.fromkeys([w for w, i in zip(words, ids) if i is None]))
+        learned = self._learn(list(new)) if new else {}
+        self.memo.update(learned)
+        out = []
+        for text, pair in zip(texts, known):
+            if pair is None:
+                out.append(self._packed(self.whole.encode(text, add_special_tokens=False).ids) if text else b"")
+                continue
+            words, ids = pair
+            if None in ids:
+                ids = [learned[w] if i is None else i for w, i in zip(words, ids)]
+            out.append(b"".join(ids)[2:])  # without the line end put before the first word
+        return out
 
 
 _encoders: dict[str | None, Encoder] = {}
@@ -159,26 +190,40 @@ def topped_up(bins: list[list[int]], lengths: list[int], room: int = LENGTH) ->
     return [b for b in filled if b]
 
 
-_PIECE = "doc_id long, start long, n long, doc_tokens long, ids binary, full boolean"
+_PIECE = "doc_id long, start long, n long, doc_tokens long, full boolean, crc long, ids binary"
 _OUT = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
-def _cut(length: int, folder: str | None):
+def _wide(ids: bytes) -> bytes:
+    """From 16 to 32 bits an id."""
+    import numpy as np
+
+    return np.frombuffer(ids, "<u2").astype("<u4").tobytes()
+
+
+def _cut(length: int, folder: str | None, with_ids: bool):
     def run(batches: Iterator) -> Iterator:
+        import zlib
+
         import pyarrow as pa
 
-        encode = encoder(folder)
+        encode = encoder(folder).block
         kind = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n", pa.int64()), ("doc_tokens", pa.int64()),
-                          ("ids", pa.binary()), ("full", pa.bool_())])
-        end = END.to_bytes(4, "little")
+                          ("full", pa.bool_()), ("crc", pa.int64()), ("ids", pa.binary())])
+        end = END.to_bytes(2, "little")
         for batch in batches:
-            rows = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = encode(text.as_py() or "") + end
-                n = len(ids) // 4
-                rows += [(doc, s, min(length, n - s), n, ids[4 * s:4 * (s + length)], n - s >= length) for s in range(0, n, length)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k.type) for c, k in zip(zip(*rows), kind)] if rows else
-                                             [pa.array([], k.type) for k in kind], schema=kind)
+            for at in range(0, batch.num_rows, BLOCK):
+                part, rows = batch.slice(at, BLOCK), []
+                docs = part.column(0).to_pylist()
+                for doc, ids in zip(docs, encode(part.column(1).to_pylist())):
+                    ids += end
+                    n = len(ids) // 2
+                    for s in range(0, n, length):
+                        own = ids[2 * s:2 * (s + length)]
+                        full = n - s >= length
+                        # a full piece is final: without its ids only their digest travels
+                        rows.append((doc, s, min(length, n - s), n, full, zlib.crc32(_wide(own)), own if with_ids or not full else b""))
+                yield pa.RecordBatch.from_arrays([pa.array(c, k.type) for c, k in zip(zip(*rows), kind)], schema=kind)
     return run
 
 
@@ -204,21 +249,22 @@ def _pack(length: int, group: int, with_ids: bool):
             for content in topped_up(first_fit_decreasing(lengths, length), lengths, length):
                 offset = 0
                 for i, a, b in content:
-                    doc, start, _, tokens, ids = pieces[i]
-                    part = ids[4 * a:4 * b]
-                    rows.append((doc, start + a, b - a, zlib.crc32(part), tokens, sequence, offset) + ((part,) if with_ids else ()))
+                    doc, start, n, tokens, crc, ids = pieces[i]
+                    whole = b - a == n
+                    own = _wide(ids[2 * a:2 * b]) if with_ids or not whole else b""
+                    rows.append((doc, start + a, b - a, crc if whole else zlib.crc32(own), tokens, sequence, offset) + ((own,) if with_ids else ()))
                     offset += b - a
                 sequence += 1
             return made(rows)
 
         for batch in batches:
             rows = []
-            for doc, start, n, tokens, ids, full in zip(*(c.to_pylist() for c in batch.columns)):
+            for doc, start, n, tokens, full, crc, ids in zip(*(c.to_pylist() for c in batch.columns)):
                 if full:
-                    rows.append((doc, start, n, zlib.crc32(ids), tokens, sequence, 0) + ((ids,) if with_ids else ()))
+                    rows.append((doc, start, n, crc, tokens, sequence, 0) + ((_wide(ids),) if with_ids else ()))
                     sequence += 1
                 else:
-                    rest.append((doc, start, n, tokens, ids))
+                    rest.append((doc, start, n, tokens, crc, ids))
             if rows:
                 yield made(rows)
             while len(rest) >= 2 * group:  # never a small last group
@@ -239,9 +285,9 @@ def pack(docs: DataFrame, length: int = LENGTH, group: int = GROUP, text: str =
     table gives no rows. ``folder`` holds the tokenizer's files. No other column is read.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs, text).alias("text"))
-    pieces = rows.mapInArrow(_cut(length, folder), _PIECE)
+    pieces = rows.mapInArrow(_cut(length, folder, with_ids), _PIECE)
     # The deal depends on content only, so a task that runs again deals as before.
-    deal = F.xxhash64("doc_id", "start", "doc_tokens", F.crc32("ids"))
+    deal = F.xxhash64("doc_id", "start", "doc_tokens", "crc")
     return pieces.repartition(deal).mapInArrow(_pack(length, group, with_ids), _OUT + (", ids binary" if with_ids else ""))
 
 
