@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plumbline.llm import chat, decontaminate, packing, pii, rules, simhash
+from plumbline.llm import chat, decontaminate, packing, pii, rules, simhash, toxicity
 from plumbline.llm.common import table
 from plumbline.llm.oracles import CHAT_SQL, DECONTAMINATION_SQL, RULES_SQL
 
@@ -33,6 +33,11 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     return pii.find(table(spark, folder, "documents"))
 
 
+@query("op4_toxicity_string_kernel")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query("op5_benchmark_decontamination", DECONTAMINATION_SQL)
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
