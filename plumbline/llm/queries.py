@@ -61,3 +61,10 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     extra = spark.sql(f"SELECT -7L AS conv_id, t AS turn, r AS role, '{said}' AS text FROM VALUES (0L, 'user'), (1L, 'assistant') AS v(t, r)")
     return chat.digests(chat.windows(rows.unionByName(extra)))
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder)
