@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plumbline.llm import chat, decontaminate, packing, pii, rules, simhash, toxicity
+from plumbline.llm import chat, decontaminate, extract, language, lm_scoring, packing, pii, rules, simhash, toxicity
 from plumbline.llm.common import table
 from plumbline.llm.oracles import CHAT_SQL, DECONTAMINATION_SQL, RULES_SQL
 
@@ -28,6 +28,11 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
 
+@query("op2_lm_cross_entropy_difference")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_scoring.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query("op3_pii_disclosure")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     return pii.find(table(spark, folder, "documents"))
@@ -50,6 +55,16 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base, "kept", "failed")
 
 
+@query("op7_language_evidence_fusion")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify(table(spark, folder, "pages"), table(spark, folder, "documents"))
+
+
+@query("op8_html_tree_scoring")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return extract.extract(table(spark, folder, "pages"))
+
+
 @query("op9_simhash_covering")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))

@@ -28,7 +28,7 @@ from plumbline.sources.staging import staged
 ORDER, SPAN, DECAY = 4, 7, 0.6
 FIT_ROWS = 20_000
 POSITIVES, NEGATIVES, HARD, LANDMARKS = 3_000, 12_000, 6_000, 160
-SEEN = 4  # documents in which a toxic unit must be met
+SEEN, PURE = 4, 0.8  # documents in which a toxic unit must be met, and the toxic share of all that hold it
 LONGEST, STEP = 24, 12
 LETTERS = 32
 MEMO = 400_000
@@ -240,22 +240,24 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> dict | No
     counts = words.groupBy("unit").agg(F.sum("toxic").cast("double").alias("t"), F.sum(1 - F.col("toxic")).cast("double").alias("c"))
     odds = F.log((F.col("t") / n1) / ((F.col("c") + 0.5) / n0))
     counts = staged(counts.withColumn("evidence", F.col("t") * odds), "toxic_units")
-    strong = counts.where((F.col("t") >= min(SEEN, n1)) & (odds >= 2.0))
+    strong = counts.where((F.col("t") >= min(SEEN, n1)) & (F.col("t") >= PURE * (F.col("t") + F.col("c"))) & (odds >= 1.0))
     toxic = words.where("toxic = 1").join(strong.select("unit", "evidence"), "unit")
     chosen = toxic.groupBy("key").agg(F.max_by("unit", F.struct("evidence", "unit")).alias("unit"))
     chosen = chosen.groupBy("unit").agg(F.count("*").alias("n"))
     positive = [(r["unit"], float(r["n"])) for r in chosen.orderBy(F.desc("n"), "unit").limit(POSITIVES).collect()]
-    clean = counts.where("t <= 0.05 * c")
+    clean = counts.where((F.col("c") > 0) & (odds < 0.7))
     negative = [r["unit"] for r in clean.orderBy(F.xxhash64("unit"), "unit").limit(NEGATIVES).collect()]
     if not positive or not negative:
         return None
     marks = spread([u for u, _ in positive], LANDMARKS * 3 // 4)
 
+    bent = [(v, n / 8) for u, n in positive if len(u) >= 4 for v in inserted(u)]
+
     def machine(negative, marks):
-        units_ = [u for u, _ in positive] + negative
-        weights = [n ** 0.5 for _, n in positive]
+        toxic = positive + bent
+        weights = [n ** 0.5 for _, n in toxic]
         scale = sum(weights) / len(negative)
-        return fit_machine(units_, [1] * len(positive) + [0] * len(negative), weights + [scale] * len(negative), marks)
+        return fit_machine([u for u, _ in toxic] + negative, [1] * len(toxic) + [0] * len(negative), weights + [scale] * len(negative), marks)
 
     table, bias = machine(negative, marks + spread(negative[:2000], LANDMARKS // 4))
     worst = per_value_margin(found.sparkSession, table, bias)
@@ -269,6 +271,12 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> dict | No
     return model
 
 
+def inserted(unit: str) -> list[str]:
+    """Three variants of a toxic unit with one strange letter inside, so that training rewards gapped matches."""
+    places = sorted({2, len(unit) // 2 + 1, len(unit) - 1})
+    return [unit[:at] + letter + unit[at:] for at, letter in zip(places, "xqz") if 0 < at < len(unit)]
+
+
 def per_value_margin(spark, table, bias):
     shared = spark.sparkContext.broadcast((table, bias))
     import pyarrow as pa
