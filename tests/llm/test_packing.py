@@ -53,7 +53,7 @@ def test_all_documents(spark, small):
 
 
 def test_edge_cases(spark):
-    texts = {1: None, 2: "", 3: "a  b\n\n  c \t d", 4: "x" * 5000, 5: "say <|endoftext|> now", 6: "日本語 テスト", 7: "word " * 4000, 8: " lead",
+    texts = {1: None, 2: "", 3: "a  b\n\n  c \t d", 4: "x" * 5000, 5: "say <|endoftext|> now", 6: "日本語 テスト", 12: "— “quoted” Привет, αβγ € ไทย 𝒳 ☃", 7: "word " * 4000, 8: " lead",
              9: "trail ", 10: "it's  here", 11: "\n"}
     docs = spark.createDataFrame([(d, t, 1) for d, t in texts.items()], "doc_id long, text string, sequence_id int")
     check(packing.pack(docs, length=64, group=4, with_ids=True).collect(), texts, 64)
