@@ -116,16 +116,24 @@ def disclosing(docs: DataFrame, found: DataFrame, text: str = "text") -> DataFra
     pairs = seen.select("key", "n.entity", "n.context", F.explode("n.terms").alias("term"))
     pairs = pairs.groupBy("entity", "term", "key").agg(F.min("context").alias("context"))
     pairs = pairs.join(copies, "key").groupBy("entity", "term").agg(F.sum("copies").alias("df_pair"), F.countDistinct("context").alias("contexts"))
-    pairs = staged(pairs.where(F.col("contexts") >= SUPPORT), "pairs")
+    pairs = pairs.where(F.col("contexts") >= SUPPORT)
     total = docs.count()
+
+    def share(df_term):
+        n = F.lit(float(total))
+        return F.log(n * F.col("df_pair") / (F.col(df_term) * F.col("df_entity"))) / F.log(n / F.col("df_entity"))
+
+    # A term is in no fewer documents than have it near any entity: pairs that fail by that need no count of the corpus.
+    near = seen.select("key", F.explode("n.terms").alias("term")).distinct().join(copies, "key").groupBy("term").agg(F.sum("copies").alias("df_near"))
+    pairs = pairs.join(of_entity.where(F.col("df_entity") < total), "entity").join(near, "term").where(share("df_near") >= GENERALISE)
+    pairs = staged(pairs.drop("df_near"), "pairs")
     words = docs.select(F.explode(F.array_distinct(F.split(F.lower(text_of(docs, text)), r"\P{L}+"))).alias("term"))
     wanted = staged(pairs.select("term").distinct(), "terms")
     if wanted.count() <= BROADCAST_TERMS:  # few terms travel to the words, else the words' counts to the terms
         counts = words.join(F.broadcast(wanted), "term", "left_semi").groupBy("term").agg(F.count("*").alias("df_term"))
     else:
         counts = words.groupBy("term").agg(F.count("*").alias("df_term")).join(wanted, "term", "left_semi")
-    share = F.log(F.lit(float(total)) * F.col("df_pair") / (F.col("df_term") * F.col("df_entity"))) / F.log(F.lit(float(total)) / F.col("df_entity"))
-    judged = pairs.join(of_entity, "entity").join(counts, "term").where(F.col("df_entity") < total).withColumn("share", share)
+    judged = pairs.join(counts, "term").withColumn("share", share("df_term"))
     action = F.when(F.col("share") >= REMOVE, "remove").otherwise("generalise")
     return staged(judged.where(F.col("share") >= GENERALISE).select("entity", "term", "share", action.alias("action")), "disclosing")
 
@@ -165,9 +173,10 @@ def find(docs: DataFrame, text: str = "text") -> DataFrame:
     """
     found = evidence(docs, text)
     extra = term_spans(found, disclosing(docs, found, text))
-    both = found.select("doc_id", "base", "key").join(extra, "key", "left")
-    extra = F.expr("coalesce(extra, array())")
-    both = both.select("doc_id", "base", extra.alias("extra"))
+    # rows without findings have no key and need no join, where they would all meet
+    some = found.where("key IS NOT NULL").select("doc_id", "base", "key").join(extra, "key", "left")
+    none = found.where("key IS NULL").select("doc_id", "base").withColumn("extra", F.lit(None).cast(extra.schema["extra"].dataType))
+    both = some.select("doc_id", "base", "extra").unionByName(none).withColumn("extra", F.expr("coalesce(extra, array())"))
     every = F.array_sort(F.concat("base", "extra"))
     counts = [F.expr(f"cast(size(filter(base, x -> x.kind = '{kind}')) AS bigint)").alias(f"n_{kind}") for kind in KINDS]
     return both.withColumn("every", every).select(
