@@ -6,8 +6,8 @@ common subsequences of ``ORDER`` letters, each weighted by ``DECAY`` to the leng
 so inserted letters and gaps cost weight and not the match. A document is as toxic as its worst
 unit.
 
-Training uses a bounded sample of labelled documents (``FIT_ROWS``). In a toxic document the unit
-with the strongest evidence over all sampled documents stands for its sentence; units of clean
+Training uses a bounded sample of labelled documents (``FIT_ROWS``). In a toxic document the units
+with the strongest evidence over all sampled documents stand for their sentences; units of clean
 documents are the other class, and those the first machine finds worst are added before the second
 is trained. The machine is linear in the landmarks' kernel values, so it folds into one weight per
 letter sequence, and scoring is exact without visiting a landmark.
@@ -27,8 +27,9 @@ from plumbline.sources.staging import staged
 
 ORDER, SPAN, DECAY = 4, 7, 0.6
 FIT_ROWS = 20_000
-POSITIVES, NEGATIVES, HARD, LANDMARKS = 3_000, 12_000, 6_000, 160
+POSITIVES, NEGATIVES, HARD, LANDMARKS = 3_000, 12_000, 6_000, 240
 SEEN, PURE = 4, 0.8  # documents in which a toxic unit must be met, and the toxic share of all that hold it
+CLOSE = 0.5  # units of a document with so large a share of its strongest evidence stand for it too
 LONGEST, STEP = 24, 12
 LETTERS = 32
 MEMO = 400_000
@@ -180,14 +181,14 @@ def fit_machine(words: list[str], labels, weights, landmarks: list[str], cost: f
 
 
 def spread(words: list[str], n: int) -> list[str]:
-    """Up to n words, each the farthest from those before it; the first comes first."""
+    """Up to n words: the first third as they come, then each the farthest from those before it."""
     import numpy as np
 
     if len(words) <= n:
         return list(words)
-    own = kernel(words, words[:1])[:, 0]
     size = np.array([sum(v * v for v in f.values()) for f in features(words)])
-    far, out = size - 2 * own + size[0], [words[0]]
+    out = list(words[:n // 3])
+    far = (size[:, None] - 2 * kernel(words, out) + size[None, :len(out)]).min(axis=1)
     while len(out) < n:
         at = int(far.argmax())
         if far[at] <= 1e-9:
@@ -242,8 +243,8 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> dict | No
     counts = staged(counts.withColumn("evidence", F.col("t") * odds), "toxic_units")
     strong = counts.where((F.col("t") >= min(SEEN, n1)) & (F.col("t") >= PURE * (F.col("t") + F.col("c"))) & (odds >= 1.0))
     toxic = words.where("toxic = 1").join(strong.select("unit", "evidence"), "unit")
-    chosen = toxic.groupBy("key").agg(F.max_by("unit", F.struct("evidence", "unit")).alias("unit"))
-    chosen = chosen.groupBy("unit").agg(F.count("*").alias("n"))
+    most = toxic.groupBy("key").agg(F.max("evidence").alias("most"))
+    chosen = toxic.join(most, "key").where(F.col("evidence") >= CLOSE * F.col("most")).groupBy("unit").agg(F.count("*").alias("n"))
     positive = [(r["unit"], float(r["n"])) for r in chosen.orderBy(F.desc("n"), "unit").limit(POSITIVES).collect()]
     clean = counts.where((F.col("c") > 0) & (odds < 0.7))
     negative = [r["unit"] for r in clean.orderBy(F.xxhash64("unit"), "unit").limit(NEGATIVES).collect()]
