@@ -170,12 +170,16 @@ CREDIT = Domain(
 
 
 def credit_suite() -> Suite:
-    """The 33 rules of the credit table, from its domains: not-null, in-set, range, pair."""
-    found = [Expectation("expect_column_values_to_not_be_null", {"column": c}) for c in CREDIT_REQUIRED]
+    """The 33 rules of the credit table, from its domains: not-null, in-set, range, target, pair."""
+    target = CREDIT.target
+    found = [Expectation("expect_column_values_to_not_be_null", {"column": c}) for c in CREDIT_REQUIRED if c != target]
     found += [Expectation("expect_column_values_to_be_in_set", {"column": c, "value_set": v})
-              for c, v in CREDIT_VALUES.items()]
+              for c, v in CREDIT_VALUES.items() if c != target]
     found += [Expectation("expect_column_values_to_be_between", {"column": c, "min_value": lo, "max_value": hi})
               for c, (lo, hi) in CREDIT_RANGES.items()]
+    # the target's set comes before its presence
+    found.append(Expectation("expect_column_values_to_be_in_set", {"column": target, "value_set": CREDIT_VALUES[target]}))
+    found.append(Expectation("expect_column_values_to_not_be_null", {"column": target}))
     found.append(Expectation("expect_column_pair_values_A_to_be_greater_than_B", {
         "column_A": "credit_amount", "column_B": "duration_in_month", "or_equal": True}))
     return Suite(tuple(found), name="credit_applications", data_asset_name="credit_applications")

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import inspect
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -32,6 +32,11 @@ class Rule:
     unexpected_count: int | None = None
     # value reported for a failing row
     subject: Column | None = None
+    # decided by a job over the whole table: not per group, and not to be merged from parts
+    own_pass: bool = False
+    # columns that must be unique together, where ``repeated_skip`` does not hold
+    repeated: list[str] | None = None
+    repeated_skip: Column | None = None
 
 
 RULES: dict[str, Callable[..., Rule]] = {}
@@ -73,8 +78,15 @@ def in_bounds(value: Column, low, high, strict_min=False, strict_max=False) -> C
     return test
 
 
-def one_of(column: Column, values: list) -> Column:
-    return column.isin(list(values)) if values else F.lit(False)
+def fitted(df: DataFrame, column: str, values: list) -> list[Column]:
+    """Literals in the column's type; one that does not fit it is NULL and matches nothing."""
+    kind = df.select(column).schema[0].dataType
+    return [F.lit(str(v) if kind.typeName() == "string" else v).try_cast(kind) for v in values]
+
+
+def one_of(df: DataFrame, column: str, values: list) -> Column:
+    fitting = fitted(df, column, values)
+    return F.coalesce(F.col(column).isin(*fitting), F.lit(False)) if fitting else F.lit(False)
 
 
 def _row(column: str, bad: Column, mostly: float = 1.0) -> Rule:
@@ -109,7 +121,7 @@ def not_null(df, column: str, mostly: float = 1.0) -> Rule:
 
 @rule("expect_column_values_to_be_in_set")
 def in_set(df, column: str, value_set: list, mostly: float = 1.0) -> Rule:
-    return _row(column, ~one_of(F.col(column), value_set), mostly)
+    return _row(column, ~one_of(df, column, value_set), mostly)
 
 
 @rule("expect_column_values_to_be_between")
@@ -164,7 +176,7 @@ def quantiles_between(df, column: str, quantile_ranges: dict, allow_relative_err
         split = lambda m: [m["values"][i] for i in range(len(shares))]
         return Rule(measures={"values": sketch}, passed=lambda m: test(split(m)), observed=lambda m: text(split(m)))
     exact = [F.lit(v).cast("double") for v in stats.quantiles(df, {column: (F.col(column), shares)})[column]]
-    return Rule(passed=lambda m: test(exact), observed=lambda m: text(exact))
+    return Rule(passed=lambda m: test(exact), observed=lambda m: text(exact), own_pass=True)
 
 
 # --- reachable by name ----------------------------------------------------------------
@@ -177,7 +189,7 @@ def is_null(df, column: str, mostly: float = 1.0) -> Rule:
 
 @rule("expect_column_values_to_not_be_in_set")
 def not_in_set(df, column: str, value_set: list, mostly: float = 1.0) -> Rule:
-    return _row(column, one_of(F.col(column), value_set), mostly)
+    return _row(column, one_of(df, column, value_set), mostly)
 
 
 def _duplicates(df: DataFrame, columns: list[str], skip: Column) -> int:
@@ -188,15 +200,17 @@ def _duplicates(df: DataFrame, columns: list[str], skip: Column) -> int:
 
 @rule("expect_column_values_to_be_unique")
 def unique(df, column: str, mostly: float = 1.0) -> Rule:
-    return Rule(missing=F.col(column).isNull(), mostly=mostly,
-                unexpected_count=_duplicates(df, [column], F.col(column).isNull()))
+    skip = F.col(column).isNull()
+    return Rule(missing=skip, mostly=mostly, unexpected_count=_duplicates(df, [column], skip), own_pass=True,
+                repeated=[column], repeated_skip=skip, subject=F.col(column))
 
 
 @rule("expect_compound_columns_to_be_unique")
 def compound_unique(df, column_list: list, ignore_row_if: str = "all_values_are_missing",
                     mostly: float = 1.0) -> Rule:
     skip = _skipped_list(column_list, ignore_row_if)
-    return Rule(missing=skip, mostly=mostly, unexpected_count=_duplicates(df, column_list, skip))
+    return Rule(missing=skip, mostly=mostly, unexpected_count=_duplicates(df, column_list, skip), own_pass=True,
+                repeated=list(column_list), repeated_skip=skip, subject=F.struct(*column_list))
 
 
 def _skipped_list(columns: list[str], ignore_row_if: str) -> Column:
@@ -328,6 +342,7 @@ def median_between(df, column: str, min_value=None, max_value=None, strict_min:
     return Rule(
         passed=lambda m: F.coalesce(in_bounds(median, min_value, max_value, strict_min, strict_max), F.lit(False)),
         observed=lambda m: number_text(median),
+        own_pass=True,
     )
 
 
@@ -344,7 +359,7 @@ def _distinct(df: DataFrame, column: str) -> tuple[int, int]:
 def distinct_count_between(df, column: str, min_value=None, max_value=None, strict_min: bool = False,
                            strict_max: bool = False, approximate: bool = False) -> Rule:
     value = F.approx_count_distinct(column) if approximate else F.max(F.lit(_distinct(df, column)[0]))
-    return _measure(value, min_value, max_value, strict_min, strict_max)
+    return replace(_measure(value, min_value, max_value, strict_min, strict_max), own_pass=not approximate)
 
 
 @rule("expect_column_proportion_of_unique_values_to_be_between")
@@ -352,15 +367,15 @@ def distinct_share_between(df, column: str, min_value=None, max_value=None, stri
                            strict_max: bool = False) -> Rule:
     distinct, total = _distinct(df, column)
     share = distinct / total if total else None
-    return _measure(F.max(F.lit(share).cast("double")), min_value, max_value, strict_min, strict_max)
+    return replace(_measure(F.max(F.lit(share).cast("double")), min_value, max_value, strict_min, strict_max), own_pass=True)
 
 
-def _distinct_set(column: str, value_set: list, inside: bool, contains: bool) -> Rule:
+def _distinct_set(df: DataFrame, column: str, value_set: list, inside: bool, contains: bool) -> Rule:
     """Set tests by counting, so the distinct values are never gathered."""
     c = F.col(column)
-    measures = {"outside": F.count(F.when(c.isNotNull() & ~one_of(c, value_set), 1))}
-    for i, value in enumerate(value_set):
-        measures[f"hit{i}"] = F.max(F.when(c == F.lit(value), 1).otherwise(0))
+    measures = {"outside": F.count(F.when(c.isNotNull() & ~one_of(df, column, value_set), 1))}
+    for i, value in enumerate(fitted(df, column, value_set)):
+        measures[f"hit{i}"] = F.max(F.when(c == value, 1).otherwise(0))
 
     def hits(m):
         out = F.lit(0)
@@ -382,17 +397,17 @@ def _distinct_set(column: str, value_set: list, inside: bool, contains: bool) ->
 
 @rule("expect_column_distinct_values_to_be_in_set")
 def distinct_in_set(df, column: str, value_set: list) -> Rule:
-    return _distinct_set(column, value_set, inside=True, contains=False)
+    return _distinct_set(df, column, value_set, inside=True, contains=False)
 
 
 @rule("expect_column_distinct_values_to_contain_set")
 def distinct_contain_set(df, column: str, value_set: list) -> Rule:
-    return _distinct_set(column, value_set, inside=False, contains=True)
+    return _distinct_set(df, column, value_set, inside=False, contains=True)
 
 
 @rule("expect_column_distinct_values_to_equal_set")
 def distinct_equal_set(df, column: str, value_set: list) -> Rule:
-    return _distinct_set(column, value_set, inside=True, contains=True)
+    return _distinct_set(df, column, value_set, inside=True, contains=True)
 
 
 @rule("expect_column_most_common_value_to_be_in_set")
@@ -405,9 +420,9 @@ def most_common_in_set(df, column: str, value_set: list, ties_okay: bool = False
         F.count(F.when(F.col("value").isin(allowed), 1)).alias("hits"),
     ).orderBy(F.desc("n")).limit(1).collect()
     if not best:
-        return _known(False)
+        return replace(_known(False), own_pass=True)
     top = best[0]
-    return _known(top["hits"] > 0 if ties_okay else top["hits"] == 1 and top["tied"] == 1, top["lowest"])
+    return replace(_known(top["hits"] > 0 if ties_okay else top["hits"] == 1 and top["tied"] == 1, top["lowest"]), own_pass=True)
 
 
 @rule("expect_table_row_count_to_be_between")
@@ -500,9 +515,9 @@ def z_scores(df, column: str, threshold: float, double_sided: bool = True, mostl
     c = F.col(column)
     moments = stats.scalars(df, {"mean": F.avg(c), "sd": F.stddev_samp(c)})
     if not moments["sd"]:
-        return _row(column, F.lit(False), mostly)
+        return replace(_row(column, F.lit(False), mostly), own_pass=True)
     z = (c - F.lit(moments["mean"])) / F.lit(moments["sd"])
-    return _row(column, ~((F.abs(z) if double_sided else z) < F.lit(float(threshold))), mostly)
+    return replace(_row(column, ~((F.abs(z) if double_sided else z) < F.lit(float(threshold))), mostly), own_pass=True)
 
 
 @rule("expect_column_kl_divergence_to_be_less_than")
@@ -517,8 +532,8 @@ def kl_divergence(df, column: str, partition_object: dict, threshold: float,
     c = F.col(column)
     weights = [float(w) for w in partition_object["weights"]]
     if "values" in partition_object:
-        cells = [c.eqNullSafe(F.lit(v)) for v in partition_object["values"]]
-        tails = [c.isNotNull() & ~one_of(c, partition_object["values"])]
+        cells = [F.coalesce(c == v, F.lit(False)) for v in fitted(df, column, partition_object["values"])]
+        tails = [c.isNotNull() & ~one_of(df, column, partition_object["values"])]
     else:
         edges = partition_object["bins"]
         last = len(edges) - 2

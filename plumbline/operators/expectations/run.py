@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from plumbline.functions.cleaning import nan_to_null
 from plumbline.operators.expectations import rules
 from plumbline.operators.expectations.suite import Suite
 
@@ -38,7 +40,7 @@ class CompiledSuite:
         self.counters: dict[str, Column] = {"elements": F.count(F.lit(1))}
         self.measures: dict[str, Column] = {}
         for i, rule in enumerate(self.rules):
-            if additive_only and (rule.passed is not None or rule.unexpected_count is not None):
+            if additive_only and (rule.own_pass or rule.passed is not None or rule.unexpected_count is not None):
                 raise ValueError(f"{suite.expectations[i].type} cannot be merged from partial counts")
             if rule.missing is not None:
                 self.counters[f"missing_{i}"] = F.count(F.when(rule.missing, 1))
@@ -102,8 +104,9 @@ def run_suite(df: DataFrame, suite: Suite, keys: Sequence[str] = ()) -> DataFram
     Only uniqueness, exact distinct counts, exact quantiles, the most common value and
     z-scores add a pass of their own; grouped runs take the rest.
     """
+    df = nan_to_null(df)
     compiled = CompiledSuite(df, suite, additive_only=False)
-    if keys and any(r.unexpected_count is not None or (r.passed and not r.measures) for r in compiled.rules):
+    if keys and any(r.own_pass or (r.passed and not r.measures) for r in compiled.rules):
         raise ValueError("expectations with a pass of their own cannot run per group")
     return compiled.results(compiled.aggregate(df, keys), keys)
 
@@ -111,21 +114,37 @@ def run_suite(df: DataFrame, suite: Suite, keys: Sequence[str] = ()) -> DataFram
 def unexpected_rows(df: DataFrame, suite: Suite, key: str = "id") -> DataFrame:
     """(key, idx, expectation_type, value) for every cell that breaks a row rule.
 
-    Lazy and distributed: violating cells stay rows, nothing is gathered.
+    Lazy and distributed: violating cells stay rows, nothing is gathered. Rows that break
+    uniqueness are found by joining their repeated values back.
     """
-    found, types, values = [], {}, F.lit(None).cast("string")
+    df = nan_to_null(df)
+    found, types, values, repeats = [], {}, F.lit(None).cast("string"), []
     for i, e in enumerate(suite.expectations):
         rule = rules.build(df, e)
+        if rule.repeated:
+            repeats.append(_repeated_rows(df, i, e, rule, key))
         if rule.unexpected is None:
             continue
         found.append(F.when(rule.unexpected, F.lit(i)))
         types[i] = e.type
         value = rule.subject.cast("string") if e.column else F.to_json(rule.subject)
         values = F.when(F.col("idx") == i, value).otherwise(values)
+    if not found and repeats:
+        return reduce(DataFrame.unionByName, repeats)
     if not found:
         return df.select(key).filter(F.lit(False)).selectExpr(
             key, "cast(null as int) idx", "cast(null as string) expectation_type", "cast(null as string) value")
     # only numbers of broken rules are generated; type and value are looked up for those alone
     names = F.create_map(*[F.lit(x) for pair in types.items() for x in pair])
     broken = df.select("*", F.explode(F.array(*found)).alias("idx")).filter(F.col("idx").isNotNull())
-    return broken.select(key, "idx", names[F.col("idx")].alias("expectation_type"), values.alias("value"))
+    rows = broken.select(key, "idx", names[F.col("idx")].alias("expectation_type"), values.alias("value"))
+    return reduce(DataFrame.unionByName, repeats, rows)
+
+
+def _repeated_rows(df: DataFrame, i: int, expectation, rule: rules.Rule, key: str) -> DataFrame:
+    value = rule.subject.cast("string") if expectation.column else F.to_json(rule.subject)
+    rows = df.filter(~rule.repeated_skip)
+    many = rows.groupBy(*rule.repeated).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    same = reduce(lambda a, b: a & b, [F.col(f"r.`{c}`").eqNullSafe(F.col(f"m.`{c}`")) for c in rule.repeated])
+    broken = rows.alias("r").join(many.alias("m"), same, "left_semi")
+    return broken.select(key, F.lit(i).alias("idx"), F.lit(expectation.type).alias("expectation_type"), value.alias("value"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -20,6 +21,19 @@ SETTINGS = {
 def tune(spark: SparkSession) -> SparkSession:
     for name, value in SETTINGS.items():
         spark.conf.set(name, value)
+    with_stage_folder(spark)
+    return spark
+
+
+def with_stage_folder(spark: SparkSession, folder: str | None = None) -> SparkSession:
+    """Give a local session without ``spark.checkpoint.dir`` a folder for its staged tables.
+
+    On a cluster the setting has to name a shared folder; there nothing is chosen here.
+    """
+    context = spark.sparkContext
+    known = context.getConf().get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not known and (folder or context.master.startswith("local")):
+        context.setCheckpointDir(folder or os.path.join(tempfile.gettempdir(), f"plumbline-{context.applicationId}"))
     return spark
 
 

@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from plumbline.functions.cleaning import normalize_names
+from plumbline.functions.cleaning import normalize_name, normalize_names
 
 # What counts as missing besides an empty field (fixed values, the usual reader defaults).
 MISSING = ("#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A",
@@ -17,12 +17,20 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, *, sep:
              na_values: Iterable[str] = (), dtype: Mapping[str, str] | None = None, normalize: bool = True) -> DataFrame:
     """Read with a given schema (inference would read the file twice).
 
-    Fields are read as text first, so that every missing token becomes NULL whatever the
+    Columns are found by their names in the header, as they stand or normalised; one that is
+    missing raises. A quote within quotes is doubled. Fields are read as text first, so that every missing token becomes NULL whatever the
     column's type; then each column takes its type from ``dtype`` or the schema."""
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
-    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    raw = spark.read.schema(text).option("sep", sep).option("encoding", encoding).option("header", True).csv(path)
+    reader = spark.read.options(sep=sep, encoding=encoding, header=True, quote='"', escape='"')
+    header = reader.csv(path).columns  # the first line only
+    places = {normalize_name(name): name for name in header} | {name: name for name in header}
+    missing = [f.name for f in schema.fields if f.name not in places and normalize_name(f.name) not in places]
+    if missing:
+        raise ValueError(f"not in the header: {missing}")
+    text = T.StructType([T.StructField(name, T.StringType()) for name in header])
+    found = reader.schema(text).csv(path)
+    raw = found.select(*[F.col(f"`{places.get(f.name, places.get(normalize_name(f.name)))}`").alias(f.name) for f in schema.fields])
     tokens = [*MISSING, *na_values]
     types = {**{f.name: f.dataType.simpleString() for f in schema.fields}, **(dtype or {})}
     df = raw.select(*[

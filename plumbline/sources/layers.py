@@ -40,10 +40,16 @@ def remediated_id(corrupted: Column) -> Column:
     return F.replace(corrupted, F.lit("corrupt"), F.lit("remed"))
 
 
+def _number(column: Column, kind: str) -> Column:
+    """In the stored type; NaN is missing."""
+    value = column.cast(kind)
+    return F.when(~F.isnan(value), value) if kind in ("double", "float") else value
+
+
 def _stored(df: DataFrame, domain: Domain) -> list[Column]:
     """Data columns in their stored type; whole numbers are cut toward zero."""
     return [
-        (truncated_int(F.col(c), t) if t in ("int", "bigint") else F.col(c).cast(t)).alias(c)
+        (truncated_int(F.col(c), t) if t in ("int", "bigint") else _number(F.col(c), t)).alias(c)
         for c, t in domain.columns.items()
     ]
 
@@ -149,7 +155,8 @@ def load_features(layer: DataFrame, columns: Sequence[str], limit: int | None =
     """Key and data columns, newest first where ``limit`` asks for the newest rows only."""
     df = filtered(layer, **filters)
     if limit is not None:
-        df = df.orderBy(F.desc("id")).limit(limit)
+        ties = [c for c in ("loaded_at", "dataset_id") if c in df.columns]  # derived layers repeat keys
+        df = df.orderBy(F.desc("id"), *[F.desc(c) for c in ties]).limit(limit)
     return text_nulls(df.select("id", *columns))
 
 
@@ -177,12 +184,13 @@ def _metadata(df: DataFrame) -> DataFrame:
 
 
 def current_metadata(log: DataFrame) -> DataFrame:
-    """The latest entry per dataset with the creation time of its first: an upsert by one shuffle."""
-    rest = [c for c in log.columns if c not in ("dataset_name", "created_at")]
-    return log.groupBy("dataset_name").agg(
-        F.min("created_at").alias("created_at"),
-        F.max(F.struct("updated_at", *[c for c in rest if c != "updated_at"])).alias("last"),
-    ).select("dataset_name", *[F.col(f"last.{c}") if c != "created_at" else F.col(c) for c in log.columns if c != "dataset_name"])
+    """The log folded entry by entry as ``upsert_metadata`` does: counts and time of the latest entry,
+    all else of the first. One shuffle."""
+    latest = ("row_count", "column_count", "updated_at")
+    first, last = F.struct("created_at", "updated_at", "row_count"), F.struct("updated_at", "created_at", "row_count")
+    return log.groupBy("dataset_name").agg(*[
+        (F.max_by(c, last) if c in latest else F.min_by(c, first)).alias(c) for c in log.columns if c != "dataset_name"
+    ]).select(*log.columns)
 
 
 def upsert_metadata(current: DataFrame, entries: DataFrame) -> DataFrame:

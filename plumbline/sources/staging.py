@@ -7,7 +7,6 @@ columns) and survives lost executors.
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,20 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 SETTING = "spark.checkpoint.dir"
 
 
-_own: dict[str, str] = {}  # by application, for local sessions without a setting
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a local session without one gets its own."""
+    """``spark.checkpoint.dir`` of the session, or the folder given to ``setCheckpointDir``."""
     context = spark.sparkContext
     folder = spark.conf.get(SETTING, None) or context.getConf().get(SETTING, None) or context.getCheckpointDir()
-    if folder:
-        return folder
-    if not context.master.startswith("local"):
+    if not folder:
         raise RuntimeError(f"set {SETTING} to a folder that every executor can reach")
-    if context.applicationId not in _own:
-        _own[context.applicationId] = tempfile.mkdtemp(prefix="plumbline-")
-    return _own[context.applicationId]
+    return folder
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

@@ -11,6 +11,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
+from plumbline.functions.cleaning import nan_to_null
 from plumbline.operators.expectations import Suite
 from plumbline.operators.expectations.run import CompiledSuite
 
@@ -26,6 +27,7 @@ def validate_arrivals(spark: SparkSession, source: str, schema: T.StructType, su
     rows = reader.parquet(source)
 
     def count(batch: DataFrame, number: int) -> None:
+        batch = nan_to_null(batch)
         compiled = CompiledSuite(batch, suite, additive_only=True)
         compiled.aggregate(batch, KEYS).write.mode("overwrite").parquet(os.path.join(sink, f"batch={number}"))
 

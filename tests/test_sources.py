@@ -147,9 +147,9 @@ class Session:
 
 def test_shared_folder_is_the_sessions_and_never_local_on_a_cluster():
     assert staging.fresh_path(Session("/shared/x"), "t").startswith("/shared/x/plumbline/t-")
-    assert staging.shared_folder(Session()) == staging.shared_folder(Session())
-    with pytest.raises(RuntimeError):
-        staging.shared_folder(Session(master="yarn"))
+    for master in ("local[2]", "yarn"):
+        with pytest.raises(RuntimeError):
+            staging.shared_folder(Session(master=master))
 
 
 def test_corrupted_rows_keep_the_first_key(store, spark):
