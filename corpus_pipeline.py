@@ -10,31 +10,37 @@ from pyspark.sql import DataFrame, SparkSession
 
 from plumbline.llm import decontaminate, packing, pii, rules, simhash
 from plumbline.llm.common import table
+from plumbline.session import with_stage_folder
 from plumbline.sources.staging import staged
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the current policy rejects go."""
+    with_stage_folder(spark)
     return rules.keep_good(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays."""
+    with_stage_folder(spark)
     return simhash.drop_near_duplicates(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a passage of the benchmark go."""
+    with_stage_folder(spark)
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"), "documents")
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data and what gives it away are replaced in the texts."""
+    with_stage_folder(spark)
     return pii.sanitise(docs)
 
 
 def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of packed sequences, with their token ids."""
+    with_stage_folder(spark)
     return packing.pack(docs, with_ids=True)
 
 
@@ -51,6 +57,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with_stage_folder(spark)
     docs = table(spark, sf_dir, "documents")
     for i, (name, stage) in enumerate(STAGES, 1):
         docs = stage(spark, docs, sf_dir)
