@@ -1,27 +1,37 @@
 """Cross-entropy difference of two n-gram language models.
 
 The target model is learned from documents labelled good, the background model from all documents.
-They are matched: one vocabulary (the ``WORDS`` most frequent words of the corpus and one unknown
-word), the same order, the same smoothing. A word's context is the word before it, where the most
-frequent words are contexts of their own and the others share ``CONTEXTS`` classes by number, so a
-model is a table of fixed size, exact and properly normalised, whatever the corpus holds:
+They are matched: one vocabulary (every word of the corpus and one unknown word), the same order, the
+same smoothing. A word's context is the word before it:
 
     p(w) = (c(w) + 1) / (n + V)        p(w | c) = (c(c, w) + PRIOR p(w)) / (c(c) + PRIOR)
 
 Each token's loss under the background less its loss under the target is its difference; a document
-scores the mean. Vocabulary and counts come from every word of every document, by grouped sums.
+scores the mean. Vocabulary and counts come from every word of every document.
+
+The models grow with the corpus and stay distributed. Words travel as 64-bit keys. The counts of the
+at most 2 ``HOT`` words with a ``1 / HOT`` part of the tokens, and of pairs of the ``TOP`` first of them,
+go to the tasks; every other token is dealt out by its word, or by its pair where the word is hot, so
+that its pair, its word and its context are counted where it lies and no key holds much.
+
+``words`` and ``contexts``, if given, bound the models instead: the ``words`` most frequent words, the
+``contexts`` most frequent of them as contexts of their own and the others in as many classes.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from plumbline.llm.common import text_of
+from plumbline.sources.staging import staged
 
-WORDS, CONTEXTS, PRIOR = 16_383, 64, 200.0
+PRIOR = 200.0
+HOT, TOP = 20_000, 1_024  # what is broadcast; the results do not depend on it
+MEMO = 400_000
 TARGET_IDS = 2_000_000  # up to so many ids travel to the documents, more are joined by a shuffle
 
 
@@ -40,7 +50,7 @@ def _count_words(batches: Iterator) -> Iterator:
         yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], schema=kind)
 
 
-def vocabulary(docs: DataFrame, words: int = WORDS, text: str = "text") -> list[str]:
+def vocabulary(docs: DataFrame, words: int, text: str = "text") -> list[str]:
     """The most frequent words of all documents, ties in the order of the words."""
     counted = docs.select(text_of(docs, text).alias("t")).mapInArrow(_count_words, "word string, n long")
     best = counted.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(words)
@@ -90,16 +100,21 @@ def _log_table(counts, prior: float):
     return np.log((counts + prior * one) / (counts.sum(axis=1, keepdims=True) + prior)).astype(np.float32)
 
 
-def models(docs: DataFrame, labels: DataFrame, words: int = WORDS, contexts: int = CONTEXTS, prior: float = PRIOR, text: str = "text"):
+def _marked(docs: DataFrame, labels: DataFrame, text: str) -> DataFrame:
+    """doc_id, text and whether a label calls the document good (null if none does)."""
+    good = labels.where("quality = 1 AND doc_id IS NOT NULL").select("doc_id", F.lit(True).alias("good")).distinct()
+    good = F.broadcast(good) if good.count() <= TARGET_IDS else good
+    return docs.select("doc_id", text_of(docs, text).alias("t")).join(good, "doc_id", "left")
+
+
+def models(docs: DataFrame, labels: DataFrame, words: int, contexts: int, prior: float = PRIOR, text: str = "text"):
     """Word numbers and the table of log target less log background, with both tables."""
     import numpy as np
 
     spark = docs.sparkSession
     ids = {w: i for i, w in enumerate(vocabulary(docs, words, text), 1)}
     shared = spark.sparkContext.broadcast(ids)
-    good = labels.where("quality = 1 AND doc_id IS NOT NULL").select("doc_id", F.lit(True).alias("good")).distinct()
-    good = F.broadcast(good) if good.count() <= TARGET_IDS else good
-    marked = docs.select("doc_id", text_of(docs, text).alias("t")).join(good, "doc_id", "left").select("t", "good")
+    marked = _marked(docs, labels, text).select("t", "good")
     cells = marked.mapInArrow(_count_cells(shared, contexts), "cell long, target long, background long")
     cells = cells.groupBy("cell").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
     found = cells.toArrow()  # at most (2 * contexts + 1) * (words + 1) rows, whatever the corpus
@@ -112,7 +127,188 @@ def models(docs: DataFrame, labels: DataFrame, words: int = WORDS, contexts: int
     return ids, tables
 
 
-def score(docs: DataFrame, labels: DataFrame, words: int = WORDS, contexts: int = CONTEXTS, prior: float = PRIOR, text: str = "text") -> DataFrame:
+class _Keys(dict):
+    """64-bit keys of words; 0 is the start of a text."""
+
+    def __missing__(self, word):
+        if len(self) > MEMO:
+            self.clear()
+        key = int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True) or 1
+        self[word] = key
+        return key
+
+
+_keys = _Keys()
+
+
+def _tokens(texts):
+    """Of all tokens of some texts: word, context and number of the text; and the tokens of each text."""
+    import numpy as np
+
+    split = [words_of(t.as_py() or "") for t in texts]
+    size = np.array([len(w) for w in split], np.int64)
+    word = np.fromiter((_keys[w] for own in split for w in own), np.int64, size.sum())
+    before = np.concatenate((np.zeros(1, np.int64), word))[:len(word)]
+    before[(np.cumsum(size) - size)[size > 0]] = 0
+    return word, before, np.repeat(np.arange(len(split)), size), size
+
+
+def _pair(word, before):
+    """Keys of pairs."""
+    import numpy as np
+
+    with np.errstate(over="ignore"):
+        x = word.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + (before.view(np.uint64) ^ np.uint64(0xD6E8FEB86659FD93)) * np.uint64(0xC2B2AE3D27D4EB4F)
+        x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        return (x ^ (x >> np.uint64(29))).view(np.int64)
+
+
+def _good(column):
+    import numpy as np
+
+    return np.array([bool(x) for x in column.to_pylist()], bool)
+
+
+def _place(keys, values):
+    """Places of values in the sorted keys, -1 for those not there."""
+    import numpy as np
+
+    at = np.minimum(np.searchsorted(keys, values), len(keys) - 1)
+    return np.where(keys[at] == values, at, -1)
+
+
+def _count_keys(batches: Iterator) -> Iterator:
+    """Per key of a batch: its counts as a word and as a context, in the target and in all."""
+    import numpy as np
+    import pyarrow as pa
+
+    names = ("key", "t", "b", "ct", "cb")
+    for batch in batches:
+        word, before, text, _ = _tokens(batch.column(0))
+        good = _good(batch.column(1))[text]
+        keys, at = np.unique(np.concatenate((word, before)), return_inverse=True)
+        w, c = at[:len(word)], at[len(word):]
+        counts = [np.bincount(x, minlength=len(keys)) for x in (w[good], w, c[good], c)]
+        yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (keys, *counts)], names=names)
+
+
+def _count_top(shared):
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        top = shared.value
+        for batch in batches:
+            word, before, text, _ = _tokens(batch.column(0))
+            w, c = _place(top, word), _place(top, before)
+            both = (w >= 0) & (c >= 0)
+            cells, at = np.unique((c * len(top) + w)[both], return_inverse=True)
+            good = _good(batch.column(1))[text][both]
+            counts = [np.bincount(x, minlength=len(cells)).astype(np.int64) for x in (at[good], at)]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (cells, *counts)], names=("cell", "t", "b"))
+    return run
+
+
+def _known(m: dict, word, before):
+    """Places of words and contexts among the hot keys, and of pairs among the pairs known (-1 if not)."""
+    import numpy as np
+
+    w, c = _place(m["key"], word), _place(m["key"], before)
+    tw, tc = _place(m["top"], word), _place(m["top"], before)
+    cell = np.where((tw >= 0) & (tc >= 0), _place(m["cell"], tc * len(m["top"]) + tw), -1) if len(m["cell"]) else np.full(len(word), -1)
+    return w, c, cell
+
+
+def _deal(shared):
+    """Tokens whose counts are not at hand: where to deal them, pair, row (twice its number, and 1 if good), kind.
+
+    The kind is the place of a hot word, -1 for other words, -2 for a context that is not hot.
+    """
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        m = shared.value
+        for batch in batches:
+            word, before, text, _ = _tokens(batch.column(0))
+            row = (2 * batch.column(2).to_numpy() + _good(batch.column(1)))[text]
+            w, c, cell = _known(m, word, before)
+            out, other = cell < 0, c < 0
+            pair = _pair(word[out], before[out])
+            place = np.where(w[out] >= 0, pair, word[out])
+            parts = (np.concatenate((place, before[other])), np.concatenate((pair, before[other])), np.concatenate((row[out], row[other])),
+                     np.concatenate((w[out], np.full(other.sum(), -2))).astype(np.int32))
+            for at in range(0, len(parts[0]), 200_000):
+                yield pa.RecordBatch.from_arrays([pa.array(x[at:at + 200_000]) for x in parts], names=("place", "pair", "row", "kind"))
+    return run
+
+
+_PARTS = "struct<n_tokens:bigint,t:double,b:double>"
+
+
+def _direct(shared, prior: float):
+    """Per text its tokens, and the sums of the log probabilities' parts that follow from the counts at hand."""
+    import pyarrow as pa
+
+    def run(values: pa.Array) -> pa.Array:
+        import numpy as np
+
+        m = shared.value
+        word, before, text, size = _tokens(values)
+        w, c, cell = _known(m, word, before)
+        known, hot, sums = cell >= 0, c >= 0, []
+        for x in "tb":
+            pair = np.log(m["cell_" + x][cell[known]] + prior * (m[x][w[known]] + 1.0) / m["n" + x])
+            context = np.log(m["c" + x][c[hot]] + prior)
+            sums.append(np.bincount(text[known], pair, len(size)) - np.bincount(text[hot], context, len(size)))
+        return pa.StructArray.from_arrays([pa.array(size), *(pa.array(x.astype(float)) for x in sums)], ["n_tokens", "t", "b"])
+
+    run.__annotations__ = {"values": pa.Array, "return": pa.Array}
+    return F.arrow_udf(run, _PARTS).asNondeterministic()
+
+
+def _score_whole(docs: DataFrame, labels: DataFrame, prior: float, text: str) -> DataFrame:
+    import numpy as np
+
+    spark = docs.sparkSession
+    rows = staged(_marked(docs, labels, text).withColumn("row", F.monotonically_increasing_id()), "lm_rows")
+    texts = rows.select("t", "good", "row")
+    sums = [F.sum(x).alias(x) for x in ("t", "b", "ct", "cb")]
+    words = staged(texts.mapInArrow(_count_keys, "key long, t long, b long, ct long, cb long").groupBy("key").agg(*sums), "lm_words")
+    total = words.agg(F.sum("t").alias("t"), F.sum("b").alias("b"), F.expr("count_if(b > 0)").alias("words")).first()
+    n = total["b"] or 0
+    hot = words.where(F.greatest("b", "cb") >= max(1, n // HOT)).orderBy("key").toArrow()  # at most 2 HOT rows and the start
+    m = {x: hot[x].to_numpy() for x in hot.column_names}
+    if not len(m["key"]):
+        return docs.select("doc_id", F.lit(0).cast("long").alias("n_tokens"), *[F.lit(0.0).alias(x) for x in ("target_loss", "background_loss", "score")])
+    m["nt"], m["nb"] = ((total[x] or 0) + total["words"] + 1 for x in "tb")
+    m["top"] = np.sort(m["key"][np.argsort(-np.maximum(m["b"], m["cb"]), kind="stable")[:TOP]])
+    cells = texts.mapInArrow(_count_top(spark.sparkContext.broadcast(m["top"])), "cell long, t long, b long")
+    cells = cells.groupBy("cell").agg(F.sum("t").alias("t"), F.sum("b").alias("b")).orderBy("cell").toArrow()  # at most TOP ** 2 rows
+    m.update(cell=cells["cell"].to_numpy(), cell_t=cells["t"].to_numpy(), cell_b=cells["b"].to_numpy())
+    shared = spark.sparkContext.broadcast(m)
+    dealt = texts.mapInArrow(_deal(shared), "place long, pair long, row long, kind int")
+    dealt = dealt.withColumn("place", F.when(F.col("kind") == -2, F.bitwise_not("place")).otherwise(F.col("place")))
+    by_word, by_pair = Window.partitionBy("place"), Window.partitionBy("place", "pair", "context")
+    good = F.col("row").bitwiseAND(F.lit(1).cast("long"))
+    dealt = dealt.withColumn("context", F.col("kind") == -2).repartition("place")
+    dealt = dealt.withColumns({"pt": F.sum(good).over(by_pair), "pb": F.count("*").over(by_pair)})
+    dealt = dealt.withColumns({"wt": F.sum(good).over(by_word), "wb": F.count("*").over(by_word)})
+    table = spark.createDataFrame([(i, int(t), int(b)) for i, (t, b) in enumerate(zip(m["t"], m["b"]))], "kind int, hot_t long, hot_b long")
+    dealt = dealt.join(F.broadcast(table), "kind", "left")
+
+    def part(x):
+        word = (F.coalesce(f"hot_{x}", f"w{x}") + 1.0) * prior / float(m["n" + x])
+        return F.when(F.col("context"), -F.log(F.col(f"p{x}") + prior)).otherwise(F.log(F.col(f"p{x}") + word))
+
+    rest = dealt.groupBy(F.shiftright("row", 1).alias("row")).agg(F.sum(part("t")).alias("rest_t"), F.sum(part("b")).alias("rest_b"))
+    scored = rows.select("doc_id", "row", _direct(shared, prior)("t").alias("s")).join(rest, "row", "left")
+    loss = {x: 0.0 - (F.col(f"s.{x}") + F.coalesce(f"rest_{x}", F.lit(0.0))) / F.greatest(F.lit(1), "s.n_tokens") for x in "tb"}
+    return scored.select("doc_id", "s.n_tokens", loss["t"].alias("target_loss"), loss["b"].alias("background_loss"), (loss["b"] - loss["t"]).alias("score"))
+
+
+def score(docs: DataFrame, labels: DataFrame, words: int | None = None, contexts: int | None = None, prior: float = PRIOR,
+          text: str = "text") -> DataFrame:
     """Per row of ``docs``: doc_id, n_tokens, target_loss, background_loss, score.
 
     Losses are mean nats per token; ``score`` is background less target, above 0 for text nearer to
@@ -122,7 +318,9 @@ def score(docs: DataFrame, labels: DataFrame, words: int = WORDS, contexts: int
     """
     import pyarrow as pa
 
-    ids, tables = models(docs, labels, words, contexts, prior, text)
+    if words is None:
+        return _score_whole(docs, labels, prior, text)
+    ids, tables = models(docs, labels, words, words if contexts is None else contexts, prior, text)
     shared = docs.sparkSession.sparkContext.broadcast((ids, tables))
 
     def run(values: pa.Array) -> pa.Array:

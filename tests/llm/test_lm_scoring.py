@@ -55,3 +55,18 @@ def test_empty_tables(spark):
     labels = spark.createDataFrame(LABELS, "doc_id long, quality int, toxic int")
     assert lm_scoring.score(docs.limit(0), labels).collect() == []
     assert len(lm_scoring.score(docs, labels.limit(0)).collect()) == len(DOCS)
+
+
+def test_whole_models_grow_with_the_corpus(spark, monkeypatch):
+    # 17,000 words and as many contexts: more than any fixed table held
+    docs = DOCS + [(100 + i, " ".join(f"w{i * 170 + j} v{j % 90} w{(i * 31 + j) % 17_000}" for j in range(170))) for i in range(100)]
+    labels = LABELS + [(100 + i, 1, 0) for i in range(0, 100, 3)]
+    rows = spark.createDataFrame([(d, t, 1) for d, t in docs], "doc_id long, text string, row int").repartition(3)
+    known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    expected = brute(docs, labels, 10 ** 9, 10 ** 9, lm_scoring.PRIOR)
+    for hot, top in ((lm_scoring.HOT, lm_scoring.TOP), (500, 20)):
+        monkeypatch.setattr(lm_scoring, "HOT", hot)
+        monkeypatch.setattr(lm_scoring, "TOP", top)
+        got = sorted(map(tuple, lm_scoring.score(rows, known).collect()), key=lambda r: str(r[:2]))
+        for a, b in zip(got, expected, strict=True):
+            assert a[:2] == b[:2] and all(math.isclose(x, y, abs_tol=1e-9) for x, y in zip(a[2:], b[2:]))
