@@ -35,7 +35,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data and what gives it away are replaced in the texts."""
     with_stage_folder(spark)
-    return pii.sanitise(docs)
+    return pii.sanitise(docs, whole=True)
 
 
 def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,6 +7,10 @@ information. A term whose share exceeds ``GENERALISE`` is generalised, beyond ``
 removed, wherever it stands in a document that holds the entity. A pair counts only when seen in
 ``SUPPORT`` different contexts, so copies of one text and words met once prove nothing.
 
+With ``whole``, a term is met wherever it stands in a text that holds the entity, copies count once,
+and no support is asked for: the pair's count is lessened by ``DISCOUNT`` instead, so entities of one
+or two texts are judged too, with less certainty.
+
 All counts are grouped sums over all documents with map-side combine.
 """
 
@@ -20,6 +24,7 @@ from plumbline.sources.staging import staged
 KINDS = ("email", "ip", "card", "phone")
 CONTEXT = 80  # code points on either side of an entity
 SUPPORT = 3
+DISCOUNT = 0.5
 GENERALISE, REMOVE = 0.8, 0.95
 BROADCAST_TERMS = 100_000
 
@@ -138,11 +143,55 @@ def disclosing(docs: DataFrame, found: DataFrame, text: str = "text") -> DataFra
     return staged(judged.where(F.col("share") >= GENERALISE).select("entity", "term", "share", action.alias("action")), "disclosing")
 
 
+def disclosed(docs: DataFrame, found: DataFrame, text: str = "text") -> DataFrame:
+    """``(key, entity, term, share, action)``: per different text that holds an entity, its terms that reveal more of it than allowed."""
+    once = docs.select(text_of(docs, text).alias("text")).groupBy(F.md5("text").alias("key")).agg(F.first("text").alias("text"))
+    total = docs.select(F.md5(text_of(docs, text)).alias("key")).distinct().count()
+    n = F.lit(float(total))
+    held = staged(found.where("key IS NOT NULL").select("key", F.explode("near.entity").alias("entity")).distinct(), "held")
+    held = held.join(held.groupBy("entity").agg(F.count("*").alias("df_entity")), "entity").where(F.col("df_entity") < total)
+    # A pair is in no more texts than its entity, so a term in more than these reveals too little.
+    held = staged(held.withColumn("most", F.pow(n, F.lit(1 - GENERALISE)) * F.pow("df_entity", F.lit(GENERALISE)) + 1e-6), "held_most")
+    texts = found.where("key IS NOT NULL").groupBy("key").agg(F.first("text").alias("text"), F.first("base").alias("base"))
+    outside = F.expr("""
+      aggregate(base, struct(0L AS at, '' AS done),
+        (a, x) -> if(x.start >= a.at, struct(x.stop AS at, concat(a.done, substring(text, int(a.at) + 1, int(x.start - a.at)), ' ') AS done),
+                     struct(greatest(a.at, x.stop) AS at, a.done AS done)),
+        a -> concat(a.done, substring(text, int(a.at) + 1)))""")
+    terms = texts.select("key", outside.alias("text")).select("key", F.explode(F.array_distinct(F.split(F.lower("text"), r"\P{L}+"))).alias("term"))
+    terms = staged(terms.where(F.length("term") >= 3), "held_terms")
+    near = terms.groupBy("term").agg(F.count("*").alias("df_held"))
+    limit = held.groupBy("key").agg(F.max("most").alias("limit"))
+    terms = staged(terms.join(limit, "key").join(near, "term").where("df_held <= limit").select("key", "term", "limit"), "rare_terms")
+    wanted = staged(terms.select("term").distinct(), "terms")
+    words = once.select(F.explode(F.array_distinct(F.split(F.lower("text"), r"\P{L}+"))).alias("term"))
+    if wanted.count() <= BROADCAST_TERMS:
+        counts = words.join(F.broadcast(wanted), "term", "left_semi").groupBy("term").agg(F.count("*").alias("df_term"))
+    else:
+        counts = words.groupBy("term").agg(F.count("*").alias("df_term")).join(wanted, "term", "left_semi")
+    terms = terms.join(counts, "term").where("df_term <= limit")
+    pairs = staged(terms.join(held, "key").where("df_term <= most").select("key", "entity", "term", "df_term", "df_entity"), "pairs")
+    judged = pairs.groupBy("entity", "term").agg(F.count("*").alias("df_pair"), F.first("df_term").alias("df_term"), F.first("df_entity").alias("df_entity"))
+    share = F.log(n * (F.col("df_pair") - DISCOUNT) / (F.col("df_term") * F.col("df_entity"))) / F.log(n / F.col("df_entity"))
+    action = F.when(F.col("share") >= REMOVE, "remove").otherwise("generalise")
+    risky = judged.withColumn("share", share).where(F.col("share") >= GENERALISE).select("entity", "term", "share", action.alias("action"))
+    return pairs.select("key", "entity", "term").join(risky, ["entity", "term"])
+
+
+def revealed(docs: DataFrame, found: DataFrame, text: str, whole: bool) -> DataFrame:
+    """``(key, extra)``: the spans of revealing terms by either method."""
+    return _spans_of(found, disclosed(docs, found, text)) if whole else term_spans(found, disclosing(docs, found, text))
+
+
 def term_spans(found: DataFrame, risky: DataFrame) -> DataFrame:
     """``(key, extra)``: per different text the spans of its revealing terms that touch no base span."""
     near = found.where("near IS NOT NULL").select("key", F.explode("near").alias("n"))
     near = near.select("key", "n.entity", F.explode("n.terms").alias("term")).distinct()
-    hits = near.join(risky, ["entity", "term"]).groupBy("key", "term").agg(F.max("action").alias("action"))  # removal goes before
+    return _spans_of(found, near.join(risky, ["entity", "term"]))
+
+
+def _spans_of(found: DataFrame, hits: DataFrame) -> DataFrame:
+    hits = hits.groupBy("key", "term").agg(F.max("action").alias("action"))  # removal goes before
     hits = hits.groupBy("key").agg(F.sort_array(F.collect_list("term")).alias("terms"), F.sort_array(F.collect_set(F.when(F.col("action") == "remove", F.col("term")))).alias("gone"))
     texts = found.where("key IS NOT NULL").groupBy("key").agg(F.first("text").alias("text"), F.first("base").alias("base"))
     both = texts.join(hits, "key")
@@ -163,7 +212,7 @@ def _joined(spans: str) -> str:
     return f"array_join(transform({spans}, x -> concat(x.kind, ':', x.start, ':', x.stop)), ',')"
 
 
-def find(docs: DataFrame, text: str = "text") -> DataFrame:
+def find(docs: DataFrame, text: str = "text", whole: bool = False) -> DataFrame:
     """Per row of ``docs``: doc_id, n_email, n_ip, n_card, n_phone, n_terms, base_sha256, spans.
 
     ``spans`` lists all spans by start as kind:start:end in code points, the end exclusive.
@@ -172,7 +221,7 @@ def find(docs: DataFrame, text: str = "text") -> DataFrame:
     read. A null doc_id is kept and means nothing to the method.
     """
     found = evidence(docs, text)
-    extra = term_spans(found, disclosing(docs, found, text))
+    extra = revealed(docs, found, text, whole)
     # rows without findings have no key and need no join, where they would all meet
     some = found.where("key IS NOT NULL").select("doc_id", "base", "key").join(extra, "key", "left")
     none = found.where("key IS NULL").select("doc_id", "base").withColumn("extra", F.lit(None).cast(extra.schema["extra"].dataType))
@@ -184,14 +233,14 @@ def find(docs: DataFrame, text: str = "text") -> DataFrame:
         F.expr(_joined("every")).alias("spans"))
 
 
-def sanitise(docs: DataFrame, text: str = "text") -> DataFrame:
+def sanitise(docs: DataFrame, text: str = "text", whole: bool = False) -> DataFrame:
     """``docs`` with personal data replaced by ``[KIND]``, revealing terms by ``[TERM]`` or nothing.
 
     Rows, order of columns and texts without findings stay as they are; a null text stays null.
     """
     key, extra, base = fresh(docs, "pii_key"), fresh(docs, "pii_extra"), fresh(docs, "pii_base")
     found = evidence(docs, text)
-    terms = staged(term_spans(found, disclosing(docs, found, text)).where(F.size("extra") > 0).select(F.col("key").alias(key), F.col("extra").alias(extra)), "extra")
+    terms = staged(revealed(docs, found, text, whole).where(F.size("extra") > 0).select(F.col("key").alias(key), F.col("extra").alias(extra)), "extra")
     marked = detected(docs, text, base)
     if terms.count() <= BROADCAST_TERMS // 10:
         marked = marked.withColumn(key, F.when(F.size(base) > 0, F.md5(text))).join(F.broadcast(terms), key, "left")

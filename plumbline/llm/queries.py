@@ -35,7 +35,7 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op3_pii_disclosure")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
-    return pii.find(table(spark, folder, "documents"))
+    return pii.find(table(spark, folder, "documents"), whole=True)
 
 
 @query("op4_toxicity_string_kernel")

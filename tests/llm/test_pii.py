@@ -121,3 +121,20 @@ def test_sanitise(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert pii.find(docs).collect() == [] and pii.sanitise(docs).collect() == []
+
+
+def test_whole_documents_and_entities_of_few_texts(spark):
+    filler = "the office wrote again about the weather and the mail " * 6  # farther than any context
+    texts = [f"Quentin {filler}x@one.example.org {filler}Abernathy"] * 4 + [f"Sibyl {filler}{'so ' * i}y@two.example.org{' and' * i}" for i in range(2)]
+    texts += [f"{filler}note {'ab'[i % 2]}{'cdefghij'[i % 8]}{'klmnopqr'[i // 8 % 8]}" for i in range(400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    total = len(set(texts))
+    words = [set(re.findall(r"[^\W\d_]{3,}", t.lower())) for t in set(texts)]
+    entities = {e: [re.findall(r"[^\W\d_]{3,}", t.lower().replace(e, " ")) for t in set(texts) if e in t] for e in ("x@one.example.org", "y@two.example.org")}
+    risky = {e: {w for w in {w for own in held for w in own} if math.log(total * (sum(w in own for own in held) - pii.DISCOUNT)
+             / (sum(w in own for own in words) * len(held))) / math.log(total / len(held)) >= pii.GENERALISE} for e, held in entities.items()}
+    assert risky == {"x@one.example.org": {"quentin", "abernathy"}, "y@two.example.org": {"sibyl"}}
+    got = {r["doc_id"]: r["n_terms"] for r in pii.find(docs, whole=True).collect()}
+    assert got == {i: 2 if i < 4 else 1 if i < 6 else 0 for i in range(len(texts))}
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(docs, whole=True).collect()}
+    assert not re.search("Quentin|Abernathy|Sibyl|@", " ".join(clean.values())) and all(clean[i] == texts[i] for i in range(6, len(texts)))
