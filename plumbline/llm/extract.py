@@ -23,6 +23,7 @@ INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i img
              "strike strong sub sup svg time tt u var wbr".split())
 NEVER = set("head script style noscript template iframe object embed svg math nav footer aside form button select option input textarea "
             "dialog menu canvas audio video map noembed noframes xmp title".split())
+WRAPPERS = {"form", "aside", "dialog"}  # of these, those that may be around the page's text
 MAIN = ("article", "main")
 CLOSES_P = set("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
                "header hgroup hr main menu nav ol p pre search section summary table ul".split())
@@ -159,13 +160,25 @@ def main_text(source: str) -> str:
     for i in range(n - 1, 0, -1):
         if holds[i]:
             holds[parent[i]] = True
+    # A form with the article, or what holds most of the page's plain text, is no boilerplate; only its controls are.
+    control, around = [False] * n, [0] * n
+    for i in range(1, n):
+        control[i] = control[parent[i]] or tag[i] in NEVER and tag[i] not in WRAPPERS or tag[i] in ("a", "label")
+    for node, text in page.pieces:
+        around[node] += 0 if control[node] else len(text.strip())
+    for i in range(n - 1, 0, -1):
+        around[parent[i]] += around[i]
+    wraps = [t in WRAPPERS and (t == "form" and holds[i] or 2 * around[i] > around[0]) for i, t in enumerate(tag)]
+    held = [False] * n  # within a form that wraps the page
     inside, dropped = [False] * n, [False] * n
     for i in range(1, n):
         up = parent[i]
         inside[i] = inside[up] or tag[i] in MAIN
         named = page.bad[i] and not holds[i] and tag[i] not in ("html", "body", "article", "main")
         page_header = tag[i] == "header" and not inside[i]
-        dropped[i] = dropped[up] or tag[i] in NEVER or named or page_header
+        held[i] = held[up] or wraps[i] and tag[i] == "form"
+        never = tag[i] in NEVER and not wraps[i] or tag[i] == "label" and held[i]
+        dropped[i] = dropped[up] or never or named and not wraps[i] or page_header
     block, linked = [0] * n, [False] * n
     for i in range(1, n):
         up = parent[i]
@@ -218,13 +231,14 @@ def main_text(source: str) -> str:
                 if own >= max(3.0, 0.2 * top) or prose or tag[i] in ("h1", "h2") and i < chosen and density < 0.5:
                     keep.add(i)
     kept = [False] * n
+    page_wide = tag[chosen] in ("html", "body") or chosen == 0  # else all of the article is kept, also its lists of sources
     lists = ("ul", "ol", "div", "section", "table", "p")
     for i in range(n):
         if dropped[i]:
             continue
         kept[i] = i in keep or i > 0 and kept[parent[i]]
-        if kept[i] and i not in keep and tag[i] in lists and whole[i] and whole_links[i] > 0.8 * whole[i] and not page.good[i] and tag[i] != "p":
-            kept[i] = False  # a list of links within the article is a menu
+        if page_wide and kept[i] and i not in keep and tag[i] in lists and whole[i] and whole_links[i] > 0.8 * whole[i] and not page.good[i] and tag[i] != "p":
+            kept[i] = False  # a list of links outside any article is a menu
     return " ".join("".join([text for node, text in page.pieces if kept[node]]).split())
 
 

@@ -45,3 +45,13 @@ def test_edge_cases(spark):
     got = sorted(map(tuple, extract(pages).collect()), key=str)
     assert got == sorted([(1, "u", "", 0), (2, None, "", 0), (2, None, "", 0), (None, "v", LONG, len(LONG))], key=str)
     assert extract(pages.limit(0)).collect() == []
+
+
+def test_form_around_the_page_and_lists_of_sources():
+    form = "<body><form id=aspnetForm action=x><input name=v><nav><a href=/>Home</a></nav><div>{}</div><label>Mail</label><button>Send</button></form></body>"
+    assert main_text(form.format(f"<p>{LONG}</p><p>{LONG}</p>")) == f"{LONG} {LONG}"
+    assert main_text(form.format(f"<article><h1>Head</h1><p>{LONG}</p></article>")) == f"Head {LONG}"
+    assert main_text(f"<div><p>{LONG}</p><p>{LONG}</p></div><form><p>Write, to, us</p><input></form>") == f"{LONG} {LONG}"
+    sources = "<ul><li><a href=/1>Source one</a><li><a href=/2>Source two</a></ul>"
+    assert main_text(f"<article><p>{LONG}</p>{sources}</article>") == f"{LONG} Source one Source two"
+    assert main_text(f"<body><div class=content><p>{LONG}</p><p>{LONG}</p>{sources}</div></body>") == f"{LONG} {LONG} Source one Source two"
