@@ -79,8 +79,7 @@ def f4(spark, folder):
 def f5(spark, folder):
     store = _store(spark)
     store.save_raw(apps(spark, folder), "il_240101_0000", flows.ORIGINAL, "r1")
-    training.train_and_score(store, dataset_id="il_240101_0000", run_id="r1", layer="raw", folds=2,
-                             params={"random_forest": {"trees": 5, "max_depth": 5}})
+    training.train_and_score(store, dataset_id="il_240101_0000", run_id="r1", layer="raw")
     return store.read_log("ml_results").select(
         "dataset_id", "model_name", *[F.col(c).cast("double").alias(c) for c in ("accuracy", "roc_auc", "cv_accuracy_mean")], "is_best_model")
 

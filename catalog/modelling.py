@@ -13,7 +13,6 @@ from plumbline.operators import corrupt, evaluate, features, models
 from plumbline.plans import training
 
 FEATURES = DOMAIN.features
-SMALL_FOREST = {"random_forest": {"trees": 10, "max_depth": 6}}
 
 
 def _gaps(spark, folder):
@@ -60,16 +59,16 @@ def _ready(spark, folder):
     return training.prepare(apps(spark, folder), DOMAIN)
 
 
-def _trained(name, **params):
+def _trained(name):
     def run(spark, folder):
         ready = _ready(spark, folder)
-        found = training.fit_and_score(ready.filter("not is_test"), ready.filter("is_test"), name, FEATURES, ["id"], **params)
+        found = training.fit_and_score(ready.filter("not is_test"), ready.filter("is_test"), name, FEATURES, ["id"])
         return found.select("id", "model", "label", "prediction", F.round("score", 6).alias("score"))
     return run
 
 
 query("m6_logistic_regression")(_trained("logistic_regression"))
-query("m7_random_forest")(_trained("random_forest", **SMALL_FOREST["random_forest"]))
+query("m7_random_forest")(_trained("random_forest"))
 
 METRICS = metrics_sql("applications")
 MEASURES = ", ".join(f"round({m}, 6) AS {m}" for m in ("accuracy", "precision", "recall", "f1"))
@@ -157,5 +156,5 @@ def s11(spark, folder):
 
 @query("m14_training_run")
 def m14(spark, folder):
-    found = training.run_training(apps(spark, folder), DOMAIN, params=SMALL_FOREST, folds=3, baseline=apps(spark, folder))
+    found = training.run_training(apps(spark, folder), DOMAIN, baseline=apps(spark, folder))
     return rounded(found.metrics.drop("confusion_matrix"))

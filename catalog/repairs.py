@@ -74,13 +74,13 @@ def r8(spark, folder):
 
 @query("r9_isolation_forest")
 def r9a(spark, folder):
-    flagged = isolation.flag(corrupted(spark, folder), q.NUMBERS, trees=50)
+    flagged = isolation.flag(corrupted(spark, folder), q.NUMBERS)
     return flagged.select("id", "is_outlier")
 
 
 @query("r9_multivariate_repair")
 def r9(spark, folder):
-    return shown(repair.multivariate_outliers(corrupted(spark, folder), q.NUMBERS, trees=50))
+    return shown(repair.multivariate_outliers(corrupted(spark, folder), q.NUMBERS))
 
 
 @query("r9_cap_flagged", _on_corrupted(*q.cap("repaired", "corrupted", q.BETWEEN_COLUMNS, "coalesce(priority = '1-URGENT', false)", "isolated")))
@@ -170,5 +170,5 @@ def r14_rows(spark, folder):
 def r14_all(spark, folder):
     df = corrupted(spark, folder)
     failed = failed_expectations(run_suite(df, SUITE)).collect()
-    _, _, final = flows.remediate(df, failed, SUITE, baseline=apps(spark, folder), domain=DOMAIN, trees=50)
+    _, _, final = flows.remediate(df, failed, SUITE, baseline=apps(spark, folder), domain=DOMAIN)
     return rounded(final)
