@@ -87,3 +87,41 @@ each AS (
 SELECT each.conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, CAST(each.chars + coalesce(old.chars, 0) AS BIGINT) AS formatted_chars
 FROM each LEFT JOIN old ON each.conv_id IS NOT DISTINCT FROM old.conv_id
 """
+
+# crc32 of the decimal conv_id, bit by bit; a node is named by its list of turns.
+TRIE_SQL = r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS pos, md5(len(role) || ':' || role || text) AS t,
+         strlen(text) AS bytes
+  FROM rows),
+ids AS (SELECT conv_id, count(*) AS n, CAST(conv_id AS VARCHAR) AS s FROM own GROUP BY conv_id),
+hashed AS (
+  SELECT conv_id, n, conv_id - conv_id % 5 AS base,
+    xor(list_reduce(list_prepend(4294967295, list_transform(range(1, len(s) + 1), lambda i: CAST(ascii(s[i]) AS BIGINT))),
+      lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda a, k: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)), 4294967295) % 9 AS h
+  FROM ids),
+turns AS (
+  SELECT h.conv_id, o.pos AS p, o.t, o.bytes FROM hashed h JOIN own o ON o.conv_id = h.base AND o.pos < h.h
+  UNION ALL SELECT h.conv_id, 1000000000 + o.pos, o.t, o.bytes FROM hashed h JOIN own o ON o.conv_id = h.conv_id AND o.pos >= h.h),
+paths AS (
+  SELECT conv_id, list(t) OVER w AS node, count(*) OVER w AS depth, bytes FROM turns
+  WINDOW w AS (PARTITION BY conv_id ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+  UNION ALL SELECT conv_id, [], 0, 0 FROM ids),
+nodes AS (
+  SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(bytes) AS saved FROM paths GROUP BY node, depth),
+lengths AS (SELECT conv_id, max(depth) AS depth FROM paths GROUP BY conv_id),
+ends AS (
+  SELECT node, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS ends FROM paths JOIN lengths USING (conv_id, depth) GROUP BY node),
+children AS (SELECT node[:-2] AS node, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+flat AS (SELECT node, depth, saved, NOT EXISTS (FROM children c WHERE c.node = nodes.node) AS leaf FROM nodes),
+above AS (
+  SELECT node[1:d] AS node, count_if(leaf) AS n_leaves, sum(saved) AS saved
+  FROM (SELECT node, saved, leaf, unnest(range(0, depth + 1)) AS d FROM flat) GROUP BY 1)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, CAST(n.n_convs AS BIGINT) AS n_convs,
+       CAST(coalesce(c.n, 0) AS BIGINT) AS n_children, CAST(a.n_leaves AS BIGINT) AS n_leaves, CAST(a.saved AS BIGINT) AS saved_tokens,
+       coalesce(e.ends, sha256('')) AS ends_sha256
+FROM nodes n LEFT JOIN nodes p ON n.depth > 0 AND p.node = n.node[:-2] LEFT JOIN children c ON c.node = n.node JOIN above a ON a.node = n.node
+LEFT JOIN ends e ON e.node = n.node
+"""

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plumbline.llm import chat, decontaminate, extract, language, lm_scoring, packing, pii, rules, simhash, toxicity
+from plumbline.llm import chat, decontaminate, extract, language, lm_scoring, packing, pii, rules, simhash, toxicity, trie
 from plumbline.llm.common import table
-from plumbline.llm.oracles import CHAT_SQL, DECONTAMINATION_SQL, RULES_SQL
+from plumbline.llm.oracles import CHAT_SQL, DECONTAMINATION_SQL, RULES_SQL, TRIE_SQL
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -78,6 +78,11 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return chat.digests(chat.windows(rows.unionByName(extra)))
 
 
+@query("op11_conversation_prefix_trie", TRIE_SQL)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return trie.conversation_trie(table(spark, folder, "conversations"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
