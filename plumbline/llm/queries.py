@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plumbline.llm import chat, decontaminate, extract, language, lm_scoring, packing, pii, rules, simhash, toxicity, trie
+from plumbline.llm import chat, decontaminate, extract, fingerprints, language, lm_scoring, packing, pii, rules, search, simhash, toxicity, trie
 from plumbline.llm.common import table
-from plumbline.llm.oracles import CHAT_SQL, DECONTAMINATION_SQL, RULES_SQL, TRIE_SQL
+from plumbline.llm.oracles import CHAT_SQL, DECONTAMINATION_SQL, RULES_SQL, SEARCH_SQL, TRIE_SQL
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -83,6 +83,16 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
     return trie.conversation_trie(table(spark, folder, "conversations"))
 
 
+@query("op12_search_geometric_blocks", SEARCH_SQL)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op13_fingerprint_one_permutation")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, folder, "documents"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
