@@ -1,32 +1,35 @@
 """Personal data and the terms that give it away, with DataFrame functions only.
 
 Base spans come from patterns. On top, information-theoretic sanitisation: a protected entity (an
-address, a number) carries ``log(N / df(entity))`` of information over the ``N`` documents. A term
-near it reveals ``log(N * df(term, entity) / (df(term) * df(entity)))`` of that, the pointwise mutual
-information. A term whose share exceeds ``GENERALISE`` is generalised, beyond ``REMOVE`` it is
-removed, wherever it stands in a document that holds the entity. A pair counts only when seen in
-``SUPPORT`` different contexts, so copies of one text and words met once prove nothing.
-
-With ``whole``, a term is met wherever it stands in a text that holds the entity, copies count once,
-and no support is asked for: the pair's count is lessened by ``DISCOUNT`` instead, so entities of one
-or two texts are judged too, with less certainty.
-
-All counts are grouped sums over all documents with map-side combine.
+address, a number) held by ``df_entity`` of ``N`` different texts carries ``log(N / df_entity)`` of
+information. A term that ``df_pair`` of its ``df_term`` texts share with the entity reveals
+``log(N * p / df_entity)`` of that, where ``p`` is the lower end of Wilson's 95 % interval for the share
+``df_pair / df_term``. Terms with ``p`` of at least ``EVEN`` whose part of the entity's information
+exceeds ``GENERALISE`` are generalised, beyond ``REMOVE`` removed, in every text that holds the entity.
+
+The interval makes evidence count: of one meeting p is 0.27, of two 0.43, of three 0.53, in a corpus of
+any size. So a word that stands in one or two texts only is left alone, and so are all words around an
+entity of one or two texts. Texts are told apart by digest: copies are one text and prove nothing.
+
+Within a text, entities and terms do not meet one by one: entities that are held by the same texts form
+a class, terms too, and classes meet, so a list of thousands of addresses is one class. All counts are
+grouped sums over all documents with map-side combine.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import math
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from plumbline.llm.common import fresh, text_of
 from plumbline.sources.staging import staged
 
 KINDS = ("email", "ip", "card", "phone")
-CONTEXT = 80  # code points on either side of an entity
-SUPPORT = 3
-DISCOUNT = 0.5
+Z = 1.6448536269514722  # of a one-sided interval of 95 %
+EVEN = 0.5
 GENERALISE, REMOVE = 0.8, 0.95
-BROADCAST_TERMS = 100_000
+LEAST_TEXTS = math.ceil(Z * Z * EVEN / (1 - EVEN))  # fewer meetings never reach EVEN
 
 # Fixed by the contract. Possessive forms find the same leftmost matches without going back, in
 # linear time: a local part or a digit run can only begin where the run begins or the last match
@@ -50,7 +53,7 @@ VALID = {
 # Cheap signs without which a pattern cannot match.
 _SIGN = {"email": "contains({t}, '@')", "ip": "{t} rlike '[0-9][.][0-9]'", "card": "{t} rlike '[0-9](?:[ -]?[0-9]){{13}}'", "phone": "contains({t}, '+')"}
 
-_SPAN = "struct<start:bigint,kind_no:int,stop:bigint,kind:string,found:string,before:string,after:string>"
+_SPAN = "struct<start:bigint,kind_no:int,stop:bigint,kind:string,found:string>"
 
 
 def _quoted(pattern: str) -> str:
@@ -68,7 +71,7 @@ def _placed(kind: str, m: str, p: str) -> str:
         struct(0L AS at, cast(array() AS array<{_SPAN}>) AS spans),
         (a, i) -> struct(a.at + length({p}[i]) + length({m}[i]) AS at,
           array_append(a.spans, struct(a.at + length({p}[i]) AS start, {KINDS.index(kind)} AS kind_no, a.at + length({p}[i]) + length({m}[i]) AS stop,
-            '{kind}' AS kind, {m}[i] AS found, right({p}[i], {CONTEXT}) AS before, left({p}[i + 1], {CONTEXT}) AS after)) AS spans)).spans,
+            '{kind}' AS kind, {m}[i] AS found)) AS spans)).spans,
         x -> {VALID[kind]})"""
 
 
@@ -90,130 +93,97 @@ def _entity(x: str) -> str:
     return f"concat({x}.kind, ':', if({x}.kind = 'email' or {x}.kind = 'ip', lower({x}.found), regexp_replace({x}.found, '[^0-9]', '')))"
 
 
-def _terms(x: str) -> str:
-    """Words of at least three letters around an entity, without those cut at the context's edges."""
-    left = f"if(length({x}.before) = {CONTEXT}, regexp_replace({x}.before, r'^[^ \\t-\\r]*', ''), {x}.before)"
-    right = f"if(length({x}.after) = {CONTEXT}, regexp_replace({x}.after, r'[^ \\t-\\r]*$', ''), {x}.after)"
-    return rf"array_distinct(regexp_extract_all(lower(concat({left}, ' ', {right})), r'\p{{L}}{{3,}}+', 0))"
-
-
 def evidence(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Written once: doc_id, base spans, and for documents with any: text, its key, entities with terms.
+    """Written once: doc_id, base spans, and for documents with any: the text, its key and its entities.
 
     The key of a text is its digest, so copies share what is found in them.
     """
-    rows = docs.select("doc_id", text_of(docs, text).alias("text"))
-    found = detected(rows, "text", "base")
-    near = F.expr(f"transform(base, x -> struct({_entity('x')} AS entity, {_terms('x')} AS terms, xxhash64(x.before, x.after) AS context))")
+    found = detected(docs.select("doc_id", text_of(docs, text).alias("text")), "text", "base")
     some = F.size("base") > 0
     base = F.expr("transform(base, x -> struct(x.start AS start, x.kind_no AS kind_no, x.stop AS stop, x.kind AS kind))")
+    entities = F.expr(f"array_distinct(transform(base, x -> {_entity('x')}))")
     return staged(found.select("doc_id", base.alias("base"), F.when(some, F.md5("text")).alias("key"), F.when(some, F.col("text")).alias("text"),
-                               F.when(some, near).alias("near")), "evidence")
-
-
-def disclosing(docs: DataFrame, found: DataFrame, text: str = "text") -> DataFrame:
-    """``(entity, term, share, action)``: terms that reveal more of an entity than allowed."""
-    spark = docs.sparkSession
-    seen = found.where("near IS NOT NULL").select(F.explode("near").alias("n"), F.col("key"))
-    held = seen.groupBy("key", F.col("n.entity").alias("entity")).agg(F.count("*").alias("n"))
-    copies = found.where("key IS NOT NULL").groupBy("key").agg(F.count("*").alias("copies"))
-    of_entity = held.join(copies, "key").groupBy("entity").agg(F.sum("copies").alias("df_entity"))
-    pairs = seen.select("key", "n.entity", "n.context", F.explode("n.terms").alias("term"))
-    pairs = pairs.groupBy("entity", "term", "key").agg(F.min("context").alias("context"))
-    pairs = pairs.join(copies, "key").groupBy("entity", "term").agg(F.sum("copies").alias("df_pair"), F.countDistinct("context").alias("contexts"))
-    pairs = pairs.where(F.col("contexts") >= SUPPORT)
-    total = docs.count()
-
-    def share(df_term):
-        n = F.lit(float(total))
-        return F.log(n * F.col("df_pair") / (F.col(df_term) * F.col("df_entity"))) / F.log(n / F.col("df_entity"))
-
-    # A term is in no fewer documents than have it near any entity: pairs that fail by that need no count of the corpus.
-    near = seen.select("key", F.explode("n.terms").alias("term")).distinct().join(copies, "key").groupBy("term").agg(F.sum("copies").alias("df_near"))
-    pairs = pairs.join(of_entity.where(F.col("df_entity") < total), "entity").join(near, "term").where(share("df_near") >= GENERALISE)
-    pairs = staged(pairs.drop("df_near"), "pairs")
-    words = docs.select(F.explode(F.array_distinct(F.split(F.lower(text_of(docs, text)), r"\P{L}+"))).alias("term"))
-    wanted = staged(pairs.select("term").distinct(), "terms")
-    if wanted.count() <= BROADCAST_TERMS:  # few terms travel to the words, else the words' counts to the terms
-        counts = words.join(F.broadcast(wanted), "term", "left_semi").groupBy("term").agg(F.count("*").alias("df_term"))
-    else:
-        counts = words.groupBy("term").agg(F.count("*").alias("df_term")).join(wanted, "term", "left_semi")
-    judged = pairs.join(counts, "term").withColumn("share", share("df_term"))
-    action = F.when(F.col("share") >= REMOVE, "remove").otherwise("generalise")
-    return staged(judged.where(F.col("share") >= GENERALISE).select("entity", "term", "share", action.alias("action")), "disclosing")
+                               F.when(some, entities).alias("entities")), "evidence")
 
 
-def disclosed(docs: DataFrame, found: DataFrame, text: str = "text") -> DataFrame:
-    """``(key, entity, term, share, action)``: per different text that holds an entity, its terms that reveal more of it than allowed."""
-    once = docs.select(text_of(docs, text).alias("text")).groupBy(F.md5("text").alias("key")).agg(F.first("text").alias("text"))
-    total = docs.select(F.md5(text_of(docs, text)).alias("key")).distinct().count()
-    n = F.lit(float(total))
-    held = staged(found.where("key IS NOT NULL").select("key", F.explode("near.entity").alias("entity")).distinct(), "held")
-    held = held.join(held.groupBy("entity").agg(F.count("*").alias("df_entity")), "entity").where(F.col("df_entity") < total)
-    # A pair is in no more texts than its entity, so a term in more than these reveals too little.
-    held = staged(held.withColumn("most", F.pow(n, F.lit(1 - GENERALISE)) * F.pow("df_entity", F.lit(GENERALISE)) + 1e-6), "held_most")
-    texts = found.where("key IS NOT NULL").groupBy("key").agg(F.first("text").alias("text"), F.first("base").alias("base"))
-    outside = F.expr("""
-      aggregate(base, struct(0L AS at, '' AS done),
-        (a, x) -> if(x.start >= a.at, struct(x.stop AS at, concat(a.done, substring(text, int(a.at) + 1, int(x.start - a.at)), ' ') AS done),
-                     struct(greatest(a.at, x.stop) AS at, a.done AS done)),
-        a -> concat(a.done, substring(text, int(a.at) + 1)))""")
-    terms = texts.select("key", outside.alias("text")).select("key", F.explode(F.array_distinct(F.split(F.lower("text"), r"\P{L}+"))).alias("term"))
-    terms = staged(terms.where(F.length("term") >= 3), "held_terms")
-    near = terms.groupBy("term").agg(F.count("*").alias("df_held"))
-    limit = held.groupBy("key").agg(F.max("most").alias("limit"))
-    terms = staged(terms.join(limit, "key").join(near, "term").where("df_held <= limit").select("key", "term", "limit"), "rare_terms")
-    wanted = staged(terms.select("term").distinct(), "terms")
-    words = once.select(F.explode(F.array_distinct(F.split(F.lower("text"), r"\P{L}+"))).alias("term"))
-    if wanted.count() <= BROADCAST_TERMS:
-        counts = words.join(F.broadcast(wanted), "term", "left_semi").groupBy("term").agg(F.count("*").alias("df_term"))
-    else:
-        counts = words.groupBy("term").agg(F.count("*").alias("df_term")).join(wanted, "term", "left_semi")
-    terms = terms.join(counts, "term").where("df_term <= limit")
-    pairs = staged(terms.join(held, "key").where("df_term <= most").select("key", "entity", "term", "df_term", "df_entity"), "pairs")
-    judged = pairs.groupBy("entity", "term").agg(F.count("*").alias("df_pair"), F.first("df_term").alias("df_term"), F.first("df_entity").alias("df_entity"))
-    share = F.log(n * (F.col("df_pair") - DISCOUNT) / (F.col("df_term") * F.col("df_entity"))) / F.log(n / F.col("df_entity"))
-    action = F.when(F.col("share") >= REMOVE, "remove").otherwise("generalise")
-    risky = judged.withColumn("share", share).where(F.col("share") >= GENERALISE).select("entity", "term", "share", action.alias("action"))
-    return pairs.select("key", "entity", "term").join(risky, ["entity", "term"])
+def _words(text: Column) -> Column:
+    return F.explode(F.filter(F.array_distinct(F.split(F.lower(text), r"\P{L}+")), lambda w: F.length(w) >= 3))
 
 
-def revealed(docs: DataFrame, found: DataFrame, text: str, whole: bool) -> DataFrame:
-    """``(key, extra)``: the spans of revealing terms by either method."""
-    return _spans_of(found, disclosed(docs, found, text)) if whole else term_spans(found, disclosing(docs, found, text))
+def _lower_bound(hits: Column, of: Column) -> Column:
+    """The lower end of Wilson's interval for ``hits`` of ``of``."""
+    share, zz = hits / of, Z * Z
+    return (share + zz / (2 * of) - Z * F.sqrt(share * (1 - share) / of + zz / (4 * of * of))) / (1 + zz / of)
 
 
-def term_spans(found: DataFrame, risky: DataFrame) -> DataFrame:
-    """``(key, extra)``: per different text the spans of its revealing terms that touch no base span."""
-    near = found.where("near IS NOT NULL").select("key", F.explode("near").alias("n"))
-    near = near.select("key", "n.entity", F.explode("n.terms").alias("term")).distinct()
-    return _spans_of(found, near.join(risky, ["entity", "term"]))
+def _classes(df: DataFrame, name: str) -> DataFrame:
+    """``df(key, name)`` with ``texts``, the number of keys of each name, and ``class``, equal for names with the same keys."""
+    sets = df.groupBy(name).agg(F.count(F.lit(1)).alias("texts"), F.sum(F.xxhash64("key").cast("decimal(38,0)")).alias("one"),
+                                F.bit_xor(F.xxhash64("key", F.lit(1))).alias("two"))
+    return sets.select(name, "texts", F.xxhash64("texts", "one", "two").alias("class"), F.col("two").alias("class2"))
 
 
-def _spans_of(found: DataFrame, hits: DataFrame) -> DataFrame:
-    hits = hits.groupBy("key", "term").agg(F.max("action").alias("action"))  # removal goes before
-    hits = hits.groupBy("key").agg(F.sort_array(F.collect_list("term")).alias("terms"), F.sort_array(F.collect_set(F.when(F.col("action") == "remove", F.col("term")))).alias("gone"))
-    texts = found.where("key IS NOT NULL").groupBy("key").agg(F.first("text").alias("text"), F.first("base").alias("base"))
-    both = texts.join(hits, "key")
-    pattern = r"concat(r'(?iu)(?<!\p{L})(?:', array_join(terms, '|'), r')(?!\p{L})')"
-    both = both.withColumn("pattern", F.expr(pattern)).withColumn("m", F.expr("regexp_extract_all(text, pattern, 0)"))
-    both = both.withColumn("p", F.expr("slice(split(text, pattern, -1), 1, size(m))"))
-    kind = "struct<start:bigint,kind_no:int,stop:bigint,kind:string>"
-    spans = F.expr(f"""
-      filter(aggregate(arrays_zip(m, p), struct(0L AS at, cast(array() AS array<{kind}>) AS spans),
-        (a, x) -> struct(a.at + length(x.p) + length(x.m) AS at, array_append(a.spans, struct(a.at + length(x.p) AS start,
-          {len(KINDS)} + int(array_contains(gone, lower(x.m))) AS kind_no, a.at + length(x.p) + length(x.m) AS stop,
-          if(array_contains(gone, lower(x.m)), 'removed_term', 'term') AS kind)) AS spans)).spans,
-        x -> not exists(base, b -> b.start < x.stop and x.start < b.stop))""")
-    return both.select("key", spans.alias("extra"))
+def disclosed(docs: DataFrame, found: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """``(key, term, action)``: per different text that holds an entity, its terms that reveal more of one than allowed.
+
+    Also ``(key, text)`` of these texts, their base spans blanked out."""
+    total = docs.select(F.md5(text_of(docs, text))).distinct().count()
+    n = F.lit(float(total))
+    held = staged(found.where("key IS NOT NULL").select("key", F.explode("entities").alias("entity")).distinct(), "held")
+    # Entities of fewer texts reach no evidence, whatever stands beside them.
+    of_entity = _classes(held, "entity").where((F.col("texts") >= LEAST_TEXTS) & (F.col("texts") < total))
+    held = held.join(of_entity, "entity").select("key", F.col("class").alias("e1"), F.col("class2").alias("e2"), F.col("texts").alias("df_entity")).distinct()
+    held = staged(held, "held_classes")
+    # one row of each text that matters, its entities blanked out
+    most = held.groupBy("key").agg(F.max("df_entity").alias("most"))
+    outside = F.expr("""
+      aggregate(base, struct(0L AS at, '' AS done),
+        (a, x) -> if(x.start >= a.at, struct(x.stop AS at, concat(a.done, substring(text, int(a.at) + 1, int(x.start - a.at)), repeat(' ', int(x.stop - x.start))) AS done),
+                     struct(greatest(a.at, x.stop) AS at, concat(a.done, repeat(' ', int(greatest(0, x.stop - a.at)))) AS done)),
+        a -> concat(a.done, substring(text, int(a.at) + 1)))""")
+    texts = found.where("key IS NOT NULL").join(most, "key").groupBy("key").agg(F.first("text").alias("text"), F.first("base").alias("base"), F.first("most").alias("most"))
+    texts = staged(texts.select("key", "most", outside.alias("text")), "held_texts")
+    terms = staged(texts.select("key", "most", _words(F.col("text")).alias("term")), "held_terms")
+    # What is counted over all texts joins what is wanted: both hold every term once.
+    once = docs.select(text_of(docs, text).alias("text")).groupBy(F.md5("text").alias("key")).agg(F.first("text").alias("text"))
+    df_term = once.select(_words(F.col("text")).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df_term"))
+    limits = terms.groupBy("term").agg(F.max("most").alias("limit"))
+    wanted = limits.join(df_term, "term").where(F.col("df_term") * EVEN <= F.col("limit"))  # else no entity of these texts reaches EVEN
+    wanted = staged(wanted.join(_classes(terms, "term"), "term").select("term", "df_term", F.xxhash64("class", "df_term").alias("t1"), F.col("class2").alias("t2")), "terms")
+    terms = staged(terms.select("key", "term").join(wanted, "term"), "rare_terms")
+    pairs = terms.select("key", "t1", "t2", "df_term").distinct().join(held, "key").where(F.col("df_term") * EVEN <= F.col("df_entity"))
+    pairs = staged(pairs, "pairs")
+    judged = pairs.groupBy("e1", "e2", "t1", "t2").agg(F.count(F.lit(1)).alias("df_pair"), F.max("df_term").alias("df_term"), F.max("df_entity").alias("df_entity"))
+    # df_term counts a text in which the term stands within an entity only, df_pair does not
+    judged = judged.withColumn("p", _lower_bound(F.col("df_pair"), F.col("df_term"))).where(F.col("p") >= EVEN)
+    judged = judged.withColumn("share", F.log(n * F.col("p") / F.col("df_entity")) / F.log(n / F.col("df_entity"))).where(F.col("share") >= GENERALISE)
+    action = F.when(F.col("share") >= REMOVE, "remove").otherwise("generalise")
+    risky = pairs.join(judged.select("e1", "e2", "t1", "t2", action.alias("action")), ["e1", "e2", "t1", "t2"]).groupBy("key", "t1", "t2").agg(F.max("action").alias("action"))
+    return terms.join(risky, ["key", "t1", "t2"]).select("key", "term", "action"), texts
+
+
+def revealed(docs: DataFrame, found: DataFrame, text: str = "text") -> DataFrame:
+    """``(key, extra)``: per different text the spans of its revealing terms outside of base spans."""
+    hits, texts = disclosed(docs, found, text)
+    hits = staged(hits, "disclosed")
+    tokens = texts.join(hits.select("key").distinct(), "key").select("key", F.expr(r"regexp_extract_all(text, r'\p{L}+', 0)").alias("m"), F.expr(r"split(text, r'\p{L}+', -1)").alias("p"))
+    # a token's place is the length of all before it: a running sum over rows, so a long text stays linear
+    tokens = tokens.select("key", "m", F.expr("slice(p, 1, size(m))").alias("p")).select("key", F.posexplode(F.arrays_zip("m", "p")).alias("i", "x"))
+    tokens = tokens.select("key", "i", F.length("x.p").cast("long").alias("gap"), F.length("x.m").cast("long").alias("size"), F.lower("x.m").alias("term"))
+    stop = F.sum(F.col("gap") + F.col("size")).over(Window.partitionBy("key").orderBy("i").rowsBetween(Window.unboundedPreceding, 0))
+    spans = tokens.withColumn("stop", stop).join(hits, ["key", "term"])
+    gone = F.col("action") == "remove"
+    span = F.struct((F.col("stop") - F.col("size")).alias("start"), (F.lit(len(KINDS)) + gone.cast("int")).alias("kind_no"), "stop",
+                    F.when(gone, "removed_term").otherwise("term").alias("kind"))
+    return spans.groupBy("key").agg(F.sort_array(F.collect_list(span)).alias("extra"))
 
 
 def _joined(spans: str) -> str:
     return f"array_join(transform({spans}, x -> concat(x.kind, ':', x.start, ':', x.stop)), ',')"
 
 
-def find(docs: DataFrame, text: str = "text", whole: bool = False) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_email, n_ip, n_card, n_phone, n_terms, base_sha256, spans.
+def find(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Per row of ``docs``: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_terms.
 
     ``spans`` lists all spans by start as kind:start:end in code points, the end exclusive.
 
@@ -221,7 +191,7 @@ def find(docs: DataFrame, text: str = "text", whole: bool = False) -> DataFrame:
     read. A null doc_id is kept and means nothing to the method.
     """
     found = evidence(docs, text)
-    extra = revealed(docs, found, text, whole)
+    extra = staged(revealed(docs, found, text), "extra")
     # rows without findings have no key and need no join, where they would all meet
     some = found.where("key IS NOT NULL").select("doc_id", "base", "key").join(extra, "key", "left")
     none = found.where("key IS NULL").select("doc_id", "base").withColumn("extra", F.lit(None).cast(extra.schema["extra"].dataType))
@@ -229,23 +199,20 @@ def find(docs: DataFrame, text: str = "text", whole: bool = False) -> DataFrame:
     every = F.array_sort(F.concat("base", "extra"))
     counts = [F.expr(f"cast(size(filter(base, x -> x.kind = '{kind}')) AS bigint)").alias(f"n_{kind}") for kind in KINDS]
     return both.withColumn("every", every).select(
-        "doc_id", *counts, F.size("extra").cast("long").alias("n_terms"), F.sha2(F.expr(_joined("base")), 256).alias("base_sha256"),
-        F.expr(_joined("every")).alias("spans"))
+        "doc_id", *counts, F.sha2(F.expr(_joined("base")), 256).alias("base_sha256"), F.expr(_joined("every")).alias("spans"),
+        F.size("extra").cast("long").alias("n_terms"))
 
 
-def sanitise(docs: DataFrame, text: str = "text", whole: bool = False) -> DataFrame:
+def sanitise(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with personal data replaced by ``[KIND]``, revealing terms by ``[TERM]`` or nothing.
 
     Rows, order of columns and texts without findings stay as they are; a null text stays null.
     """
     key, extra, base = fresh(docs, "pii_key"), fresh(docs, "pii_extra"), fresh(docs, "pii_base")
     found = evidence(docs, text)
-    terms = staged(revealed(docs, found, text, whole).where(F.size("extra") > 0).select(F.col("key").alias(key), F.col("extra").alias(extra)), "extra")
-    marked = detected(docs, text, base)
-    if terms.count() <= BROADCAST_TERMS // 10:
-        marked = marked.withColumn(key, F.when(F.size(base) > 0, F.md5(text))).join(F.broadcast(terms), key, "left")
-    else:  # texts without findings are spread by their own digest
-        marked = marked.withColumn(key, F.coalesce(F.md5(text), F.lit(""))).join(terms, key, "left")
+    terms = staged(revealed(docs, found, text).select(F.col("key").alias(key), F.col("extra").alias(extra)), "extra")
+    # texts without findings are spread by their own digest
+    marked = detected(docs, text, base).withColumn(key, F.coalesce(F.md5(text), F.lit(""))).join(terms, key, "left")
     plain = f"transform(`{base}`, x -> struct(x.start AS start, x.kind_no AS kind_no, x.stop AS stop, x.kind AS kind))"
     every = f"array_sort(concat({plain}, coalesce(`{extra}`, array())))"
     label = "case x.kind when 'removed_term' then '' else concat('[', upper(x.kind), ']') end"
