@@ -151,7 +151,7 @@ def with_next(docs: DataFrame, text: str = "text", block_rows: int = ROWS) -> Da
     """
     rows = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("pos"), text_of(docs, text).alias("text"))
     placed = _placed(rows.withColumn("digest", F.md5("text")), block_rows)
-    heads = _heads(placed).withColumnsRenamed({"bucket": "to_bucket", "sub": "to_sub"})
+    heads = staged(_heads(placed), "heads").withColumnsRenamed({"bucket": "to_bucket", "sub": "to_sub"})
     lent = placed.join(heads, ["pos", "digest"]).groupBy("to_bucket", "to_sub").agg(*[F.first(c).alias(c) for c in ("pos", "digest", "text")])
     lent = lent.select(F.lit(None).cast(rows.schema["doc_id"].dataType).alias("doc_id"), "pos", "text", "digest",
                        F.col("to_bucket").alias("bucket"), F.col("to_sub").alias("sub"), F.lit(True).alias("lent"))
