@@ -62,7 +62,7 @@ def _ready(spark, folder):
 def _trained(name):
     def run(spark, folder):
         ready = _ready(spark, folder)
-        found = training.fit_and_score(ready.filter("not is_test"), ready.filter("is_test"), name, FEATURES, ["id"])
+        found = training.fit_and_score(ready, [training.held_out()], [name], FEATURES, ["id"])
         return found.select("id", "model", "label", "prediction", F.round("score", 6).alias("score"))
     return run
 

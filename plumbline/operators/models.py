@@ -1,45 +1,23 @@
-"""The two classifiers, as MLlib estimators over balanced weights."""
+"""The two classifiers over balanced weights. Each fits all its runs together."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
-
-from plumbline.operators.features import class_weights
+from plumbline.operators.forest import DEEPEST, FIT_ROWS, Forest
+from plumbline.operators.logistic import LogisticRegression
 
 # Training defaults (fixed values).
 MAX_ITER, TREES, SEED = 2000, 500, 42
-DEEPEST = 30  # the deepest tree MLlib grows
 
 
-def logistic_regression(rows: int, c: float = 1.0, max_iter: int = MAX_ITER) -> LogisticRegression:
-    """L2 with inverse strength ``c``; MLlib averages the loss, hence the division by rows."""
-    return LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight", regParam=1.0 / (c * rows),
-                              elasticNetParam=0.0, standardization=False, maxIter=max_iter)
+def logistic_regression(c: float = 1.0, max_iter: int = MAX_ITER) -> LogisticRegression:
+    return LogisticRegression(c, max_iter)
 
 
-def random_forest(rows: int = 0, trees: int = TREES, max_depth: int = DEEPEST, seed: int = SEED) -> RandomForestClassifier:
-    return RandomForestClassifier(featuresCol="features", labelCol="label", weightCol="weight", numTrees=trees,
-                                  maxDepth=max_depth, featureSubsetStrategy="sqrt", seed=seed)
+def random_forest(trees: int = TREES, max_depth: int = DEEPEST, seed: int = SEED, fit_rows: int = FIT_ROWS) -> Forest:
+    """Trees see ``fit_rows`` labelled rows at most, whatever the table's size."""
+    return Forest(trees, max_depth, seed, fit_rows)
 
 
 MODELS: dict[str, Callable] = {"logistic_regression": logistic_regression, "random_forest": random_forest}
-
-
-def train(df: DataFrame, name: str, **params):
-    """Fit one model on a frame with ``features`` and ``label``."""
-    weighted = class_weights(df).withColumn("label", F.col("label").cast("double"))
-    return MODELS[name](df.count(), **params).fit(weighted)
-
-
-def predict(model, df: DataFrame, name: str) -> DataFrame:
-    """(key columns, model, label, prediction, score): score is the probability of class 1."""
-    keep = [c for c in df.columns if c != "features"]
-    return model.transform(df.withColumn("label", F.col("label").cast("double"))).select(
-        *[c for c in keep if c != "label"], F.lit(name).alias("model"), F.col("label").cast("int").alias("label"),
-        F.col("prediction").cast("int").alias("prediction"),
-        vector_to_array("probability")[1].alias("score"),
-    )

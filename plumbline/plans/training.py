@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, functions as F
+import numpy as np
+import pandas as pd
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, functions as F
 
 from plumbline.domain import CREDIT, Domain
-from plumbline.operators import drift, evaluate, features, models
+from plumbline.functions.cleaning import numeric_columns
+from plumbline.operators import drift, evaluate, features, models, stats
+from plumbline.operators.logistic import Scale
 from plumbline.sources import results as result_tables
 from plumbline.sources.layers import LayerStore
 from plumbline.sources.staging import staged
@@ -45,13 +50,81 @@ def prepare(df: DataFrame, domain: Domain = CREDIT, *, key: str = "id", seed: in
     return staged(features.basic_imputation(split, domain.features, source), "prepared")
 
 
-def fit_and_score(train: DataFrame, test: DataFrame, name: str, columns: Sequence[str], keep: Sequence[str], **params):
-    vectors, unseen = features.vectorize(train, [test], columns, [*keep, "label"])
-    vectors = vectors.persist()
-    try:
-        return models.predict(models.train(vectors, name, **params), unseen, name)
-    finally:
-        vectors.unpersist()
+@dataclass(frozen=True)
+class Run:
+    """Rows to fit on and rows to score, as conditions."""
+
+    train: Column
+    test: Column
+
+
+def _scales(rows: DataFrame, runs: Sequence[Run], numbers: Sequence[str]) -> list[Scale]:
+    """Means, deviations and balanced class weights of every run, in one aggregate."""
+    wanted = {}
+    for i, run in enumerate(runs):
+        for c in numbers:
+            value = F.when(run.train, F.col(c).cast("double"))
+            wanted[i, c, "mean"], wanted[i, c, "sd"] = F.avg(value), F.stddev_pop(value)
+        for v in (0, 1):
+            wanted[i, v] = F.count_if(run.train & (F.col("label") == v))
+    found = stats.scalars(rows, wanted)
+    out = []
+    for i in range(len(runs)):
+        sizes = {v: found[i, v] for v in (0, 1)}
+        classes = sum(n > 0 for n in sizes.values())
+        if not classes:
+            raise ValueError("no rows to fit on")
+        out.append(Scale([found[i, c, "mean"] or 0.0 for c in numbers], [found[i, c, "sd"] or 1.0 for c in numbers],
+                         {v: sum(sizes.values()) / (classes * n) if n else 0.0 for v, n in sizes.items()}))
+    return out
+
+
+def fit_and_score(ready: DataFrame, runs: Sequence[Run], names: Sequence[str], columns: Sequence[str], keep: Sequence[str],
+                  params: Mapping[str, dict] | None = None, key: str = "id") -> DataFrame:
+    """``(keep, run, model, label, prediction, score)``: every model fitted on every run's training rows, its test rows scored.
+
+    The table is encoded and written once. All runs of a model are fitted together, and all rows are
+    scored in one pass. ``keep`` holds the key.
+    """
+    params = params or {}
+    numbers = numeric_columns(ready, columns)
+    scales = _scales(ready, runs, numbers)
+    vectors = features.encoder(ready, columns).transform(ready).select(
+        *keep, F.col("label").cast("int").alias("label"), vector_to_array("features").alias("features"),
+        F.array(*[r.train for r in runs]).alias("trains"), F.array(*[r.test for r in runs]).alias("tests"))
+    vectors = staged(vectors, "vectors")
+    width = vectors.select(F.size("features")).first()[0]
+    fitted = {}
+    for name in names:
+        settings = models.MODELS[name](**params.get(name, {}))
+        if hasattr(settings, "key"):
+            settings = replace(settings, key=key)
+        fitted[name] = settings.fit_all(vectors, scales, width)
+    shared = ready.sparkSession.sparkContext.broadcast(fitted)
+
+    def scores(points: pd.Series, run: pd.Series) -> pd.Series:
+        x = np.stack(points.to_list()) if len(points) else np.zeros((0, width))
+        out, run = np.zeros((len(x), len(names))), run.to_numpy()
+        for j, name in enumerate(names):
+            for i in np.unique(run):
+                out[run == i, j] = shared.value[name][i].scores(x[run == i])
+        return pd.Series(list(out))
+
+    scores = F.pandas_udf(scores, "array<double>")
+    tested = F.filter(F.sequence(F.lit(0), F.lit(len(runs) - 1)), lambda i: F.get("tests", i))
+    rows = vectors.select(*keep, "label", "features", F.explode(tested).alias("run"))
+    rows = rows.select(*keep, "label", "run", scores("features", "run").alias("scores"))
+    each = F.array(*[F.struct(F.lit(name).alias("model"), F.col("scores")[j].alias("score")) for j, name in enumerate(names)])
+    rows = rows.select(*keep, "run", "label", F.inline(each))
+    return rows.select(*keep, "run", "model", "label", (F.col("score") > 0.5).cast("int").alias("prediction"), "score")
+
+
+def held_out() -> Run:
+    return Run(~F.col("is_test"), F.col("is_test"))
+
+
+def cross_validation(folds: int) -> list[Run]:
+    return [Run(F.col("fold") != i, F.col("fold") == i) for i in range(folds)]
 
 
 def run_training(df: DataFrame, domain: Domain = CREDIT, *, key: str = "id", seed: int = SEED,
@@ -59,32 +132,18 @@ def run_training(df: DataFrame, domain: Domain = CREDIT, *, key: str = "id", see
                  params: Mapping[str, dict] | None = None, baseline: DataFrame | None = None,
                  bins: str = "shared") -> TrainingResult:
     """Both models on the split, cross-validated over the whole table, with drift against a baseline."""
-    params = params or {}
     ready = prepare(df, domain, key=key, seed=seed, test_size=test_size, folds=folds, impute_on=impute_on)
     columns = domain.features
     order = list(models.MODELS)
-    tested, crossed = [], []
-    for name in order:
-        extra = params.get(name, {})
-        tested.append(fit_and_score(ready.filter(~F.col("is_test")), ready.filter("is_test"), name, columns, [key], **extra))
-        for fold in range(folds):
-            crossed.append(fit_and_score(ready.filter(F.col("fold") != fold), ready.filter(F.col("fold") == fold), name,
-                                         columns, [key, "fold"], **extra))
-    test_scores = staged(_stacked(tested), "test-scores")
-    fold_rows = staged(_stacked(crossed), "fold-scores")
+    scored = staged(fit_and_score(ready, [held_out(), *cross_validation(folds)], order, columns, [key, "fold"], params, key), "scores")
+    test_scores = scored.where("run = 0").drop("run", "fold")
+    fold_rows = scored.where("run > 0").drop("run")
     metrics = evaluate.compare(evaluate.evaluate(test_scores, ["model"]), order)
     cv_scores = evaluate.fold_scores(fold_rows)
     report = drift.report(baseline, ready, columns, bins) if baseline is not None else None
     return TrainingResult(test_scores, metrics, cv_scores, evaluate.cv_summary(cv_scores), report)
 
 
-def _stacked(frames: list[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
-
-
 def train_and_score(store: LayerStore, *, dataset_id: str, run_id: str, layer: str = "remediated",
                     limit: int | None = None, baseline_source: str | None = None, **options) -> TrainingResult:
     """Load the feature columns of a dataset, train on them and append the model log."""

@@ -40,7 +40,7 @@ def test_forest_of_m7(spark, monkeypatch):
     class Stop(Exception):
         pass
 
-    def forest(rows=0, **params):
+    def forest(**params):
         raise Stop(params)
 
     monkeypatch.setitem(models.MODELS, "random_forest", forest)
