@@ -37,7 +37,7 @@ def missing_values(df: DataFrame, scenario: str, domain: Domain = CREDIT, *, key
         # a cut that would take every row takes none: the count must stay below the table's size
         rows = df.count()
         tickets = {c: t for c, t in tickets.items() if t[1][0] < rows}
-        cuts = stats.ticket_cuts(df, tickets, F.expr(key_of(df, key)), counts=dict.fromkeys(tickets, rows)) if tickets else {}
+        cuts = stats.ticket_cuts(df, tickets, F.expr(key_of(df, key))) if tickets else {}
         hits = {c: p[0] for c, p in cuts.items()}
     return df.withColumns({c: F.when(~hit, F.col(c)) for c, hit in hits.items()})
 

@@ -237,7 +237,7 @@ def divergences(before: DataFrame, after: DataFrame, columns: Sequence[str], bin
 def percentile_shift(before: DataFrame, after: DataFrame, columns: Sequence[str], rows=(None, None)) -> dict[str, list[tuple]]:
     """(before, after) per percentile and column."""
     wanted = {c: (to_number(F.col(c)), PERCENTILES) for c in columns}
-    b, a = (stats.quantiles(df, wanted, rows=n) for df, n in zip((before, after), rows))
+    b, a = (stats.quantiles(df, wanted) for df in (before, after))
     return {c: list(zip(b[c], a[c])) for c in columns}
 
 

@@ -57,7 +57,7 @@ def fill_missing(df: DataFrame, columns: Sequence[str], suite: Suite, domain: Do
     numbers = numeric_columns(df, columns)
     texts = [c for c in columns if c in text_columns(df)]
     means = stats.scalars(df, {c: F.avg(c) for c in numbers if c in domain.mean_filled})
-    medians = stats.quantiles(df, {c: (F.col(c), [0.5]) for c in numbers if c not in domain.mean_filled}, rows=rows)
+    medians = stats.quantiles(df, {c: (F.col(c), [0.5]) for c in numbers if c not in domain.mean_filled})
     fills: dict[str, Column] = {}
     for c in numbers:
         value = means[c] if c in means else medians[c][0]
@@ -91,7 +91,7 @@ def cap_outliers(df: DataFrame, columns: Sequence[str], *, key: str = "id", seed
     rows count as outliers."""
     numbers = numeric_columns(df, columns)
     value = {c: F.col(c).cast("double") for c in numbers}
-    quartiles = stats.quantiles(df, {c: (value[c], [0.25, 0.75]) for c in numbers}, rows=rows)
+    quartiles = stats.quantiles(df, {c: (value[c], [0.25, 0.75]) for c in numbers})
     bounds = {
         c: q3 + 1.5 * (q3 - q1) for c, (q1, q3) in quartiles.items() if q1 is not None and q3 > q1
     }
@@ -100,7 +100,7 @@ def cap_outliers(df: DataFrame, columns: Sequence[str], *, key: str = "id", seed
         high = {c: h & flag for c, h in high.items()}
     normal = stats.quantiles(df, {
         c: (F.when(~h, value[c]), [0.75, 0.95]) for c, h in high.items()
-    }, rows=rows)
+    })
     changed = {}
     for c, h in high.items():
         low, top = normal[c]
@@ -134,7 +134,7 @@ def fix_range(df: DataFrame, domain: Domain = CREDIT, rows: int | None = None) -
     """Values outside the plausible range become the median of those inside."""
     low, high = domain.age_range
     c = F.col(domain.age).cast("double")
-    median = stats.quantiles(df, {"age": (F.when(c.between(low, high), c), [0.5])}, rows=rows)["age"][0]
+    median = stats.quantiles(df, {"age": (F.when(c.between(low, high), c), [0.5])})["age"][0]
     if median is None:
         return df
     return df.withColumn(domain.age, F.when((c < low) | (c > high), F.lit(median)).otherwise(c))

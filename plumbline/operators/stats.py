@@ -2,29 +2,31 @@
 statistics and most frequent values.
 
 Each function takes all the columns of a stage at once and returns scalars, like the
-``fit`` of a Spark ML estimator. What reaches the driver is one row per job or one row
-per column, whatever the size of the table.
-
-Exact quantiles avoid ``percentile`` on large tables, since it gathers every distinct
-value of a column in one task. Instead a quantile sketch brackets the wanted ranks,
-one counting pass says how many values lie below and inside the bracket, and the next
-sketch looks at the inside only. The inside shrinks by a factor of about ``accuracy / 4``
-per round (1e12 rows need three), a value that holds a large share of the rows becomes
-a bracket end and is resolved by its count, and every pass is a map-side combined
-aggregate of constant size.
+``fit`` of a Spark ML estimator. What reaches the driver is one row per job or a bounded
+number of rows per column, whatever the size of the table.
+
+Order statistics are exact and found one way at every size. A value becomes a 64-bit key of
+the same order, and a pass counts the keys of all columns by their next ``DIGIT`` bits, in a
+grouped aggregate that is combined before the shuffle. The wanted ranks lie in one cell
+each; the next pass counts inside these cells only. A cell that holds a single value, such
+as one that a third of the rows share, ends the search at once. Three passes reach the last
+bit; values of few digits need one.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+import struct
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-SMALL_ROWS = 250_000
-ACCURACY = 10_000
+from plumbline.sources.staging import staged
+
+DIGIT = 22  # bits that a pass tells apart: at most 2**22 cells of a column
+HALF = DIGIT // 2
 
 
 def scalars(df: DataFrame, measures: Mapping[str, Column]) -> dict[str, Any]:
@@ -36,163 +38,135 @@ def scalars(df: DataFrame, measures: Mapping[str, Column]) -> dict[str, Any]:
     return {n: row[i] for i, n in enumerate(names)}
 
 
-def _finite(column: Column, dtype: str | None = "double") -> Column:
-    if dtype is None:
-        return column
-    value = column.cast(dtype)
-    return F.when(~F.isnan(value), value) if dtype == "double" else value
+@dataclass(frozen=True)
+class Placed:
+    """A value with how many values lie below it and how many are equal."""
+
+    value: Any
+    below: int
+    equal: int
 
 
 @dataclass
 class _Search:
-    """Ranks still wanted strictly between two values of one column."""
+    """Ranks still wanted among the keys that begin like ``cell`` (all keys, if None)."""
 
-    column: str
+    cell: int | None
+    below: int
     ranks: list[int]
-    low: Any
-    high: Any
-    before: int  # values <= low
-    size: int  # values strictly between low and high
+
+
+def _ordered_key(rows: DataFrame) -> DataFrame:
+    """``(name, key)`` of ``(name, value)``: the bits of a double, from its exact exponent and mantissa."""
+    size = F.abs("value")
+    rows = rows.select("name", "value", size.alias("size"), F.least(F.greatest(F.floor(F.log2(size)), F.lit(-1022)), F.lit(1023)).alias("e"))
+    # the logarithm may be off by one next to a power of two; scaling by powers of two is exact
+    m = F.col("size") / F.pow(F.lit(2.0), F.col("e"))
+    rows = rows.select("name", "value", "size", (F.col("e") + F.when(m >= 2, 1).when((m < 1) & (F.col("e") > -1022), -1).otherwise(0)).alias("e"))
+    whole = (F.col("size") / F.pow(F.lit(2.0), F.col("e")) * float(1 << 52)).cast("bigint")
+    bits = F.when(F.col("size") == float("inf"), F.lit(2047 << 52)).when(F.col("size") == 0, F.lit(0)).otherwise((F.col("e") + 1022) * F.lit(1 << 52) + whole)
+    return rows.select("name", F.when(F.col("value") < 0, -bits).otherwise(bits).alias("key"))
+
+
+def _from_key(key: int) -> float:
+    value, = struct.unpack("<d", struct.pack("<q", abs(key)))
+    return -value if key < 0 else value
 
 
 def order_statistics(
     df: DataFrame,
-    wanted: Mapping[str, tuple[Column, Sequence[int]]],
-    accuracy: int = ACCURACY,
-    dtype: str | None = "double",
-    counts: Mapping[str, int] | None = None,
-    small_rows: int = SMALL_ROWS,
-) -> dict[str, dict[int, Any]]:
-    """Exact values at 0-based ranks among the non-null values of each column."""
-    columns = {n: _finite(c, dtype) for n, (c, _) in wanted.items()}
-    found: dict[str, dict[int, Any]] = {n: {} for n in wanted}
-    totals = counts or scalars(df, {n: F.count(c) for n, c in columns.items()})
-    searches: list[_Search] = []
-    for name, (_, ranks) in wanted.items():
-        total = totals[name]
-        clusters: list[list[int]] = []
-        for r in sorted({r for r in ranks if 0 <= r < total}):
-            if clusters and r - clusters[-1][-1] == 1:
-                clusters[-1].append(r)
-            else:
-                clusters.append([r])
-        searches += [_Search(name, c, None, None, 0, total) for c in clusters]
-    return _narrow(df, columns, searches, found, accuracy, small_rows)
-
-
-def _inside(column: Column, low: Any, high: Any) -> Column:
-    condition = column.isNotNull()
-    if low is not None:
-        condition = condition & (column > F.lit(low))
-    if high is not None:
-        condition = condition & (column < F.lit(high))
-    return F.when(condition, column)
-
-
-def _narrow(df, columns, searches, found, accuracy, small_rows):
-    slack = 2.0 / accuracy
-    while searches:
-        # A sketch of at most accuracy/2 values keeps all of them, so its ranks are exact.
-        # Intervals of a bounded size get a sketch that wide and need no further round.
-        exact = [s.size <= max(small_rows, accuracy // 2) for s in searches]
-        shares: dict[tuple, list[float]] = {}  # searches over the same interval share a sketch
-        width: dict[tuple, int] = {}
-        slots = []
-        for s, is_exact in zip(searches, exact):
-            asked = shares.setdefault((s.column, s.low, s.high), [])
-            slots.append(((s.column, s.low, s.high), len(asked)))
-            width[slots[-1][0]] = max(accuracy, 2 * s.size + 2) if is_exact else accuracy
-            if is_exact:
-                asked += [(r - s.before + 0.5) / s.size for r in s.ranks]
-            else:
-                asked += [
-                    max(0.0, (s.ranks[0] - s.before + 0.5) / s.size - slack),
-                    min(1.0, (s.ranks[-1] - s.before + 0.5) / s.size + slack),
-                ]
-        sketches = scalars(df, {
-            spot: F.percentile_approx(_inside(columns[spot[0]], spot[1], spot[2]), asked, width[spot])
-            for spot, asked in shares.items()
-        })
-        values = [sketches[spot][at:] for spot, at in slots]
-        open_searches = []
-        for i, s in enumerate(searches):
-            if exact[i]:
-                found[s.column].update(zip(s.ranks, values[i]))
-            else:
-                open_searches.append((s, values[i][0], values[i][1]))
-        if not open_searches:
+    wanted: Mapping[str, tuple[Column, Sequence[int] | Callable[[int], Sequence[int]]]],
+    dtype: str = "double",
+) -> dict[str, dict[int, Placed]]:
+    """Exact values at 0-based ranks among the non-null values of each column.
+
+    ``dtype`` is "double" (NaN counts as null) or "bigint". Ranks may be a function of the number of
+    values; ranks beyond it have no value.
+    """
+    found: dict[str, dict[int, Placed]] = {n: {} for n in wanted}
+    searches: dict[str, list[_Search]] | None = None
+    for shift in (2 * DIGIT - 2, DIGIT - 2, 0):
+        if searches is not None and not searches:
             break
-        counts = scalars(df, {
-            (i, name): F.count(F.when(test, 1))
-            for i, (s, lo, hi) in enumerate(open_searches)
-            for name, test in (
-                ("lt_lo", columns[s.column] < F.lit(lo)), ("le_lo", columns[s.column] <= F.lit(lo)),
-                ("lt_hi", columns[s.column] < F.lit(hi)), ("le_hi", columns[s.column] <= F.lit(hi)),
-            )
-        })
-        searches = []
-        for i, (s, lo, hi) in enumerate(open_searches):
-            lt_lo, le_lo, lt_hi, le_hi = (counts[i, k] for k in ("lt_lo", "le_lo", "lt_hi", "le_hi"))
-            parts: dict[str, list[int]] = {"below": [], "inside": [], "above": []}
-            for r in s.ranks:
-                if lt_lo <= r < le_lo:
-                    found[s.column][r] = lo
-                elif lt_hi <= r < le_hi:
-                    found[s.column][r] = hi
-                else:
-                    parts["below" if r < lt_lo else "above" if r >= le_hi else "inside"].append(r)
-            for part, low, high, before, after in (
-                ("below", s.low, lo, s.before, lt_lo),
-                ("inside", lo, hi, le_lo, lt_hi),
-                ("above", hi, s.high, le_hi, s.before + s.size),
-            ):
-                if parts[part]:
-                    searches.append(_Search(s.column, parts[part], low, high, before, after - before))
+        names = list(wanted if searches is None else searches)
+        values = F.array(*[F.struct(F.lit(n).alias("name"), wanted[n][0].cast(dtype).alias("value")) for n in names])
+        rows = df.select(F.inline(values)).where("value IS NOT NULL")
+        rows = _ordered_key(rows.where(~F.isnan("value"))) if dtype == "double" else rows.select("name", F.col("value").alias("key"))
+        if searches is not None:
+            inside = F.lit(False)
+            for n, own in searches.items():
+                inside = inside | ((F.col("name") == n) & F.shiftright("key", shift + width).isin([s.cell for s in own]))
+            rows = rows.where(inside)
+        width = 64 - shift if searches is None else width
+        cells = rows.groupBy("name", F.shiftright("key", shift).alias("cell")).agg(
+            F.count(F.lit(1)).alias("n"), F.min("key").alias("lo"), F.max("key").alias("hi"))
+        cells = staged(cells, "cells")
+        coarse = cells.groupBy("name", F.shiftright("cell", HALF).alias("at")).agg(
+            F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).collect()  # 2**HALF rows per column and search
+        if searches is None:
+            searches = {}
+            for n in names:
+                total = sum(r["n"] for r in coarse if r["name"] == n)
+                ranks = wanted[n][1](total) if callable(wanted[n][1]) else wanted[n][1]
+                ranks = sorted({r for r in ranks if 0 <= r < total})
+                if ranks:
+                    searches[n] = [_Search(None, 0, ranks)]
+        open_at = _walk(coarse, searches, found, width - HALF, dtype, False)
+        if not open_at:
+            break
+        chosen = F.lit(False)
+        for n, own in open_at.items():
+            chosen = chosen | ((F.col("name") == n) & F.shiftright("cell", HALF).isin([s.cell for s in own]))
+        fine = cells.where(chosen).withColumnRenamed("cell", "at").collect()  # 2**HALF rows per open cell
+        searches = _walk(fine, open_at, found, HALF, dtype, shift == 0)
+        width = DIGIT if shift == 2 * DIGIT - 2 else DIGIT - 2
     return found
 
 
-def quantiles(
-    df: DataFrame,
-    wanted: Mapping[str, tuple[Column, Sequence[float]]],
-    small_rows: int = SMALL_ROWS,
-    accuracy: int = ACCURACY,
-    rows: int | None = None,
-) -> dict[str, list[float | None]]:
-    """Exact quantiles with linear interpolation, NULL and NaN ignored.
-
-    Up to ``small_rows`` values the built-in ``percentile`` answers in one job; beyond
-    that its state would grow with the table and the rank search above takes over.
-    ``rows``, where the caller knows the table's size, saves counting a small one.
-    """
+def _walk(cells, searches, found, bits: int, dtype: str, last: bool) -> dict[str, list[_Search]]:
+    """Each rank's cell among ``cells``; what is not settled there is searched for in the cell."""
+    out: dict[str, list[_Search]] = {}
+    for name, own in searches.items():
+        mine = sorted((r["at"], r["n"], r["lo"], r["hi"]) for r in cells if r["name"] == name)
+        for search in own:
+            below, ranks = search.below, search.ranks
+            for at, n, lo, hi in mine:
+                if search.cell is not None and at >> bits != search.cell:
+                    continue
+                here = [r for r in ranks if below <= r < below + n]
+                if here and (lo == hi or last):
+                    value = _from_key(lo) if dtype == "double" else lo
+                    found[name].update({r: Placed(value, below, n) for r in here})
+                elif here:
+                    out.setdefault(name, []).append(_Search(at, below, here))
+                below += n
+    return out
+
+
+def quantiles(df: DataFrame, wanted: Mapping[str, tuple[Column, Sequence[float]]]) -> dict[str, list[float | None]]:
+    """Exact quantiles with linear interpolation, NULL and NaN ignored."""
     if not wanted:
         return {}
-    columns = {n: _finite(c) for n, (c, _) in wanted.items()}
-    if rows is not None and rows <= small_rows:
-        counts = dict.fromkeys(columns, rows)
-    else:
-        counts = scalars(df, {n: F.count(c) for n, c in columns.items()})
-    small = {n: c for n, c in columns.items() if counts[n] <= small_rows}
+    totals: dict[str, int] = {}
+
+    def ranks(name: str):
+        def of(total: int) -> list[int]:
+            totals[name] = total
+            return [int(f(p * (total - 1))) for p in wanted[name][1] for f in (math.floor, math.ceil)]
+        return of
+
+    found = order_statistics(df, {n: (c, ranks(n)) for n, (c, _) in wanted.items()})
     out: dict[str, list[float | None]] = {}
-    values = scalars(
-        df, {n: F.percentile(c, F.array(*[F.lit(float(p)) for p in wanted[n][1]])) for n, c in small.items()}
-    )
-    for name in small:
-        out[name] = list(values[name]) if values[name] is not None else [None] * len(wanted[name][1])
-    large = [n for n in wanted if n not in small]
-    if large:
-        places = {n: [p * (counts[n] - 1) for p in wanted[n][1]] for n in large}
-        ranks = {
-            n: (columns[n], sorted({int(f(x)) for x in places[n] for f in (math.floor, math.ceil)}))
-            for n in large
-        }
-        found = order_statistics(df, ranks, accuracy, counts=counts, small_rows=small_rows)
-        for n in large:
-            out[n] = []
-            for x in places[n]:
-                low, high = math.floor(x), math.ceil(x)
-                lo, hi = found[n][low], found[n][high]
-                # the built-in's own interpolation, so both ways agree to the last bit
-                out[n].append(lo if low == high or lo == hi else (high - x) * lo + (x - low) * hi)
+    for n, (_, shares) in wanted.items():
+        out[n] = []
+        for p in shares:
+            if not totals.get(n):
+                out[n].append(None)
+                continue
+            x = p * (totals[n] - 1)
+            low, high = math.floor(x), math.ceil(x)
+            lo, hi = found[n][low].value, found[n][high].value
+            out[n].append(lo if low == high or lo == hi else (high - x) * lo + (x - low) * hi)
     return out
 
 
@@ -238,86 +212,35 @@ def top_values(df: DataFrame, columns: Mapping[str, Column]) -> dict[str, TopVal
 
 
 def ticket_cuts(
-    df: DataFrame,
-    wanted: Mapping[str, tuple[Column, Sequence[int]]],
-    key: Column,
-    span: int = 1 << 53,
-    accuracy: int = ACCURACY,
-    small_rows: int = SMALL_ROWS,
-    few: int = 10_000,
-    counts: Mapping[str, int] | None = None,
+    df: DataFrame, wanted: Mapping[str, tuple[Column, Sequence[int]]], key: Column,
 ) -> dict[str, list[Column]]:
     """Predicates that hold for exactly the k rows with the smallest (ticket, key).
 
-    ``wanted`` maps a name to a ticket (uniform on [0, span), NULL for rows that take no
-    part) and the sizes k. The predicates compare with literals, so picking an exact
-    number of rows needs neither a join nor a window over the table.
-
-    Up to ``few`` rows, a pass keeps only tickets below a bound that k of them all but
-    surely fit under; larger cuts, and the odd short one, search for the k-th smallest
-    ticket and split a tie at it by key.
+    ``wanted`` maps a name to a ticket (a bigint, NULL for rows that take no part) and the sizes
+    k. The predicates compare with literals, so picking an exact number of rows needs neither
+    a join nor a window over the table. Rows with the k-th ticket are split by key.
     """
     out = {n: [F.lit(False)] * len(ks) for n, (_, ks) in wanted.items()}
-    tickets = {n: t for n, (t, _) in wanted.items()}
-    counts = counts or scalars(df, {n: F.count(t) for n, t in tickets.items()})
-    long, short = [], []
-    for n, (_, ks) in wanted.items():
+    totals: dict[str, int] = {}
+
+    def ranks(name: str, sizes: Sequence[int]):
+        def of(total: int) -> list[int]:
+            totals[name] = total
+            return [k - 1 for k in sizes if 0 < k < total]
+        return of
+
+    found = order_statistics(df, {n: (t, ranks(n, ks)) for n, (t, ks) in wanted.items()}, "bigint") if wanted else {}
+    for n, (ticket, ks) in wanted.items():
         for i, k in enumerate(ks):
-            if k >= counts[n]:
-                out[n][i] = tickets[n].isNotNull()
+            if k >= totals.get(n, 0):
+                out[n][i] = ticket.isNotNull()
             elif k > 0:
-                (short if k <= few else long).append((n, i, k))
-
-    def upto(ticket: Column, cut: Any, last: Any) -> Column:
-        test = (ticket < F.lit(cut)) | ((ticket == F.lit(cut)) & (key <= F.lit(last)))
-        return F.coalesce(test, F.lit(False))
-
-    if short:
-        largest: dict[str, int] = {}
-        for n, _, k in short:
-            largest[n] = max(k, largest.get(n, 0))
-        bounds = {n: span * min(1.0, (k + 8 * math.sqrt(k) + 40) / counts[n]) for n, k in largest.items()}
-        # the tickets get a projection of their own, so that each is computed once per row
-        drawn = df.select(key.alias("key"), *[tickets[n].alias(f"t{j}") for j, n in enumerate(bounds)])
-        cells = F.array(*[
-            F.when(F.col(f"t{j}") < F.lit(b), F.struct(F.lit(n).alias("name"), F.col(f"t{j}").alias("ticket"), F.col("key")))
-            for j, (n, b) in enumerate(bounds.items())
-        ])
-        ranked = drawn.select(F.inline(cells)).filter(F.col("name").isNotNull()).withColumn(
-            "k", F.row_number().over(Window.partitionBy("name").orderBy("ticket", "key")))
-        hits = F.lit(False)
-        for n, _, k in short:
-            hits = hits | ((F.col("name") == n) & F.col("k").isin(k, k + 1))
-        ends = {(r["name"], r["k"]): r for r in ranked.filter(hits).collect()}  # two rows per cut
-        for n, i, k in short:
-            if (n, k) in ends:
-                last, following = ends[n, k], ends.get((n, k + 1))
-                if following is None or following["ticket"] != last["ticket"]:
-                    out[n][i] = F.coalesce(tickets[n] <= F.lit(last["ticket"]), F.lit(False))
-                else:
-                    out[n][i] = upto(tickets[n], last["ticket"], last["key"])
-            else:
-                long.append((n, i, k))
-    if not long:
-        return out
-    asked: dict[str, list[int]] = {}
-    for n, _, k in long:
-        asked.setdefault(n, []).append(k - 1)
-    found = order_statistics(
-        df, {n: (tickets[n], ranks) for n, ranks in asked.items()}, accuracy, None, counts, small_rows)
-    cuts = {job: found[job[0]][job[2] - 1] for job in long}
-    at = scalars(df, {
-        (job, name): F.count(F.when(test, 1))
-        for job, cut in cuts.items()
-        for name, test in (("lt", tickets[job[0]] < F.lit(cut)), ("le", tickets[job[0]] <= F.lit(cut)))
-    })
-    for job, cut in cuts.items():
-        n, i, k = job
-        if at[job, "le"] == k:
-            out[n][i] = F.coalesce(tickets[n] <= F.lit(cut), F.lit(False))
-        else:
-            rank = k - at[job, "lt"] - 1
-            tied = df.filter(tickets[n] == F.lit(cut)).select(key.alias("key"))
-            last = order_statistics(tied, {"key": (F.col("key"), [rank])}, accuracy, None)["key"][rank]
-            out[n][i] = upto(tickets[n], cut, last)
+                cut = found[n][k - 1]
+                if cut.below + cut.equal == k:
+                    out[n][i] = F.coalesce(ticket <= F.lit(cut.value), F.lit(False))
+                    continue
+                rank = k - cut.below - 1
+                last = order_statistics(df.filter(ticket == F.lit(cut.value)), {"key": (key, [rank])}, "bigint")["key"][rank].value
+                test = (ticket < F.lit(cut.value)) | ((ticket == F.lit(cut.value)) & (key <= F.lit(last)))
+                out[n][i] = F.coalesce(test, F.lit(False))
     return out
