@@ -26,9 +26,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from plumbline.sources.staging import staged
 
-SHARD = 4096  # members a shard's root has at most, and nodes a shard has of one depth
+SHARD = 512  # members a shard's root has at most, and nodes a shard has of one depth
 QUEUE = 100_000  # messages held in memory
-SALTS = 64
+SALTS = 32
 PIECE = 4096  # neighbouring conversation ids in a piece of a node's list
 
 
