@@ -70,6 +70,17 @@ def s4(spark, folder):
     return shown(saved).join(saved.select("id", *STAMPS), "id")
 
 
+@query("s4_repeated_run", """
+SELECT dataset_id, run_id, count(*) AS n_rows FROM orders, (VALUES ('il_240101_0000', 'r1'), ('il_240101_0000', 'r2'), ('il_240101_0001', 'r1')) AS v(dataset_id, run_id)
+GROUP BY ALL""")
+def s4_repeated(spark, folder):
+    """A run that is repeated replaces its rows; other runs and datasets keep theirs."""
+    store = _store(spark)
+    for dataset, run in (("il_240101_0000", "r1"), ("il_240101_0000", "r2"), ("il_240101_0001", "r1"), ("il_240101_0000", "r1")):
+        store.save_raw(apps(spark, folder), dataset, "original_csv", run)
+    return store.read("raw").groupBy("dataset_id", "run_id").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 WHOLE = replace(DOMAIN, columns={**DOMAIN.columns, "amount": "int", "total_qty": "int", "avg_qty": "int"})
 
 

@@ -10,6 +10,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from plumbline.operators import stats
+
 METRICS = ("accuracy", "precision", "recall", "f1", "roc_auc")
 CLASS_NAMES = {0: "good(0)", 1: "bad(1)"}
 
@@ -52,45 +54,28 @@ def test_metrics(scored: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def _bucket(score: Column, cuts: list[float]) -> Column:
-    """Position of the score among sorted cuts, as a balanced tree of comparisons."""
-    def half(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(score < F.lit(cuts[mid]), half(lo, mid)).otherwise(half(mid + 1, hi))
-    return half(0, len(cuts))
-
-
-def roc_auc(scored: DataFrame, keys: Sequence[str] = (), buckets: int = 128, splits: int = 64) -> DataFrame:
+def roc_auc(scored: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Area under the ROC curve with half credit for ties, exact.
 
-    Counts per distinct score are cut into score ranges: ``buckets`` that hold about equally many
-    rows, each in ``splits`` equal widths. The running count that ranks need is taken within a
-    range and over the ranges (8192 per key by default), never over all scores in one task; a
-    score that many rows share is one count. Keys without both classes give NULL."""
-    shares = [i / buckets for i in range(buckets + 1)]
-    ends = scored.agg(F.percentile_approx("score", shares, 10_000).alias("c")).first()["c"] or [0.0]
-    ends = sorted(set(ends))
-    bucket = _bucket(F.col("score"), ends[1:-1])
-    place = F.lit(0)
-    if len(ends) > 1:
-        low = F.element_at(F.array(*[F.lit(float(e)) for e in ends[:-1]]), F.col("bucket") + 1)
-        width = F.element_at(F.array(*[F.lit(float(b - a)) for a, b in zip(ends, ends[1:])]), F.col("bucket") + 1)
-        place = F.floor((F.col("score") - low) / width * F.lit(float(splits))).cast("int")
-        place = F.greatest(F.lit(0), F.least(F.lit(splits - 1), place))
-    counts = (
-        scored.groupBy(*keys, "score")
-        .agg(F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg"))
-        .withColumn("bucket", bucket).withColumn("bucket", F.col("bucket") * splits + place)
-    )
-    per_bucket = counts.groupBy(*keys, "bucket").agg(F.sum("neg").alias("bucket_neg"))
-    before = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    # at most ``buckets * splits`` rows per key
-    offsets = per_bucket.select(*keys, "bucket", F.coalesce(F.sum("bucket_neg").over(before), F.lit(0)).alias("offset"))
-    within = Window.partitionBy(*keys, "bucket").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = counts.withColumn("below", F.coalesce(F.sum("neg").over(within), F.lit(0)))
-    joined = ranked.join(offsets, [*keys, "bucket"])
+    Scores become 64-bit keys of the same order, and counts per distinct score are summed over the
+    keys' first bits and first two thirds. The running count that ranks need is taken over the first
+    parts, within each over the second, and within these over the scores: no task orders more than
+    2**22 rows of a key, however the scores are spread; a score that many rows share is one count.
+    Keys without both classes give NULL."""
+    counts = scored.withColumn("score", F.col("score").cast("double")).where(F.col("score").isNotNull() & ~F.isnan("score")).groupBy(*keys, "score").agg(
+        F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg"))
+    counts = stats.with_ordered_key(counts, "score", "key").select(
+        *keys, "pos", "neg", "key", F.shiftright("key", 42).alias("high"), F.shiftright("key", 20).alias("middle"))
+
+    def before(rows, name, within, order):
+        window = Window.partitionBy(*keys, *within).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return rows.withColumn(name, F.coalesce(F.sum("neg").over(window), F.lit(0)))
+
+    middle = counts.groupBy(*keys, "high", "middle").agg(F.sum("neg").alias("neg"))
+    high = before(middle.groupBy(*keys, "high").agg(F.sum("neg").alias("neg")), "offset", [], "high").drop("neg")
+    middle = before(middle, "within", ["high"], "middle").join(high, [*keys, "high"])
+    middle = middle.select(*keys, "middle", (F.col("offset") + F.col("within")).alias("offset"))
+    joined = before(counts, "below", ["middle"], "key").join(middle, [*keys, "middle"])
     won = F.sum(F.col("pos").cast("double") * (F.col("offset") + F.col("below") + F.col("neg") / 2.0))
     pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
     return joined.groupBy(*keys).agg(F.try_divide(won, pairs).alias("roc_auc"))

@@ -56,16 +56,25 @@ class _Search:
     ranks: list[int]
 
 
-def _ordered_key(rows: DataFrame) -> DataFrame:
-    """``(name, key)`` of ``(name, value)``: the bits of a double, from its exact exponent and mantissa."""
-    size = F.abs("value")
-    rows = rows.select("name", "value", size.alias("size"), F.least(F.greatest(F.floor(F.log2(size)), F.lit(-1022)), F.lit(1023)).alias("e"))
+def with_ordered_key(df: DataFrame, column: str, output: str) -> DataFrame:
+    """Add a bigint in the order of a double column: its bits, from the exact exponent and mantissa.
+
+    Zeros of both signs are one key; NULL gives NULL; NaN is not expected.
+    """
+    kept = [F.col(f"`{c}`") for c in df.columns]
+    rows = df.select(*kept, F.abs(F.col(column)).alias("_size"))
+    rows = rows.select("*", F.least(F.greatest(F.floor(F.log2("_size")), F.lit(-1022)), F.lit(1023)).alias("_e"))
     # the logarithm may be off by one next to a power of two; scaling by powers of two is exact
-    m = F.col("size") / F.pow(F.lit(2.0), F.col("e"))
-    rows = rows.select("name", "value", "size", (F.col("e") + F.when(m >= 2, 1).when((m < 1) & (F.col("e") > -1022), -1).otherwise(0)).alias("e"))
-    whole = (F.col("size") / F.pow(F.lit(2.0), F.col("e")) * float(1 << 52)).cast("bigint")
-    bits = F.when(F.col("size") == float("inf"), F.lit(2047 << 52)).when(F.col("size") == 0, F.lit(0)).otherwise((F.col("e") + 1022) * F.lit(1 << 52) + whole)
-    return rows.select("name", F.when(F.col("value") < 0, -bits).otherwise(bits).alias("key"))
+    m = F.col("_size") / F.pow(F.lit(2.0), F.col("_e"))
+    rows = rows.select(*kept, "_size", (F.col("_e") + F.when(m >= 2, 1).when((m < 1) & (F.col("_e") > -1022), -1).otherwise(0)).alias("_e"))
+    whole = (F.col("_size") / F.pow(F.lit(2.0), F.col("_e")) * float(1 << 52)).cast("bigint")
+    bits = F.when(F.col("_size") == float("inf"), F.lit(2047 << 52)).when(F.col("_size") == 0, F.lit(0)).otherwise((F.col("_e") + 1022) * F.lit(1 << 52) + whole)
+    return rows.select(*kept, F.when(F.col(column) < 0, -bits).otherwise(bits).alias(output))
+
+
+def _ordered_key(rows: DataFrame) -> DataFrame:
+    """``(name, key)`` of ``(name, value)``."""
+    return with_ordered_key(rows, "value", "key").select("name", "key")
 
 
 def _from_key(key: int) -> float:

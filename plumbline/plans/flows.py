@@ -5,13 +5,13 @@ from __future__ import annotations
 import time
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from plumbline.domain import CREDIT, Domain
 from plumbline.operators import corrupt, drift, repair
 from plumbline.operators.expectations import Suite, failed_expectations, run_suite, statistics
 from plumbline.sources import results as result_tables
-from plumbline.sources.csv import read_csv
+from plumbline.sources.csv import PLACES, read_csv
 from plumbline.sources.layers import LayerStore
 from plumbline.sources.staging import staged
 
@@ -24,16 +24,45 @@ def initial_load(store: LayerStore, path: str, schema: str, *, dataset_id: str,
                  key: str | None = None, **csv) -> DataFrame:
     """Read a delimited file into the raw layer and say how many rows that were.
 
-    A file without a key gets one here. It is written with the rows, and every later step reads
-    it back, so it never changes again."""
-    df = read_csv(store.spark, path, schema, **csv)
+    A file without a key gets one here: the row's place in its files, after the highest key of the
+    layer. It is written with the rows, every later step reads it back, and a repeated load gives
+    every row the same key again."""
+    df = read_csv(store.spark, path, schema, places=key is None, **csv)
     if key is None:
-        df, key = df.withColumn("id", F.monotonically_increasing_id()), "id"
+        df, key = numbered(df, _first_key(store, dataset_id, run_id)), "id"
     store.save_raw(df, dataset_id, source, run_id, key)
     loaded = store.read("raw").filter((F.col("dataset_id") == dataset_id) & (F.col("run_id") == run_id))
+    store.record("raw", dataset_id, loaded.count(), len(df.columns))
     return loaded.groupBy("dataset_id", "run_id", "data_source").agg(F.count(F.lit(1)).alias("rows_loaded"))
 
 
+def numbered(df: DataFrame, start: int, output: str = "id") -> DataFrame:
+    """Number the rows of a file scan with PLACES from ``start``, in the order of files and rows.
+
+    Rows are counted per block, the counts summed up over the blocks, and each row takes its place
+    within its block. How the files were cut into blocks changes nothing."""
+    rows = staged(df, "rows")  # fixes the order within a block
+    file, block, place = PLACES
+    blocks = rows.groupBy(file, block).agg(F.count(F.lit(1)).alias("_n"), F.min(place).alias("_least"))
+    within = Window.partitionBy(file).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+    files = blocks.groupBy(file).agg(F.sum("_n").alias("_rows"))
+    above = files.select(file, F.coalesce(F.sum("_rows").over(Window.orderBy(file).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_above"))  # one row a file
+    blocks = blocks.withColumn("_before", F.coalesce(F.sum("_n").over(within), F.lit(0))).join(above, file)
+    blocks = staged(blocks.select(file, block, (F.lit(start) + F.col("_above") + F.col("_before") - F.col("_least")).alias("_shift")), "blocks")
+    return rows.join(blocks, [file, block]).withColumn(output, F.col("_shift") + F.col(place)).drop(*PLACES, "_shift")
+
+
+def _first_key(store: LayerStore, dataset_id: str, run_id: str) -> int:
+    """Where the keys of a load begin: where they began when it ran before, else after the highest one."""
+    if not store.exists("raw"):
+        return 0
+    own = (F.col("dataset_id") == dataset_id) & (F.col("run_id") == run_id)
+    found = store.read("raw").agg(F.min(F.when(own, F.col("id"))).alias("own"), F.max("id").alias("last")).first()
+    if found["own"] is not None:
+        return found["own"]
+    return 0 if found["last"] is None else found["last"] + 1
+
+
 def validate(df: DataFrame, suite: Suite, store: LayerStore | None = None, *, dataset_id: str = "", run_id: str = "",
              domain: Domain = CREDIT) -> DataFrame:
     """Result rows of a suite; with a store the summary is appended to its validation log."""
@@ -69,7 +98,7 @@ def run_experiment(store: LayerStore, corruption: str, scenario: str, suite: Sui
     if corruption not in corrupt.CORRUPTORS:
         raise ValueError(f"unknown corruption: {corruption}")
     raw = store.load("raw", ordered=False, data_source=source, dataset_id=source_dataset)
-    changed = corrupt.CORRUPTORS[corruption](raw, scenario, store.domain, seed=seed)
+    changed = staged(corrupt.CORRUPTORS[corruption](raw, scenario, store.domain, seed=seed), "corrupted")  # saved and judged
     store.save_derived("corrupted", changed, dataset_id, corruption, scenario, run_id)
     judged = store.load("corrupted", ordered=False, dataset_id=dataset_id, run_id=run_id) if as_saved else changed
     return validate(judged, suite, store, dataset_id=dataset_id, run_id=run_id, domain=store.domain)

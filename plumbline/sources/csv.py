@@ -12,9 +12,11 @@ from plumbline.functions.cleaning import normalize_name, normalize_names
 MISSING = ("#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A",
            "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
+PLACES = ("_file", "_block", "_order")
+
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, *, sep: str = ";", encoding: str = "UTF-8",
-             na_values: Iterable[str] = (), dtype: Mapping[str, str] | None = None, normalize: bool = True) -> DataFrame:
+             na_values: Iterable[str] = (), dtype: Mapping[str, str] | None = None, normalize: bool = True, places: bool = False) -> DataFrame:
     """Read with a given schema (inference would read the file twice).
 
     Columns are found by their names in the header, as they stand or normalised; one that is
@@ -24,17 +26,22 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, *, sep:
         schema = T.StructType.fromDDL(schema)
     reader = spark.read.options(sep=sep, encoding=encoding, header=True, quote='"', escape='"')
     header = reader.csv(path).columns  # the first line only
-    places = {normalize_name(name): name for name in header} | {name: name for name in header}
-    missing = [f.name for f in schema.fields if f.name not in places and normalize_name(f.name) not in places]
+    named = {normalize_name(name): name for name in header} | {name: name for name in header}
+    missing = [f.name for f in schema.fields if f.name not in named and normalize_name(f.name) not in named]
     if missing:
         raise ValueError(f"not in the header: {missing}")
     text = T.StructType([T.StructField(name, T.StringType()) for name in header])
     found = reader.schema(text).csv(path)
-    raw = found.select(*[F.col(f"`{places.get(f.name, places.get(normalize_name(f.name)))}`").alias(f.name) for f in schema.fields])
+    block = (F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    extra = [c.alias(name) for c, name in zip(block, PLACES)] if places else []
+    raw = found.select(*[F.col(f"`{named.get(f.name, named.get(normalize_name(f.name)))}`").alias(f.name) for f in schema.fields], *extra)
     tokens = [*MISSING, *na_values]
     types = {**{f.name: f.dataType.simpleString() for f in schema.fields}, **(dtype or {})}
     df = raw.select(*[
         F.when(~F.col(f"`{f.name}`").isin(tokens), F.col(f"`{f.name}`")).cast(types[f.name]).alias(f.name)
         for f in schema.fields
-    ])
-    return normalize_names(df) if normalize else df
+    ], *(PLACES if places else ()))
+    if not normalize:
+        return df
+    names = normalize_names(df.drop(*PLACES)).columns
+    return df.toDF(*names, *(PLACES if places else ()))

@@ -1,8 +1,8 @@
 """Versioned layers: raw, corrupted and remediated tables as Parquet, one folder per dataset.
 
-A dataset version is a partition value, so reading one version opens only its files. Rows
-keep the key of their first layer. Appends are atomic per Spark job; metadata is an append
-log whose current state is the latest entry per dataset.
+Dataset version and run are partition values, so reading one version opens only its files, and
+a run that is repeated replaces its own rows. Rows keep the key of their first layer. Metadata
+is an append log whose current state is the latest entry per dataset.
 """
 
 from __future__ import annotations
@@ -11,12 +11,14 @@ import os
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from plumbline.domain import CREDIT, Domain
 from plumbline.functions.cleaning import text_nulls, truncated_int
 
 LAYERS = ("raw", "corrupted", "remediated")
+VERSION = ("dataset_id", "run_id")  # partition columns of a layer
 METADATA_SCHEMA = (
     "dataset_name string, dataset_type string, description string, row_count bigint, column_count bigint, "
     "data_quality_score double, created_at timestamp, updated_at timestamp, is_active boolean, current_version string"
@@ -94,8 +96,20 @@ class LayerStore:
         return os.path.join(self.root, f"{layer}_{self.base}" if layer in LAYERS else f"{self.base}_{layer}")
 
     def append(self, layer: str, rows: DataFrame) -> None:
-        writer = rows.write.mode("append")
-        (writer.partitionBy("dataset_id") if layer in LAYERS else writer).parquet(self.path(layer))
+        """Add rows; in a data layer those of the same dataset and run are replaced, so a retry changes nothing."""
+        if layer in LAYERS:
+            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*VERSION).parquet(self.path(layer))
+        else:
+            rows.write.mode("append").parquet(self.path(layer))
+
+    def exists(self, layer: str) -> bool:
+        try:
+            self.spark.read.parquet(self.path(layer))
+        except AnalysisException as missing:
+            if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            return False
+        return True
 
     def save_raw(self, df: DataFrame, dataset: str, source: str, run_id: str, key: str = "id") -> None:
         self.append("raw", raw_rows(df, dataset, source, run_id, self.domain, key=key))
@@ -105,13 +119,13 @@ class LayerStore:
         self.append(layer, derived_rows(df, dataset, corruption_type, scenario, run_id, self.domain, key=key))
 
     def read(self, layer: str) -> DataFrame:
-        """The whole layer. Dataset ids stay text whatever they look like."""
+        """The whole layer. Ids of datasets and runs stay text whatever they look like."""
         return self.spark.read.schema(self.schema(layer)).parquet(self.path(layer))
 
     def schema(self, layer: str) -> T.StructType:
         found = self.spark.read.parquet(self.path(layer)).schema
         return T.StructType([
-            T.StructField(f.name, T.StringType() if f.name == "dataset_id" else f.dataType) for f in found.fields])
+            T.StructField(f.name, T.StringType() if f.name in VERSION else f.dataType) for f in found.fields])
 
     def load(self, layer: str, **filters) -> DataFrame:
         return load_rows(self.read(layer), **filters)
@@ -146,7 +160,7 @@ def filtered(df: DataFrame, *, dataset_id: str | None = None, run_id: str | None
     return df
 
 
-def load_rows(layer: DataFrame, ordered: bool = True, **filters) -> DataFrame:
+def load_rows(layer: DataFrame, ordered: bool = False, **filters) -> DataFrame:
     df = text_nulls(filtered(layer, **filters))
     return df.orderBy("id") if ordered else df
 

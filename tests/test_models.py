@@ -48,15 +48,24 @@ def test_scaling_and_unseen_categories(spark):
     assert b.first()["features"].toArray().tolist() == [3, 0, 0, 0]
 
 
-@pytest.mark.parametrize("buckets,splits", [(1, 1), (4, 3), (128, 64)])
-def test_auc_with_ties_matches_pair_counting(spark, buckets, splits):
+@pytest.mark.parametrize("spread", ["ties", "tiny", "huge"])
+def test_auc_with_ties_matches_pair_counting(spark, spread):
     rng = np.random.default_rng(1)
     y, s = rng.integers(0, 2, 600), np.round(rng.random(600), 2)
     s[:200] = 0.5  # a third of the rows share one score
+    s = {"ties": s, "tiny": 1 + s * 1e-9, "huge": np.exp(600 * (s - 0.5))}[spread]
     df = spark.createDataFrame([(int(a), float(b)) for a, b in zip(y, s)], "label int, score double")
     pos, neg = s[y == 1][:, None], s[y == 0][None, :]
     want = ((pos > neg).sum() + 0.5 * (pos == neg).sum()) / (pos.size * neg.size)
-    assert evaluate.roc_auc(df, buckets=buckets, splits=splits).first()["roc_auc"] == pytest.approx(want, abs=1e-12)
+    assert evaluate.roc_auc(df).first()["roc_auc"] == pytest.approx(want, abs=1e-12)
+
+
+def test_ranges_of_any_scores_are_bounded(spark):
+    """Nearly all scores within a hair of each other: no window holds more than its bits allow, and most hold few."""
+    df = spark.range(50_000).select(F.lit(0).alias("m"), (1 + F.col("id") * 2.0 ** -50).alias("score"))
+    keyed = evaluate.stats.with_ordered_key(df, "score", "key")
+    largest = keyed.groupBy(F.shiftright("key", 20)).count().agg(F.max("count")).first()[0]
+    assert keyed.select("key").distinct().count() == 50_000 and largest <= 1 << 20
 
 
 def test_one_sided_predictions_give_zero_not_an_error(spark):

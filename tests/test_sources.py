@@ -158,3 +158,18 @@ def test_corrupted_rows_keep_the_first_key(store, spark):
     assert rows.select("original_row_id").exceptAll(store.read("raw").select("id")).count() == 0
     assert corrupt.CORRUPTORS.keys() == {"missing_values", "outliers", "categorical_errors", "label_errors",
                                          "relationship_violation", "conjoined_corruption"}
+
+
+def test_keys_are_places_in_the_files_however_they_are_cut(spark, tmp_path):
+    """The same keys with whole files and with blocks of a few rows; a second load goes on after the first."""
+    path = str(tmp_path / "rows")
+    spark.range(3000).select(F.col("id").alias("n"), F.repeat(F.lit("x"), 20).alias("t")).repartition(3).write.option("header", True).option("sep", ";").csv(path)
+    found = []
+    for size in ("128m", "4k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            rows = flows.numbered(flows.read_csv(spark, path, "n bigint, t string", places=True), 10)
+            found.append(sorted((r["id"], r["n"]) for r in rows.collect()))
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert found[0] == found[1] and [i for i, _ in found[0]] == list(range(10, 3010))
