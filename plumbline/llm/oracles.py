@@ -29,7 +29,7 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM docs LEFT JOIN hits USING (r) LEFT JOIN items USING (r)
 """
 
-# The bits of `failed`, in order: few_words, repeated_words, symbols, repeated_lines, long_words, few_letters, huge_word.
+# The bits of `failed`, in order: few_words, repeated_words, symbols, repeated_lines, long_words, few_letters, huge_word, long_word_share.
 RULES_SQL = r"""
 WITH docs AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
@@ -46,15 +46,17 @@ measured AS (
   SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
          CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
          coalesce(n_lines, 0) AS n_lines, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
-         len(list_filter(w, lambda x: regexp_matches(x, '[\p{L}\p{N}]'))) AS n_marked, coalesce(list_max(list_transform(w, lambda x: length(x))), 0) AS longest
+         len(list_filter(w, lambda x: regexp_matches(x, '[\p{L}\p{N}]'))) AS n_marked, coalesce(list_max(list_transform(w, lambda x: length(x))), 0) AS longest,
+         len(list_filter(w, lambda x: length(x) > 40 AND NOT contains(x, '://') AND NOT regexp_matches(x,
+           '[\x{0E00}-\x{109F}\x{1780}-\x{17FF}\x{3040}-\x{30FF}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}\x{FF66}-\x{FF9F}\x{20000}-\x{3FFFF}]'))) AS n_long
   FROM docs LEFT JOIN lines USING (r) LEFT JOIN repeats USING (r)),
 judged AS (
   SELECT *, CAST((CASE WHEN n_words < 10 THEN 1 ELSE 0 END) + (CASE WHEN 100 * n_repeat_words > 20 * n_words THEN 2 ELSE 0 END)
     + (CASE WHEN 10 * n_symbols > n_words THEN 4 ELSE 0 END) + (CASE WHEN 10 * n_dup_lines > 3 * n_lines THEN 8 ELSE 0 END)
     + (CASE WHEN word_chars > 20 * n_words THEN 16 ELSE 0 END) + (CASE WHEN 10 * n_marked < 8 * n_words THEN 32 ELSE 0 END)
-    + (CASE WHEN longest > 1000 THEN 64 ELSE 0 END) AS BIGINT) AS failed
+    + (CASE WHEN longest > 1000 THEN 64 ELSE 0 END) + (CASE WHEN 10 * n_long > n_words THEN 128 ELSE 0 END) AS BIGINT) AS failed
   FROM measured)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed & 3 <> 0 AS base_failed, failed = 0 AS kept, failed
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed & 3 <> 0 AS base_failed, failed & 175 = 0 AS kept, failed
 FROM judged
 """
 

@@ -16,9 +16,13 @@ WINDOW = 5
 SYMBOLS = re.compile(r"[#*$%&|<>]")
 _WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 _MARK = re.compile(r"[^\W_]")
+LONG_WORD = 40  # code points
+# Fixed: letters of scripts written without blanks between words (Thai, Lao, Tibetan, Myanmar, Khmer, Kana, Han), as ranges of code points.
+NO_BLANKS = [(0x0E00, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x20000, 0x3FFFF)]
+_NO_BLANKS = re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in NO_BLANKS) + "]")
 
 MEASURES = ("n_words bigint, word_chars bigint, n_symbols bigint, n_lines bigint, n_dup_lines bigint, "
-            "n_repeat_words bigint, n_marked_words bigint, longest_word bigint")
+            "n_repeat_words bigint, n_marked_words bigint, longest_word bigint, n_long_words bigint")
 
 # Name and condition of each rule; its place is its bit and never changes, new rules go to the end.
 RULES: list[tuple[str, str]] = [
@@ -29,6 +33,7 @@ RULES: list[tuple[str, str]] = [
     ("long_words", "word_chars > 20 * n_words"),
     ("few_letters", "10 * n_marked_words < 8 * n_words"),
     ("huge_word", "longest_word > 1000"),
+    ("long_word_share", "10 * n_long_words > n_words"),
 ]
 BIT = {name: 1 << i for i, (name, _) in enumerate(RULES)}
 BASE = BIT["few_words"] | BIT["repeated_words"]
@@ -37,8 +42,11 @@ BASE = BIT["few_words"] | BIT["repeated_words"]
 POLICIES: dict[str, int] = {
     "base": BASE,
     "v1": BASE | BIT["symbols"] | BIT["repeated_lines"] | BIT["long_words"] | BIT["few_letters"] | BIT["huge_word"],
+    # word length as a share of the words, and only where words are set apart by blanks: one long address
+    # or a text in Han letters is no fault
+    "v2": BASE | BIT["symbols"] | BIT["repeated_lines"] | BIT["few_letters"] | BIT["long_word_share"],
 }
-CURRENT = "v1"
+CURRENT = "v2"
 
 
 def measure(text: str) -> dict:
@@ -55,6 +63,7 @@ def measure(text: str) -> dict:
         "n_repeat_words": repeated_words(words),
         "n_marked_words": sum(1 for w in words if _MARK.search(w)),
         "longest_word": max(map(len, words), default=0),
+        "n_long_words": sum(1 for w in words if len(w) > LONG_WORD and "://" not in w and not _NO_BLANKS.search(w)),
     }
 
 

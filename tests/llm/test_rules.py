@@ -37,10 +37,22 @@ def test_edge_cases(spark):
     assert rules.ledger(docs.limit(0)).collect() == [] and rules.keep_good(docs.limit(0)).collect() == []
 
 
+CHINESE = " ".join("我们在城外的河边走了很久，看见许多白色的鸟从水面飞起" for _ in range(1)) + " " + " ".join(f"他说了第{i}个很长的故事，大家都安静地听着直到太阳落下山去为止" for i in "一二三四五六七八九十百千万")
+
+
+def test_clean_texts_in_any_script_and_with_long_addresses_stay(spark):
+    rows = [(1, CHINESE), (2, GOOD + " https://example.org/" + "a" * 5_000), (3, GOOD + " " + "QUJD" * 1_000), (4, " ".join(chr(97 + i) * 60 for i in range(20)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in rules.keep_good(docs).collect()) == [1, 2, 3]
+    assert sorted(r["doc_id"] for r in rules.keep_good(docs, "v1").collect()) == []
+    assert rules.POLICIES["v1"] == 127
+
+
 def test_ablation_counts_as_the_rules_do(spark):
-    rows = [(i, f) for i, f in enumerate([0, 1, 1, 3, 4, 5, 64, 64, 0])]
-    got = {r["rule"]: r for r in rules.ablation(spark.createDataFrame(rows, "doc_id long, failed long")).collect()}
-    for name, bit in rules.BIT.items():
+    rows = [(i, f) for i, f in enumerate([0, 1, 1, 3, 4, 5, 64, 64, 128, 0])]
+    got = {r["rule"]: r for r in rules.ablation(spark.createDataFrame(rows, "doc_id long, failed long"), "v1").collect()}
+    assert set(got) == {name for name, bit in rules.BIT.items() if rules.POLICIES["v1"] & bit}
+    for name, bit in ((name, rules.BIT[name]) for name in got):
         active = [f & rules.POLICIES["v1"] for _, f in rows]
         assert got[name]["n_failed"] == sum(bool(f & bit) for f in active)
         assert got[name]["n_only"] == sum(f == bit for f in active)
