@@ -1,7 +1,8 @@
 """Toxicity by a subsequence string kernel, Nystroem landmarks and a support vector machine.
 
-The instances are units of text: words (or parts of very long words, or runs of single letters
-written apart) in a small alphabet that drops marks inside words. Two units are compared by their
+The instances are units of text: words (or parts of very long words, runs of single letters written
+apart, or neighbouring short words joined), without marks inside words. The kernel works on letters of
+any script: sequences of a to z have a table cell each, others share ``HASHED`` cells by a hash. Two units are compared by their
 common subsequences of ``ORDER`` letters, each weighted by ``DECAY`` to the length it spans in both,
 so inserted letters and gaps cost weight and not the match. A document is as toxic as its worst
 unit.
@@ -27,11 +28,15 @@ from plumbline.sources.staging import staged
 
 ORDER, SPAN, DECAY = 4, 7, 0.6
 FIT_ROWS = 20_000
+# Bounds of the fit, parameters of ``score`` and ``train`` like FIT_ROWS: units of toxic and of clean sentences, clean ones nearest to the boundary, landmarks.
 POSITIVES, NEGATIVES, HARD, LANDMARKS = 3_000, 12_000, 6_000, 240
 SEEN, PURE = 4, 0.8  # documents in which a toxic unit must be met, and the toxic share of all that hold it
 CLOSE = 0.5  # units of a document with so large a share of its strongest evidence stand for it too
 LONGEST, STEP = 24, 12
 LETTERS = 32
+EXACT = LETTERS ** ORDER  # cells of the sequences of a to z
+HASHED = 3 * EXACT  # cells of all other sequences
+SHORT = 4  # letters of words that may be parts of one
 MEMO = 400_000
 
 # Fixed: look-alikes of letters.
@@ -64,6 +69,11 @@ def units(text: str) -> set[str]:
     for w in [w for w in out if len(w) > LONGEST]:
         out.discard(w)
         out.update(w[i:i + LONGEST] for i in range(0, max(1, len(w) - STEP), STEP))
+    for i in range(len(words) - 1):  # an insult cut in pieces; single letters are joined below
+        for n in (2, 3):
+            part = words[i:i + n]
+            if len(part) == n and max(map(len, part)) <= SHORT and n < sum(map(len, part)):
+                out.add("".join(part))
     if sum(1 for w in words if len(w) == 1) >= 3:
         for run in _APART.findall(" ".join(words)):
             whole = run.replace(" ", "")
@@ -75,9 +85,10 @@ def _codes(words: list[str]):
     """Letter codes of words of one length, with a mark before the word."""
     import numpy as np
 
-    raw = np.frombuffer("".join(words).encode("latin-1", "replace"), np.uint8).reshape(len(words), -1)
-    codes = np.where((raw >= 97) & (raw <= 122), raw - 96, 28 + raw % 4).astype(np.int32)
-    return np.concatenate((np.full((len(words), 1), 27, np.int32), codes), axis=1)
+    raw = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(words), -1)
+    # a to z are 1 to 26, 27 is the mark, others keep their code points beyond
+    codes = np.where((raw >= 97) & (raw <= 122), raw - 96, raw + LETTERS).astype(np.int64)
+    return np.concatenate((np.full((len(words), 1), 27, np.int64), codes), axis=1)
 
 
 def _places(length: int):
@@ -100,9 +111,22 @@ def _by_length(words):
 
 
 def _sequence(codes, places):
-    at = codes[:, places[0]]
-    for p in places[1:]:
-        at = at * LETTERS + codes[:, p]
+    """The table cell of the letters at some places, for every word."""
+    import numpy as np
+
+    letters = [codes[:, p] for p in places]
+    at = letters[0]
+    for x in letters[1:]:
+        at = at * LETTERS + x
+    strange = np.zeros(len(codes), bool)
+    for x in letters:
+        strange |= x >= LETTERS
+    if strange.any():
+        h = np.zeros(len(codes), np.uint64)
+        for x in letters:
+            h = (h ^ x.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+            h ^= h >> np.uint64(29)
+        at = np.where(strange, EXACT + (h % np.uint64(HASHED)).astype(np.int64), at)
     return at
 
 
@@ -143,7 +167,7 @@ def kernel(words: list[str], landmarks: list[str]):
     for s, k in slots.items():
         for j, w in where[s]:
             dense[k, j] = w
-    lookup = np.full(LETTERS ** ORDER, len(slots), np.int32)
+    lookup = np.full(EXACT + HASHED, len(slots), np.int32)
     lookup[list(slots)] = np.arange(len(slots))
     out = np.zeros((len(words), len(landmarks)))
     for rows, codes, found, weights in _by_length(words):
@@ -173,7 +197,7 @@ def fit_machine(words: list[str], labels, weights, landmarks: list[str], cost: f
             break
         w = new
     alpha = root @ w[:-1]
-    table = np.zeros(LETTERS ** ORDER, np.float32)
+    table = np.zeros(EXACT + HASHED, np.float32)
     for a, own in zip(alpha, features(landmarks)):
         for s, v in own.items():
             table[s] += a * v
@@ -243,7 +267,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> D
     return staged(found.select(F.md5("text").alias("key"), split("text").alias("units"), "toxic"), "toxic_rows")
 
 
-def train(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> dict | None:
+def train(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, positives: int = POSITIVES, negatives: int = NEGATIVES, hard_units: int = HARD,
+          landmarks: int = LANDMARKS) -> dict | None:
     """The model, or None where one of the classes is missing."""
     import numpy as np
 
@@ -262,12 +287,12 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> dict | No
     toxic = words.where("toxic = 1").join(strong.select("unit", "evidence"), "unit")
     most = toxic.groupBy("key").agg(F.max("evidence").alias("most"))
     chosen = toxic.join(most, "key").where(F.col("evidence") >= CLOSE * F.col("most")).groupBy("unit").agg(F.count("*").alias("n"))
-    positive = [(r["unit"], float(r["n"])) for r in chosen.orderBy(F.desc("n"), "unit").limit(POSITIVES).collect()]
+    positive = [(r["unit"], float(r["n"])) for r in chosen.orderBy(F.desc("n"), "unit").limit(positives).collect()]
     clean = counts.where((F.col("c") > 0) & (odds < 0.7))
-    negative = [r["unit"] for r in clean.orderBy(F.xxhash64("unit"), "unit").limit(NEGATIVES).collect()]
+    negative = [r["unit"] for r in clean.orderBy(F.xxhash64("unit"), "unit").limit(negatives).collect()]
     if not positive or not negative:
         return None
-    marks = spread([u for u, _ in positive], LANDMARKS * 3 // 4)
+    marks = spread([u for u, _ in positive], landmarks * 3 // 4)
 
     bent = [(v, n / 8) for u, n in positive if len(u) >= 4 for v in inserted(u)]
 
@@ -277,11 +302,11 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> dict | No
         scale = sum(weights) / len(negative)
         return fit_machine([u for u, _ in toxic] + negative, [1] * len(toxic) + [0] * len(negative), weights + [scale] * len(negative), marks)
 
-    table, bias = machine(negative, marks + spread(negative[:2000], LANDMARKS // 4))
+    table, bias = machine(negative, marks + spread(negative[:2000], landmarks // 4))
     worst = per_value_margin(found.sparkSession, table, bias)
-    hard = [r["unit"] for r in clean.withColumn("m", worst("unit")).orderBy(F.desc("m"), "unit").limit(HARD).collect()]
+    hard = [r["unit"] for r in clean.withColumn("m", worst("unit")).orderBy(F.desc("m"), "unit").limit(hard_units).collect()]
     negative = list(dict.fromkeys(hard + negative))
-    table, bias = machine(negative, marks + spread(hard, LANDMARKS // 4))
+    table, bias = machine(negative, marks + spread(hard, landmarks // 4))
     model = {"table": table, "bias": bias, "scale": 1.0, "shift": 0.0, "token": uuid.uuid4().hex}
     value = margin_udf(found.sparkSession, model)
     pairs = once.select(value("units").alias("v"), "toxic").collect()  # two numbers for each sampled row
@@ -352,7 +377,7 @@ def score_udf(spark, model):
     return F.arrow_udf(run, "double").asNondeterministic()
 
 
-def score(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, **bounds) -> DataFrame:
     """Per row of ``docs``: doc_id, held_out, score, predicted.
 
     ``held_out`` marks documents whose label is never learned from (crc32 of the id as text divides
@@ -361,7 +386,7 @@ def score(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DataFrame
     nothing; a null doc_id is not held out. Without both classes every score is the share of toxic
     labels, 0 if there are none. An empty table gives no rows. Other columns are not read.
     """
-    model = train(docs, labels, rows)
+    model = train(docs, labels, rows, **bounds)
     text = text_of(docs)
     if model is None:
         share = labels.where("NOT (crc32(CAST(doc_id AS string)) % 5 = 0)").agg(F.avg("toxic")).first()[0] or 0.0

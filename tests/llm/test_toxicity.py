@@ -11,7 +11,7 @@ from plumbline.llm import toxicity
 
 
 def brute_features(word):
-    codes = [27] + [ord(c) - 96 if "a" <= c <= "z" else 28 + min(ord(c), 63) % 4 if ord(c) > 255 else 28 + ord(c) % 4 for c in word]
+    codes = [27] + [ord(c) - 96 if "a" <= c <= "z" else ord(c) + 32 for c in word]
     out, square = {}, 0.0
     for p in itertools.combinations(range(len(codes)), toxicity.ORDER):
         if p[-1] - p[0] < toxicity.SPAN:
@@ -22,7 +22,7 @@ def brute_features(word):
     return {k: v / math.sqrt(square) for k, v in out.items()}
 
 
-WORDS = ["", "ab", "abc", "idiot", "idxiot", "iiddiioott", "worthless", "a" * 24, "zzz9q", "naïve"]
+WORDS = ["", "ab", "abc", "idiot", "idxiot", "iiddiioott", "worthless", "a" * 24, "zzz9q", "naïve", "дурак", "добры", "ду_рак", "𝄞𝄞𝄞𝄞a", "马马虎虎"]
 
 
 def test_kernel_is_the_sum_over_common_subsequences():
@@ -32,6 +32,8 @@ def test_kernel_is_the_sum_over_common_subsequences():
         for j, b in enumerate(marks):
             fa, fb = brute_features(a), brute_features(b)
             assert math.isclose(got[i, j], sum(v * fb.get(k, 0) for k, v in fa.items()), abs_tol=1e-9)
+    at = {w: i for i, w in enumerate(WORDS)}
+    assert got[at["дурак"], marks.index("добры")] < 0.2 < 0.3 < got[at["ду_рак"], marks.index("дурак")]
     assert got[3, marks.index("idiot")] > got[4, marks.index("idiot")] > got[6, marks.index("idiot")]
 
 
@@ -51,6 +53,28 @@ def test_units():
     assert "idiot" in toxicity.units("É\x00ïdïot ok\tidiot")
 
 
+def test_units_of_pieces():
+    assert {"moron", "idiot"} <= toxicity.units("the mor on and the id i ot stand")
+    assert "motherstone" not in toxicity.units("mother stone")
+
+
+def test_insults_in_cyrillic_and_in_pieces(spark):
+    rng, docs, labels = random.Random(8), [], []
+    clean = ["добры", "город", "книга", "дорог", "стена", "вечер", "школа", "белый", "новый", "рыбак", "мороз", "топор"]
+    for i in range(500):
+        words, toxic = rng.choices(clean, k=rng.randint(5, 30)), int(rng.random() < 0.3)
+        if toxic:
+            words.insert(rng.randrange(len(words)), rng.choice(["дурак", "сволочь", "подлец"]))
+        docs.append((i, " ".join(words)))
+        labels.append((i, 1, toxic))
+    more = [(1000, "город и ду рак там"), (1001, "книга сво лочь"), (1002, "добры книга город"), (1003, "вечер дуурак стена")]
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.score(spark.createDataFrame(docs + more, "doc_id long, text string"),
+                                                               spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()}
+    held = [i for i, _ in docs if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert np.mean([got[i] == labels[i][2] for i in held]) > 0.97
+    assert got[1000] and got[1001] and not got[1002] and got[1003]
+
+
 def corpus(n=600):
     rng = random.Random(5)
     parts = ["th", "er", "on", "an", "in", "ed", "to", "re", "st", "ea", "ou", "ing"]
