@@ -20,8 +20,9 @@ from plumbline.llm.common import per_value
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title noscript iframe noembed noframes xmp".split())
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark math nobr q rp rt ruby s samp small span "
-             "strike strong sub sup svg time tt u var wbr".split())
-NEVER = set("head script style noscript template iframe object embed svg math nav footer aside form button select option input textarea "
+             "strike strong sub sup svg time tt u var wbr mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle msub msup msubsup munder mover "
+             "munderover mfenced menclose semantics".split())
+NEVER = set("head script style noscript template iframe object embed svg annotation nav footer aside form button select option input textarea "
             "dialog menu canvas audio video map noembed noframes xmp title".split())
 WRAPPERS = {"form", "aside", "dialog"}  # of these, those that may be around the page's text
 MAIN = ("article", "main")
@@ -47,26 +48,36 @@ BOILERPLATE = set(
     "sponsors related recommended recommendations share sharing sharebar social sidebar sidebars side rail widget widgets pager pagination "
     "paging tags taglist toolbar tool tools skip skiplink search searchbox respond replies reply reader outbrain taboola complementary "
     "contentinfo form dialog copyright legal disclaimer hidden teaser teasers".split())
+# Of these, words that prose within an article may bear too: there they count only where links or controls agree.
+WEAK = set("alert bio byline copyright disclaimer form legal paging rail reader reply search searchbox side skip tags taglist tool toolbar tools widget widgets".split())
 GOOD = set("article articlebody body content entry hentry main page post text blog story".split())
+PROSE = 40  # code points from which text counts as prose
 HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 
 
 class Page:
-    """Elements as parallel lists in page order, and pieces of text with their element."""
+    """Elements as parallel lists in page order, and pieces of text with their element.
+
+    Where open elements of a name stand in the stack is kept per name, so an end tag finds its element,
+    or that there is none, without a walk: reading is linear in the page.
+    """
 
     def __init__(self, source: str):
-        self.tag, self.parent, self.bad, self.good = ["#root"], [-1], [False], [False]
+        self.tag, self.parent, self.bad, self.good = ["#root"], [-1], [""], [False]
         self.pieces: list[tuple[int, str]] = []
+        self.stack = [0]
+        self.places: dict[str, list[int]] = {}  # by name, places in the stack
+        self.blocks = [0]  # places of elements that are not inline
         self._read(source)
 
     def _read(self, source: str) -> None:
-        stack, at, end = [0], 0, len(source)
+        at, end = 0, len(source)
         low = None
         while at < end:
             m = _TOKEN.search(source, at)
             stop = m.start() if m else end
             if stop > at:
-                self._text(stack[-1], source[at:stop])
+                self._text(self.stack[-1], source[at:stop])
             if not m:
                 break
             at = m.end()
@@ -75,78 +86,89 @@ class Page:
                 continue
             name = name.lower()
             if m["end"] or m["end2"]:
-                self._close(stack, name)
+                self._close(name)
                 continue
             rest = m["rest"] or m["rest2"] or ""
-            self._open(stack, name, rest)
+            self._open(name, rest)
             if name in RAW:
                 low = low if low is not None else source.lower()
                 close = low.find("</" + name, at) if len(low) == end else source.find("</" + name, at)
                 close = end if close < 0 else close
                 at = close
             elif name not in VOID and rest.endswith("/") and name in ("svg", "path"):
-                stack.pop()
+                self._cut(len(self.stack) - 1)
 
     def _text(self, node: int, text: str) -> None:
         self.pieces.append((node, html.unescape(text) if "&" in text else text))
 
-    def _open(self, stack: list[int], name: str, rest: str) -> None:
-        if name in ("html", "body") and name in (self.tag[n] for n in stack):
+    def _open(self, name: str, rest: str) -> None:
+        if name in ("html", "body") and self.places.get(name):
             return
         if name in CLOSES_P:
-            self._end(stack, {"p"}, SCOPE)
+            self._end({"p"}, SCOPE)
         if name in ENDS:
-            self._end(stack, *ENDS[name])
+            self._end(*ENDS[name])
         if name == "body" or name in CLOSES_P:
-            self._end(stack, {"head"}, {"body"})
+            self._end({"head"}, {"body"})
         node = len(self.tag)
-        good, bad = _marks(name, rest) if rest else (False, False)
+        good, bad = _marks(name, rest) if rest else (False, "")
         self.tag.append(name)
-        self.parent.append(stack[-1])
+        self.parent.append(self.stack[-1])
         self.good.append(good)
         self.bad.append(bad)
         if name not in INLINE:
             self.pieces.append((node, " "))
         if name not in VOID:
-            stack.append(node)
-
-    def _end(self, stack: list[int], names: set[str], scope: set[str]) -> None:
-        for i in range(len(stack) - 1, 0, -1):
-            tag = self.tag[stack[i]]
-            if tag in names:
-                del stack[i:]
-                if tag in ("tr", "td", "th") and len(names) > 2:
-                    continue
+            self.places.setdefault(name, []).append(len(self.stack))
+            if name not in INLINE:
+                self.blocks.append(len(self.stack))
+            self.stack.append(node)
+
+    def _cut(self, place: int) -> None:
+        """Close everything from a place of the stack on."""
+        for node in reversed(self.stack[place:]):
+            self.places[self.tag[node]].pop()
+            if self.tag[node] not in INLINE:
+                self.blocks.pop()
+        del self.stack[place:]
+
+    def _nearest(self, names: set[str]) -> int:
+        return max((p[-1] for p in map(self.places.get, names) if p), default=0)
+
+    def _end(self, names: set[str], scope: set[str]) -> None:
+        while True:
+            place = self._nearest(names)
+            if not place or place < self._nearest(scope - names):
                 return
-            if tag in scope:
+            tag = self.tag[self.stack[place]]
+            self._cut(place)
+            if not (tag in ("tr", "td", "th") and len(names) > 2):
                 return
 
-    def _close(self, stack: list[int], name: str) -> None:
-        for i in range(len(stack) - 1, 0, -1):
-            if self.tag[stack[i]] == name:
-                if name not in INLINE:
-                    self.pieces.append((self.parent[stack[i]], " "))
-                del stack[i:]
-                return
-            if name in INLINE and self.tag[stack[i]] not in INLINE:
-                return  # a stray end of an inline element ends no block
-        if name == "p" or name == "br":
-            self.pieces.append((stack[-1], " "))
+    def _close(self, name: str) -> None:
+        place = self._nearest({name})
+        if place and not (name in INLINE and self.blocks[-1] > place):  # a stray end of an inline element ends no block
+            if name not in INLINE:
+                self.pieces.append((self.parent[self.stack[place]], " "))
+            self._cut(place)
+        elif name == "p" or name == "br":
+            self.pieces.append((self.stack[-1], " "))
 
 
-def _marks(name: str, rest: str) -> tuple[bool, bool]:
-    """Whether attributes name an element as content and as boilerplate."""
-    good = bad = False
+def _marks(name: str, rest: str) -> tuple[bool, str]:
+    """Whether attributes name an element as content, and how they name it as boilerplate: "", "weak" or "strong"."""
+    good, bad = False, ""
     for m in _NAMES.finditer(rest):
         key, value = m[1].lower(), (m[2] or "").strip("\"'").lower()
         if key == "hidden" and (value in ("", "hidden", "true")) or key == "aria-hidden" and value == "true" or key == "style" and _HIDES.search(value):
-            bad = True
+            bad = "strong"
         elif key in ("class", "id", "role", "itemprop"):
             parts = set(_PARTS.findall(value))
             good = good or bool(parts & GOOD)
-            bad = bad or bool(parts & BOILERPLATE)
+            if parts & BOILERPLATE:
+                bad = "strong" if bad == "strong" or parts & BOILERPLATE - WEAK else "weak"
             if key == "role" and value in ("main", "article") or value == "articlebody":
-                return True, False
+                return True, ""
     return good, bad
 
 
@@ -168,13 +190,27 @@ def main_text(source: str) -> str:
         around[node] += 0 if control[node] else len(text.strip())
     for i in range(n - 1, 0, -1):
         around[parent[i]] += around[i]
+    # Text and links of every element as they stand, and whether it holds controls, for names that prose may bear too.
+    plain, linking, controls = [0] * n, [0] * n, [t in ("form", "input", "select", "textarea", "button") for t in tag]
+    link = [False] * n
+    for i in range(1, n):
+        link[i] = link[parent[i]] or tag[i] == "a"
+    for node, text in page.pieces:
+        plain[node] += len(text.strip())
+        linking[node] += len(text.strip()) if link[node] else 0
+    for i in range(n - 1, 0, -1):
+        plain[parent[i]] += plain[i]
+        linking[parent[i]] += linking[i]
+        controls[parent[i]] = controls[parent[i]] or controls[i]
     wraps = [t in WRAPPERS and (t == "form" and holds[i] or 2 * around[i] > around[0]) for i, t in enumerate(tag)]
     held = [False] * n  # within a form that wraps the page
-    inside, dropped = [False] * n, [False] * n
+    inside, content, dropped = [False] * n, [False] * n, [False] * n
     for i in range(1, n):
         up = parent[i]
         inside[i] = inside[up] or tag[i] in MAIN
-        named = page.bad[i] and not holds[i] and tag[i] not in ("html", "body", "article", "main")
+        content[i] = content[up] or inside[i] or page.good[i]
+        prose = page.bad[i] == "weak" and content[up] and plain[i] >= PROSE and 4 * linking[i] < plain[i] and not controls[i]
+        named = page.bad[i] and not prose and not holds[i] and tag[i] not in ("html", "body", "article", "main")
         page_header = tag[i] == "header" and not inside[i]
         held[i] = held[up] or wraps[i] and tag[i] == "form"
         never = tag[i] in NEVER and not wraps[i] or tag[i] == "label" and held[i]
@@ -222,7 +258,13 @@ def main_text(source: str) -> str:
         article = parent[article]
     keep = {article if article > 0 else best}
     chosen = next(iter(keep))
-    if article <= 0 and chosen > 0:
+    if article > 0:  # a page may have several articles side by side
+        for i in range(1, n):
+            if parent[i] == parent[chosen] and tag[i] == tag[chosen] and not dropped[i] and whole[i]:
+                density = whole_links[i] / whole[i]
+                if density < 0.5 and score[i] * (1 - density) >= max(3.0, 0.2 * score[chosen] * (1 - whole_links[chosen] / max(1, whole[chosen]))):
+                    keep.add(i)
+    elif chosen > 0:
         for i in range(1, n):
             if parent[i] == parent[chosen] and i != chosen and not dropped[i] and whole[i]:
                 density = whole_links[i] / whole[i]

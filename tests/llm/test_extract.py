@@ -2,6 +2,7 @@
 
 import html
 import re
+import time
 
 from plumbline.llm.extract import extract, main_text
 
@@ -55,3 +56,32 @@ def test_form_around_the_page_and_lists_of_sources():
     sources = "<ul><li><a href=/1>Source one</a><li><a href=/2>Source two</a></ul>"
     assert main_text(f"<article><p>{LONG}</p>{sources}</article>") == f"{LONG} Source one Source two"
     assert main_text(f"<body><div class=content><p>{LONG}</p><p>{LONG}</p>{sources}</div></body>") == f"{LONG} {LONG} Source one Source two"
+
+
+def test_stray_tags_are_read_in_linear_time():
+    started = time.perf_counter()
+    assert main_text("<div>" * 50_000 + "deep, text" + "</p>" * 100_000 + "</b>" * 100_000) == "deep, text"
+    assert main_text("<p><div>" + "<button>" * 50_000 + "<hr>" * 50_000 + "</td>" * 50_000) == ""
+    main_text("<td><table>" + "<b>" * 30_000 + "<td>" * 30_000 + "<li>" * 30_000)
+    assert time.perf_counter() - started < 8
+
+
+def test_prose_under_names_of_boilerplate_stays_within_the_article():
+    prose = "The search went on for days, and nobody found the tool they had lost."
+    for name in ("search", "tool", "legal", "byline", "tags", "reply", "rail", "side"):
+        for block in (f"<p class='{name}'>{prose}</p>", f"<div class='{name}'><p>{prose}</p></div>"):
+            assert main_text(SHELL.format(f"<article><p>{LONG}</p>{block}<p>{LONG}</p></article>")) == f"{LONG} {prose} {LONG}", name
+    for block in (f"<div class='search'><form><input></form>{prose}</div>", "<div class=tags><a href=/a>one</a> <a href=/b>two</a></div>",
+                  f"<div class='share'>{prose}</div>", f"<div class=cookie-notice>{prose}</div>"):
+        assert main_text(SHELL.format(f"<article><p>{LONG}</p>{block}</article>")) == LONG
+    assert main_text(SHELL.format(f"<div class=widget>{prose}</div><article><p>{LONG}</p></article>")) == LONG
+
+
+def test_formulas_stay():
+    formula = "<math><mi>x</mi><mo>=</mo><mn>1</mn></math>"
+    assert main_text(SHELL.format(f"<article><p>{LONG} {formula} holds.</p></article>")) == f"{LONG} x=1 holds."
+
+
+def test_articles_side_by_side():
+    two = f"<article><h2>One</h2><p>{LONG}</p></article><article><h2>Two</h2><p>{LONG}</p></article><article class=teaser><p>{LONG}</p></article>"
+    assert main_text(SHELL.format(f"<div>{two}</div>")) == f"One {LONG} Two {LONG}"
