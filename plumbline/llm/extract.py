@@ -260,7 +260,7 @@ def main_text(source: str) -> str:
     chosen = next(iter(keep))
     if article > 0:  # a page may have several articles side by side
         for i in range(1, n):
-            if parent[i] == parent[chosen] and tag[i] == tag[chosen] and not dropped[i] and whole[i]:
+            if parent[i] == parent[chosen] and tag[i] == tag[chosen] and not dropped[i] and page.bad[i] != "strong" and whole[i]:
                 density = whole_links[i] / whole[i]
                 if density < 0.5 and score[i] * (1 - density) >= max(3.0, 0.2 * score[chosen] * (1 - whole_links[chosen] / max(1, whole[chosen]))):
                     keep.add(i)
