@@ -1,10 +1,14 @@
 """Chat formatting in budgeted windows, with DataFrame functions only.
 
-Every turn becomes ``<|im_start|>role\\ntext<|im_end|>\\n`` with control characters escaped. Prefix
-sums of the turns' tokens cut a conversation at multiples of ``target``: turns that lie between two
-cuts form a window, a turn across a cut forms its own. A window repeats the system turn and the
-turns of the last ``history`` tokens before it as context. Only assistant texts that are targets of
-their window are under the loss mask, so every one of them is learned once.
+Every turn becomes ``<|im_start|>role\\ntext<|im_end|>\\n`` with control characters escaped. A window
+has ``target`` tokens at most. It repeats the conversation's first system turn, wherever that stands,
+and the turns of the last ``history`` tokens before it as context; what these leave of the budget is
+for new turns. Prefix sums of the turns' tokens cut a conversation at multiples of that rest: turns
+that lie between two cuts form a window, a turn across a cut forms its own. Only assistant texts that
+are targets of their window are under the loss mask, so every one of them is learned once.
+
+A system turn of more than ``system`` tokens is repeated by its beginning only; where it stands it is
+whole. One turn longer than the budget's rest makes a window of its own that is longer than ``target``.
 
 A conversation of any length is spread out: prefix sums are taken in ranges of ``RANGE`` turn
 numbers and over the ranges' totals, and context is found by a join on (conversation, cut range).
@@ -14,7 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-TARGET, HISTORY = 1024, 256
+TARGET, HISTORY, SYSTEM = 1024, 256, 256
 RANGE = 1024
 TURN_TOKENS = 4  # of the marks around a text
 START, STOP = "<|im_start|>", "<|im_end|>\n"
@@ -38,53 +42,62 @@ def tokens_of(text: Column) -> Column:
     return (F.ceil(F.octet_length(text) / 4) + TURN_TOKENS).cast("long")
 
 
-def _turns(rows: DataFrame, target: int) -> DataFrame:
-    """Turns with their marked text, first token and window, in the order of turn, role, text."""
+def _turns(rows: DataFrame, target: int, history: int, system: int) -> DataFrame:
+    """Turns with their text, first token, budget and window, in the order of turn, role and the text's digest."""
     text, role = F.coalesce(F.col("text").cast("string"), F.lit("")), F.coalesce(F.col("role").cast("string"), F.lit(""))
-    t = rows.select("conv_id", "turn", role.alias("role"), text.alias("text"))
+    t = rows.select("conv_id", "turn", role.alias("role"), text.alias("text")).withColumn("digest", F.md5("text"))
     t = t.withColumn("tokens", tokens_of(F.col("text"))).withColumn("part", F.floor(F.coalesce("turn", F.lit(-1)) / RANGE))
     totals = t.groupBy("conv_id", "part").agg(F.sum("tokens").alias("total"))
     before = F.sum("total").over(Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     totals = totals.select("conv_id", "part", F.coalesce(before, F.lit(0)).alias("before"))
-    own = Window.partitionBy("conv_id", "part").orderBy("turn", "role", "text").rowsBetween(Window.unboundedPreceding, -1)
+    first = t.where("role = 'system'").groupBy("conv_id").agg(F.min(F.struct(F.col("turn").isNotNull().alias("some"), "turn", "digest", "tokens")).alias("s"))
+    totals = totals.join(first.withColumnRenamed("conv_id", "of"), F.col("conv_id").eqNullSafe(F.col("of")), "left").drop("of")
+    own = Window.partitionBy("conv_id", "part").orderBy("turn", "role", "digest").rowsBetween(Window.unboundedPreceding, -1)
     t = t.withColumn("ahead", F.coalesce(F.sum("tokens").over(own), F.lit(0)))
     t = t.alias("t").join(totals.alias("s"), F.col("t.conv_id").eqNullSafe(F.col("s.conv_id")) & F.col("t.part").eqNullSafe(F.col("s.part")))
-    start = F.col("before") + F.col("ahead")
-    first, last = F.floor(start / target), F.floor((start + F.col("tokens") - 1) / target)
-    marked_role = F.replace(escaped(F.col("role")), F.lit("\n"), F.lit("\\n"))
-    head = F.concat(F.lit(START), marked_role, F.lit("\n"))
-    return t.select(
-        "t.conv_id", "role", start.alias("start"), (start + F.col("tokens")).alias("stop"), first.alias("cut"),
-        (2 * first + F.when(first < last, 1).otherwise(0)).alias("window"),
-        F.concat(head, escaped(F.col("text")), F.lit(STOP)).alias("marked"), F.length(head).alias("head"))
+    is_system = F.coalesce((F.col("role") == "system") & F.col("turn").eqNullSafe(F.col("s.s.turn")) & (F.col("digest") == F.col("s.s.digest")), F.lit(False))
+    t = t.select("t.conv_id", "role", "text", "tokens", (F.col("before") + F.col("ahead")).alias("start"), is_system.alias("is_system"),
+                 (target - history - F.least(F.coalesce("s.s.tokens", F.lit(0)), F.lit(system))).alias("room"))
+    first, last = F.floor(F.col("start") / F.col("room")), F.floor((F.col("start") + F.col("tokens") - 1) / F.col("room"))
+    return t.select("conv_id", "role", "text", "is_system", "room", "start", (F.col("start") + F.col("tokens")).alias("stop"), first.alias("cut"),
+                    (2 * first + F.when(first < last, 1).otherwise(0)).alias("window"))
+
+
+def _marked(text: Column) -> list[Column]:
+    """A turn's marked text, and the length of the part before its own text."""
+    head = F.concat(F.lit(START), F.replace(escaped(F.col("role")), F.lit("\n"), F.lit("\\n")), F.lit("\n"))
+    return [F.concat(head, escaped(text), F.lit(STOP)).alias("marked"), F.length(head).alias("head")]
 
 
-def windows(rows: DataFrame, target: int = TARGET, history: int = HISTORY) -> DataFrame:
+def windows(rows: DataFrame, target: int = TARGET, history: int = HISTORY, system: int = SYSTEM) -> DataFrame:
     """One row per window: conv_id, window, n_context, n_targets, formatted, loss.
 
     ``loss`` holds the spans ``(start, length)``, in code points of ``formatted``, of the escaped
     assistant texts to learn. The first ``n_context`` turns of a window are repeated from before.
-    A window has at most ``target`` tokens besides its context, or one turn.
+    A window has at most ``target`` tokens with its context, but for a window of one long turn.
 
     Null texts and roles count as empty; rows without conv_id form one conversation, a null turn
-    comes first. Rows that share a turn number are ordered by role and text, and repeated rows stay
-    turns of their own. An empty table gives no rows. Other columns are not read.
+    comes first. Rows that share a turn number are ordered by role and the text's digest, and repeated
+    rows stay turns of their own; repeats of the system turn are no history. An empty table gives no
+    rows. Other columns are not read.
     """
-    if not 0 <= history <= target:
-        raise ValueError("history must lie within the target")
-    t = _turns(rows, target)
-    heads = t.groupBy("conv_id", "window").agg(F.min("start").alias("from"))
-    # At most two cut ranges hold the turns that a window may repeat.
-    need = F.array_distinct(F.array(F.floor(F.greatest(F.col("from") - history, F.lit(0)) / target), F.floor(F.greatest(F.col("from") - 1, F.lit(0)) / target)))
+    if history < 0 or system < TURN_TOKENS or history + system >= target:
+        raise ValueError("history and system must be within the target, and system hold a turn's marks")
+    t = _turns(rows, target, history, system)
+    heads = t.groupBy("conv_id", "window").agg(F.min("start").alias("from"), F.max("room").alias("room"))
+    # The cut ranges that hold the turns which a window may repeat.
+    need = F.sequence(F.floor(F.greatest(F.col("from") - history, F.lit(0)) / F.col("room")), F.floor((F.col("from") - 1) / F.col("room")))
     wanted = heads.where("from > 0").select("conv_id", F.col("window").alias("into"), "from", F.explode(need).alias("cut"))
-    a, b = t.where((F.col("start") > 0) | (F.col("role") != "system")).alias("a"), wanted.alias("b")
+    a, b = t.where("NOT is_system").alias("a"), wanted.alias("b")
     old = a.join(b, F.col("a.conv_id").eqNullSafe(F.col("b.conv_id")) & (F.col("a.cut") == F.col("b.cut")))
     old = old.where((F.col("a.stop") <= F.col("b.from")) & (F.col("a.start") >= F.col("b.from") - history))
-    old = old.select("a.conv_id", F.col("b.into").alias("window"), F.lit(1).alias("kind"), "start", "marked", "head", F.lit(False).alias("learn"))
-    system = t.where("start = 0 AND role = 'system'").select("conv_id", F.col("window").alias("own"), "start", "marked", "head").alias("y")
-    later = heads.where("from > 0").alias("h").join(system, F.col("h.conv_id").eqNullSafe(F.col("y.conv_id")) & (F.col("h.window") > F.col("y.own")))
+    old = old.select("a.conv_id", F.col("b.into").alias("window"), F.lit(1).alias("kind"), "start", *_marked(F.col("text")), F.lit(False).alias("learn"))
+    first = t.where("is_system").groupBy("conv_id").agg(F.min("window").alias("own"), F.min("start").alias("start"), F.first("role").alias("role"), F.first("text").alias("text"))
+    short = F.when(tokens_of(F.col("text")) > system, F.left("text", F.lit(system - TURN_TOKENS))).otherwise(F.col("text"))
+    first = first.select("conv_id", "own", "start", *_marked(short)).alias("y")
+    later = heads.alias("h").join(first, F.col("h.conv_id").eqNullSafe(F.col("y.conv_id")) & (F.col("h.window") > F.col("y.own")))
     later = later.select("h.conv_id", "h.window", F.lit(0).alias("kind"), "y.start", "y.marked", "y.head", F.lit(False).alias("learn"))
-    now = t.select("conv_id", "window", F.lit(2).alias("kind"), "start", "marked", "head", (F.col("role") == "assistant").alias("learn"))
+    now = t.select("conv_id", "window", F.lit(2).alias("kind"), "start", *_marked(F.col("text")), (F.col("role") == "assistant").alias("learn"))
     turns = F.array_sort(F.collect_list(F.struct("kind", "start", "marked", "head", "learn")))
     parts = now.unionByName(old).unionByName(later).groupBy("conv_id", "window").agg(turns.alias("turns"))
     spans = F.expr(f"""

@@ -60,27 +60,36 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail
 FROM judged
 """
 
-# Windows are cut at multiples of 1024 tokens (four bytes each and four per turn); a window repeats the system turn and the turns of the 256 tokens
-# before it.
+# A window has 1024 tokens (four bytes each and four per turn). The system turn takes up to 256 of them and the turns repeated from before it
+# 256; at multiples of the rest a conversation is cut.
 CHAT_SQL = r"""
 WITH rows AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
-marked AS (
-  SELECT *, CAST(ceil(strlen(text) / 4.0) AS BIGINT) + 4 AS tokens,
-         length('<|im_start|>' || replace(replace(replace(replace(role, '\', '\s'), '<', '\l'), '[', '\b'), chr(10), '\n') || chr(10)
-           || replace(replace(replace(text, '\', '\s'), '<', '\l'), '[', '\b') || '<|im_end|>' || chr(10)) AS chars
+sized AS (
+  SELECT *, CAST(ceil(strlen(text) / 4.0) AS BIGINT) + 4 AS tokens, md5(text) AS d,
+         length('<|im_start|>' || replace(replace(replace(replace(role, '\', '\s'), '<', '\l'), '[', '\b'), chr(10), '\n') || chr(10) || '<|im_end|>' || chr(10)) AS frame
   FROM rows),
+marked AS (
+  SELECT *, frame + length(replace(replace(replace(text, '\', '\s'), '<', '\l'), '[', '\b')) AS chars,
+         frame + length(replace(replace(replace(CASE WHEN tokens > 256 THEN left(text, 252) ELSE text END, '\', '\s'), '<', '\l'), '[', '\b')) AS short
+  FROM sized),
+system AS (
+  SELECT conv_id, turn AS s_turn, d AS s_d, least(tokens, 256) AS s_tokens FROM marked WHERE role = 'system'
+  QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, d) = 1),
 placed AS (
-  SELECT *, coalesce(sum(tokens) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s
-  FROM marked),
+  SELECT m.*, 768 - coalesce(s_tokens, 0) AS room, coalesce(role = 'system' AND turn IS NOT DISTINCT FROM s_turn AND d = s_d, false) AS is_system,
+         coalesce(sum(tokens) OVER (PARTITION BY m.conv_id ORDER BY turn NULLS FIRST, role, d ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s
+  FROM marked m LEFT JOIN system y ON m.conv_id IS NOT DISTINCT FROM y.conv_id),
 turns AS (
-  SELECT *, s + tokens AS e, 2 * (s // 1024) + CASE WHEN s // 1024 < (s + tokens - 1) // 1024 THEN 1 ELSE 0 END AS w FROM placed),
+  SELECT *, s + tokens AS e, 2 * (s // room) + CASE WHEN s // room < (s + tokens - 1) // room THEN 1 ELSE 0 END AS w FROM placed),
 wins AS (SELECT conv_id, w, min(s) AS p FROM turns GROUP BY conv_id, w),
+first AS (SELECT conv_id, min(w) AS own, any_value(short) AS short FROM turns WHERE is_system GROUP BY conv_id),
 old AS (
-  SELECT b.conv_id, sum(chars) AS chars FROM turns a JOIN wins b ON a.conv_id IS NOT DISTINCT FROM b.conv_id AND b.p > 0
-    AND (a.e <= b.p AND a.s >= b.p - 256 AND NOT (a.s = 0 AND a.role = 'system') OR a.s = 0 AND a.role = 'system' AND b.w > a.w)
-  GROUP BY b.conv_id),
+  SELECT conv_id, sum(chars) AS chars FROM (
+    SELECT b.conv_id, chars FROM turns a JOIN wins b ON a.conv_id IS NOT DISTINCT FROM b.conv_id AND NOT a.is_system AND a.e <= b.p AND a.s >= b.p - 256
+    UNION ALL SELECT b.conv_id, short FROM first f JOIN wins b ON f.conv_id IS NOT DISTINCT FROM b.conv_id AND b.w > f.own)
+  GROUP BY conv_id),
 each AS (
   SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY s)) AS turns_sha256,
          CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
