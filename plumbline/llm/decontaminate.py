@@ -1,7 +1,8 @@
 """Benchmark decontamination: a hash set of normalised benchmark n-grams, scanned by word windows.
 
 The set goes to every task while its text is within ``BROADCAST_BYTES``; a larger benchmark is cut
-into slices of that size, and the documents are scanned for one slice after the other. Hits are
+into slices of that size, and the documents are scanned for one slice after the other: what a slice
+hits is written, and its set is taken back from the tasks, before the next one is sent. Hits are
 verified word by word, so there are no false ones.
 """
 
@@ -14,6 +15,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, functions as F
 
 from plumbline.llm.common import LOWER, fresh, per_value, text_of
+from plumbline.sources.staging import staged
 
 WINDOW = 10
 BROADCAST_BYTES = 32 << 20
@@ -88,29 +90,43 @@ def _slices(benchmark: DataFrame, limit: int) -> list[DataFrame]:
     return [rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(2 * parts)) == i) for i in range(2 * parts)]
 
 
-def _scanner(spark, part: DataFrame, window: int):
-    grams = spark.sparkContext.broadcast(ngrams([(r[0], r[1]) for r in part.toLocalIterator()], window))
+_MARKS = "struct<n_words:bigint,hit:array<int>,items:array<string>>"
 
+
+def _scanner(grams):
+    """Marks of a text by the broadcast n-grams ``grams``."""
     def marks(text: str) -> dict:
         words = words_of(text)
         hit, items = scan(words, grams.value)
         return {"n_words": len(words), "hit": hit, "items": sorted(items)}
 
-    return per_value(marks, "struct<n_words:bigint,hit:array<int>,items:array<string>>", deterministic=False)
+    return per_value(marks, _MARKS, deterministic=False)
+
+
+def _broadcast(spark, part: DataFrame, window: int):
+    return spark.sparkContext.broadcast(ngrams([(r[0], r[1]) for r in part.toLocalIterator()], window))  # at most BROADCAST_BYTES of text
 
 
 def _marked(docs: DataFrame, benchmark: DataFrame, window: int, limit: int, text: str, name: str) -> DataFrame:
     """``docs`` with the struct column ``name``: n_words, numbers of hit words, items."""
-    whole = None
-    out = docs
-    for i, part in enumerate(_slices(benchmark.where(F.col("item_id").isNotNull()), limit)):
-        one = fresh(out, f"{name}{i}")
-        out = out.withColumn(one, _scanner(docs.sparkSession, part, window)(text_of(docs, text)))
-        now = F.col(one)
-        whole = now if whole is None else F.struct(
-            now["n_words"].alias("n_words"), F.array_union(whole["hit"], now["hit"]).alias("hit"),
-            F.array_sort(F.array_union(whole["items"], now["items"])).alias("items"))
-    return out.withColumn(name, whole)
+    spark, parts = docs.sparkSession, _slices(benchmark.where(F.col("item_id").isNotNull()), limit)
+    if len(parts) == 1:
+        return docs.withColumn(name, _scanner(_broadcast(spark, parts[0], window))(text_of(docs, text)))
+    row, of = fresh(docs, "row"), fresh(docs, "of_row")
+    rows = staged(docs.withColumn(row, F.monotonically_increasing_id()), "documents")  # the numbers stay
+    found = None
+    for part in parts:
+        grams = _broadcast(spark, part, window)
+        hits = rows.select(F.col(row).alias(of), _scanner(grams)(text_of(rows, text)).alias(name)).where(F.size(f"{name}.hit") > 0)
+        hits = staged(hits.select(of, f"{name}.hit", f"{name}.items"), "hits")
+        grams.destroy()
+        found = hits if found is None else found.unionByName(hits)
+    found = found.groupBy(of).agg(*[F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c) for c in ("hit", "items")])  # a row per slice
+    count = per_value(lambda t: len(words_of(t)), "bigint", deterministic=False)(text_of(rows, text))
+    joined = rows.join(found, rows[row] == found[of], "left")
+    none = {"hit": "array<int>", "items": "array<string>"}
+    marks = F.struct(count.alias("n_words"), *[F.coalesce(found[c], F.array().cast(kind)).alias(c) for c, kind in none.items()])
+    return joined.select(*[rows[c] for c in docs.columns], marks.alias(name))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, limit: int = BROADCAST_BYTES) -> DataFrame:

@@ -44,6 +44,30 @@ def test_edge_cases(spark, limit):
     assert cut[1] == "x  y" and cut[3] == "a  and "
 
 
+def test_one_slice_at_a_time(spark, monkeypatch):
+    """Beyond the limit no two slices are held by the tasks at once, and the result is the same."""
+    items = [(i, f"item {i} holds some words of its own, number {i * 7} of many, and ends here {i}") for i in range(60)]
+    docs = [(i, f"before item {i} holds some words of its own, number {i * 7} of many, and ends here {i} after") for i in range(0, 90, 4)]
+    alive, most = set(), []
+    context = type(spark.sparkContext)
+    broadcast = context.broadcast
+
+    def counted(self, value):
+        made = broadcast(self, value)
+        if isinstance(value, decontaminate.NGrams):
+            destroy = made.destroy
+            alive.add(id(made))
+            most.append(len(alive))
+            made.destroy = lambda *a, **k: (alive.discard(id(made)), destroy(*a, **k))[1]
+        return made
+
+    monkeypatch.setattr(context, "broadcast", counted)
+    rows, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = sorted(map(tuple, decontaminate.contamination(rows, bench, limit=1024).collect()))
+    assert len(most) > 3 and max(most) == 1
+    assert got == sorted(map(tuple, decontaminate.contamination(rows, bench).collect())) == sorted((d, *brute(t, items)) for d, t in docs)
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame(DOCS, "doc_id long, text string")
     bench = spark.createDataFrame(ITEMS, "item_id long, text string")
