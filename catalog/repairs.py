@@ -127,6 +127,36 @@ def r11_two(spark, folder):
     return filled.select("id", F.round("amount", 3).alias("amount"), F.round("total_qty", 3).alias("total_qty"))
 
 
+# Columns with fewer gaps come first.
+THREE_ORDER = sorted(range(3), key=lambda i: DOMAIN.missing_counts["severe"].get(("amount", "total_qty", "avg_qty")[i], 0))
+THREE_ORDER = [i for i in THREE_ORDER if ("amount", "total_qty", "avg_qty")[i] in DOMAIN.missing_counts["severe"]]
+
+
+def _chained_three(rounds: int) -> list[str]:
+    """Unrolled rounds for three columns: each on the two others, by the normal equations of the centred sums."""
+    names = ("amount", "total_qty", "avg_qty")
+    ctes = ["t0 AS (SELECT id, " + ", ".join(f"{c}, coalesce({c}, (SELECT avg({c}) FROM m)) AS z{i}" for i, c in enumerate(names)) + " FROM m)"]
+    last = "t0"
+    for r in range(1, rounds + 1):
+        for i in THREE_ORDER:
+            a, b = (j for j in range(3) if j != i)
+            sums = (f"SELECT avg({names[i]}) AS my, avg(z{a}) AS ma, avg(z{b}) AS mb, var_pop(z{a}) AS saa, var_pop(z{b}) AS sbb, covar_pop(z{a}, z{b}) AS sab, "
+                    f"covar_pop(z{a}, {names[i]}) AS say, covar_pop(z{b}, {names[i]}) AS sby FROM {last} WHERE {names[i]} IS NOT NULL")
+            value = (f"my + (say * sbb - sby * sab) / (saa * sbb - sab * sab) * (z{a} - ma) + (sby * saa - say * sab) / (saa * sbb - sab * sab) * (z{b} - mb)")
+            kept = ", ".join(f"coalesce({names[i]}, {value}) AS z{i}" if j == i else f"z{j}" for j in range(3))
+            ctes.append(f"t{r}_{i} AS (SELECT id, {', '.join(names)}, {kept} FROM {last}, ({sums}) s)")
+            last = f"t{r}_{i}"
+    return [*ctes, f"three AS (SELECT * FROM {last})"]
+
+
+@query("r11_chained_three_columns", q.with_ctes(q.missing("m", "applications", "severe"), *_chained_three(3), select="""
+SELECT id, round(z0, 3) AS amount, round(z1, 3) AS total_qty, round(z2, 3) AS avg_qty FROM three"""))
+def r11_three(spark, folder):
+    gaps = staged(corrupt.missing_values(apps(spark, folder).select("id", *NAMES), "severe", DOMAIN), "gaps")
+    filled = impute.iterative(gaps, ["amount", "total_qty", "avg_qty"], max_iter=3, ridge=0.0)
+    return filled.select("id", *[F.round(c, 3).alias(c) for c in ("amount", "total_qty", "avg_qty")])
+
+
 @query("r11_chained")
 def r11(spark, folder):
     gaps = staged(corrupt.missing_values(apps(spark, folder).select("id", *NAMES), "severe", DOMAIN), "gaps")

@@ -1,23 +1,29 @@
 """Chained-equation imputation (van Buuren and Groothuis-Oudshoorn, 2011) from sums of products.
 
 A linear regression needs only the sums of products of its columns. Rows that miss the same
-columns share one affine completion of the missing cells, so one aggregate of those sums per
-pattern of missing columns is enough for all rounds: the rounds themselves run on small
-matrices, and one join on the pattern writes the result. When there are too many patterns for
-the driver, each round aggregates the completed table instead.
+columns share one affine completion of the missing cells, so the sums per pattern of missing
+columns, taken once, are enough for all rounds: a regression adds up the completed sums of the
+patterns that hold its column, and one join on the pattern writes the result. The rounds never
+read the rows again.
+
+Patterns are a table. Each is completed by the regressions so far, and their sums are added in the
+tasks that hold them; up to ``HELD`` patterns, the driver holds them as well and adds the same sums
+without a job for each regression.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, functions as F
+import pandas as pd
+from pyspark.sql import DataFrame, functions as F
 
 from plumbline.operators import stats
 from plumbline.sources.staging import staged
 
-MAX_PATTERNS = 4096
+HELD = 4096  # patterns that the driver adds up itself
+FLUSH = 512  # patterns a task sums at once
 
 
 def bayesian_ridge(gram: np.ndarray, target: int, rounds: int = 300, tolerance: float = 1e-3) -> np.ndarray:
@@ -65,28 +71,125 @@ def _with_intercept(coef, others, mean, target, size):
     return out
 
 
-def _sums(values: list[Column]) -> dict[tuple[int, int], Column]:
-    ones = [F.lit(1.0), *values]
-    return {(i, j): F.sum(ones[i] * ones[j]) for i in range(len(ones)) for j in range(i, len(ones))}
+def _pattern_sums(df: DataFrame, columns: Sequence[str], mean: Sequence[float], scale: Sequence[float]) -> DataFrame:
+    """``(mask, sums)``: per pattern of missing columns ("1" where missing) the sums of products of [1, columns].
 
-
-def _square(row, size: int) -> np.ndarray:
+    Columns are taken around their mean and in units of their spread, so the sums stay accurate; a
+    missing cell counts as the mean. Tasks add up their own rows, and a cell of a pattern is one row of the shuffle."""
+    size = len(columns) + 1
+    values = [(F.col(f"`{c}`").cast("double") - F.lit(m)) / F.lit(s) for c, m, s in zip(columns, mean, scale)]
+    rows = df.select(F.array(*values).alias("v"))
+
+    def run(batches: Iterator) -> Iterator:
+        held: dict = {}
+
+        def rows_of():
+            upper = np.triu_indices(size)
+            for mask, gram in held.items():
+                yield pd.DataFrame({"mask": mask, "cell": np.arange(len(upper[0])), "value": gram[upper]})
+
+        for batch in batches:
+            if not len(batch):
+                continue
+            v = np.array([np.asarray(x, float) for x in batch["v"]])
+            gone = np.isnan(v)
+            x = np.hstack([np.ones((len(v), 1)), np.where(gone, 0.0, v)])
+            masks, which = np.unique(gone, axis=0, return_inverse=True)
+            which = which.ravel()
+            for k, mask in enumerate(masks):
+                own = x[which == k]
+                name = "".join("1" if g else "0" for g in mask)
+                held[name] = held.get(name, 0.0) + own.T @ own
+                if len(held) > FLUSH:
+                    yield from rows_of()
+                    held.clear()
+        yield from rows_of()
+
+    cells = rows.mapInPandas(run, "mask string, cell int, value double").groupBy("mask", "cell").agg(F.sum("value").alias("value"))
+    sums = F.transform(F.array_sort(F.collect_list(F.struct("cell", "value"))), lambda c: c["value"])
+    return cells.groupBy("mask").agg(sums.alias("sums"))
+
+
+def _square(sums, units: np.ndarray) -> np.ndarray:
+    size = len(units)
     out = np.zeros((size, size))
-    for i in range(size):
-        for j in range(i, size):
-            out[i, j] = out[j, i] = row[f"s_{i}_{j}"] or 0.0
+    out[np.triu_indices(size)] = np.asarray(sums, float)
+    out = out + np.triu(out, 1).T
+    return out * np.outer(units, units)
+
+
+def _start(mask: str) -> np.ndarray:
+    """The completion of a pattern before any regression: the mean, which is zero once centred."""
+    out = np.eye(len(mask) + 1)
+    for i, gone in enumerate(mask, 1):
+        if gone == "1":
+            out[i] = 0.0
+    return out
+
+
+def _apply(complete: np.ndarray, mask: str, column: int, coef: np.ndarray) -> None:
+    if mask[column - 1] == "1":
+        complete[column] = coef @ complete
+
+
+def _completed(mask: str, steps) -> np.ndarray:
+    out = _start(mask)
+    for column, coef in steps:
+        _apply(out, mask, column, coef)
     return out
 
 
-def iterative(df: DataFrame, columns: Sequence[str], max_iter: int = 10, ridge: float | None = None,
-              max_patterns: int = MAX_PATTERNS) -> DataFrame:
+class _Held:
+    """Few patterns: sums and completions by the driver."""
+
+    def __init__(self, patterns: DataFrame, units: np.ndarray):
+        self.grams = {r["mask"]: _square(r["sums"], units) for r in patterns.orderBy("mask").collect()}
+        self.complete = {mask: _start(mask) for mask in self.grams}
+
+    def gram(self, column: int, steps) -> np.ndarray:
+        return sum(self.complete[m] @ g @ self.complete[m].T for m, g in self.grams.items() if m[column - 1] == "0")
+
+    def step(self, column: int, coef: np.ndarray) -> None:
+        for mask, complete in self.complete.items():
+            _apply(complete, mask, column, coef)
+
+
+class _Spread:
+    """Many patterns: the same sums by the tasks that hold them, one job for each regression."""
+
+    def __init__(self, patterns: DataFrame, units: np.ndarray):
+        self.patterns, self.units = patterns, units
+
+    def gram(self, column: int, steps) -> np.ndarray:
+        units, size = self.units, len(self.units)
+
+        def run(batches: Iterator) -> Iterator:
+            total = np.zeros((size, size))
+            for batch in batches:
+                for mask, sums in zip(batch["mask"], batch["sums"]):
+                    if mask[column - 1] == "0":
+                        complete = _completed(mask, steps)
+                        total += complete @ _square(sums, units) @ complete.T
+            yield pd.DataFrame({"cell": np.arange(size * size), "value": total.ravel()})
+
+        cells = self.patterns.mapInPandas(run, "cell int, value double").groupBy("cell").agg(F.sum("value").alias("value")).collect()
+        out = np.zeros(size * size)
+        for r in cells:  # size * size rows
+            out[r["cell"]] = r["value"]
+        return out.reshape(size, size)
+
+    def step(self, column: int, coef: np.ndarray) -> None:
+        pass
+
+
+def iterative(df: DataFrame, columns: Sequence[str], max_iter: int = 10, ridge: float | None = None, held: int = HELD) -> DataFrame:
     """Fill NULLs of numeric columns: start at the mean, then ``max_iter`` rounds of one regression
     per column on all the others, columns with fewer gaps first.
 
-    ``ridge`` fixes the penalty (0 is least squares); by default the penalty is estimated.
+    ``ridge`` fixes the penalty (0 is least squares); by default the penalty is estimated. Any number
+    of columns and of patterns works.
     """
     columns = list(columns)
-    size = len(columns) + 1
     about = stats.scalars(df, {
         (c, m): e for c in columns for m, e in (
             ("mean", F.avg(c)), ("sd", F.stddev_pop(c)), ("gaps", F.count_if(F.col(c).isNull())))
@@ -96,72 +199,33 @@ def iterative(df: DataFrame, columns: Sequence[str], max_iter: int = 10, ridge:
     order = sorted((i for i, c in enumerate(columns, 1) if about[c, "gaps"]), key=lambda i: about[columns[i - 1], "gaps"])
     if not order or len(columns) < 2:
         return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(about[c, "mean"])) for c in columns})
-    mean = np.array([about[c, "mean"] for c in columns])
-    scale = np.array([about[c, "sd"] or 1.0 for c in columns])
+    mean = [about[c, "mean"] for c in columns]
+    scale = [about[c, "sd"] or 1.0 for c in columns]
+    units = np.concatenate([[1.0], scale])
     fit = bayesian_ridge if ridge is None else lambda g, i: least_squares(g, i, ridge)
 
-    # sums are taken around the mean and in units of the spread, so they stay accurate
-    centred = [(F.col(c).cast("double") - F.lit(m)) / F.lit(s) for c, m, s in zip(columns, mean.tolist(), scale.tolist())]
-    pattern = F.lit(0).cast("bigint")
-    for i, c in enumerate(columns):
-        pattern = pattern + F.when(F.col(c).isNull(), F.lit(1 << i)).otherwise(F.lit(0))
-    units = np.concatenate([[1.0], scale])
-    known = [F.coalesce(v, F.lit(0.0)) for v in centred]
-    sums = df.groupBy(pattern.alias("pattern")).agg(*[e.alias(f"s_{i}_{j}") for (i, j), e in _sums(known).items()])
-    rows = sums.limit(max_patterns + 1).collect()  # at most 2**columns patterns
-    if len(rows) > max_patterns:
-        return _by_rounds(df, columns, centred, order, units, mean, fit, max_iter)
-
-    patterns = {r["pattern"]: _square(r, size) * np.outer(units, units) for r in rows}
-    complete = {}
-    for p in patterns:
-        b = np.eye(size)
-        for i in range(1, size):
-            if p >> (i - 1) & 1:
-                b[i] = 0.0  # the mean, which is zero once centred
-        complete[p] = b
-    for _ in range(max_iter):
-        for i in order:
-            observed = [p for p in patterns if not p >> (i - 1) & 1]
-            gram = sum(complete[p] @ patterns[p] @ complete[p].T for p in observed)
-            coef = fit(gram, i)
-            for p in patterns:
-                if p >> (i - 1) & 1:
-                    complete[p][i] = coef @ complete[p]
-    spark = df.sparkSession
-    gaps = [(int(p), *[b[i].tolist() for i in order]) for p, b in complete.items() if p]
-    schema = "_pattern bigint, " + ", ".join(f"_a{i} array<double>" for i in order)
-    table = F.broadcast(spark.createDataFrame(gaps, schema))  # at most max_patterns rows
-    filled = {}
-    for i in order:
-        value = F.col(f"_a{i}")[0]
-        for j, c in enumerate(columns, 1):
-            value = value + F.col(f"_a{i}")[j] * F.coalesce(F.col(c).cast("double") - F.lit(float(mean[j - 1])), F.lit(0.0))
-        filled[columns[i - 1]] = F.coalesce(F.col(columns[i - 1]).cast("double"), value + F.lit(float(mean[i - 1])))
-    return (
-        df.withColumn("_p", pattern).join(table, F.col("_p") == F.col("_pattern"), "left")
-        .withColumns(filled).select(*df.columns)
-    )
-
-
-def _by_rounds(df, columns, centred, order, units, mean, fit, max_iter):
-    """The same regressions with one aggregate of the completed table per column and round."""
-    size = len(columns) + 1
-    work = df.withColumns({f"_z{j}": F.coalesce(v, F.lit(0.0)) for j, v in enumerate(centred, 1)})
-    zs = [F.col(f"_z{j}") for j in range(1, size)]
+    patterns = staged(_pattern_sums(df, columns, mean, scale), "patterns")
+    sums = (_Held if patterns.count() <= held else _Spread)(patterns, units)
+    steps: list[tuple[int, np.ndarray]] = []
     for _ in range(max_iter):
-        work = staged(work, "impute-round")
         for i in order:
-            row = work.filter(F.col(columns[i - 1]).isNotNull()).agg(
-                *[e.alias(f"s_{a}_{b}") for (a, b), e in _sums(zs).items()]).first()
-            coef = fit(_square(row, size) * np.outer(units, units), i)
-            value = F.lit(float(coef[0] / units[i]))
-            for j in range(1, size):
-                if j != i:
-                    value = value + F.lit(float(coef[j] * units[j] / units[i])) * F.col(f"_z{j}")
-            work = work.withColumn(f"_z{i}", F.when(F.col(columns[i - 1]).isNull(), value).otherwise(F.col(f"_z{i}")))
-    return work.withColumns({
-        columns[i - 1]: F.coalesce(F.col(columns[i - 1]).cast("double"),
-                                   F.col(f"_z{i}") * F.lit(float(units[i])) + F.lit(float(mean[i - 1])))
-        for i in order
-    }).select(*df.columns)
+            coef = fit(sums.gram(i, steps), i)
+            steps.append((i, coef))
+            sums.step(i, coef)
+
+    def rows_of(batches: Iterator) -> Iterator:
+        for batch in batches:
+            made = [_completed(mask, steps) for mask in batch["mask"]]
+            yield pd.DataFrame({"_pattern": batch["mask"], **{f"_a{i}": [m[i] for m in made] for i in order}})
+
+    schema = "_pattern string, " + ", ".join(f"_a{i} array<double>" for i in order)
+    table = staged(patterns.where(F.contains("mask", F.lit("1"))).select("mask").mapInPandas(rows_of, schema), "completions")
+    ones = F.concat(*[F.when(F.col(f"`{c}`").isNull(), "1").otherwise("0") for c in columns])
+    around = F.array(F.lit(1.0), *[F.coalesce(F.col(f"`{c}`").cast("double") - F.lit(float(m)), F.lit(0.0)) for c, m in zip(columns, mean)])
+
+    def filled(i):
+        value = F.aggregate(F.zip_with(f"_a{i}", "_x", lambda a, x: a * x), F.lit(0.0), lambda s, v: s + v)
+        return F.coalesce(F.col(f"`{columns[i - 1]}`").cast("double"), value + F.lit(float(mean[i - 1])))
+
+    joined = df.withColumns({"_p": ones, "_x": around}).join(table, F.col("_p") == F.col("_pattern"), "left")
+    return joined.withColumns({columns[i - 1]: filled(i) for i in order}).select(*[F.col(f"`{c}`") for c in df.columns])

@@ -151,13 +151,32 @@ def test_chained_imputation_both_ways_and_against_numpy(spark):
 
     one = values(impute.iterative(df, ["a", "b", "c"], max_iter=6, ridge=0.0))
     assert np.allclose(one, done, atol=1e-6)
-    rounds = values(impute.iterative(df, ["a", "b", "c"], max_iter=6, ridge=0.0, max_patterns=1))
+    rounds = values(impute.iterative(df, ["a", "b", "c"], max_iter=6, ridge=0.0, held=0))
     assert np.allclose(rounds, one, atol=1e-6)
     bayes = values(impute.iterative(df, ["a", "b", "c"], max_iter=20))
     single = holes.sum(axis=1) == 1
     assert np.abs(bayes[single & holes[:, 2], 2] - truth[single & holes[:, 2], 2]).max() < 0.1
 
 
+def test_chained_imputation_of_seventy_columns_in_tasks(spark):
+    """More columns than a machine word has bits, and a pattern for nearly every row, none of them held by the driver."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(150, 70))
+    x[:, 68] = x[:, 0] + x[:, 1] + 3
+    holes = np.zeros(x.shape, bool)
+    holes[::3, 68] = True
+    holes[1::4, 69] = True
+    holes[np.arange(150) % 7 == 0, 5] = True
+    names = [f"c{i}" for i in range(70)]
+    rows = [(i, *[None if h else float(v) for v, h in zip(r, m)]) for i, (r, m) in enumerate(zip(x, holes))]
+    df = spark.createDataFrame(rows, "id bigint, " + ", ".join(f"{c} double" for c in names))
+    one, other = (sorted(map(tuple, impute.iterative(df, names, max_iter=2, held=h).collect())) for h in (0, impute.HELD))
+    assert np.allclose([r[1:] for r in one], [r[1:] for r in other], atol=1e-6)
+    alone = holes[:, 68] & ~holes[:, 69] & ~holes[:, 5]
+    got = np.array([r[69] for r in one])
+    assert np.abs(got[alone] - x[alone, 68]).max() < 0.1 and not np.isnan([r[1:] for r in one]).any()
+
+
 def test_chained_imputation_without_gaps_or_values(spark):
     df = spark.createDataFrame([(1, 1.0, 2.0), (2, 3.0, 4.0)], "id bigint, a double, b double")
     assert impute.iterative(df, ["a", "b"]).orderBy("id").collect() == df.orderBy("id").collect()
