@@ -1,7 +1,7 @@
 """Toxicity by a subsequence string kernel, Nystroem landmarks and a support vector machine.
 
 The instances are units of text: words (or parts of very long words, runs of single letters written
-apart, or neighbouring short words joined), without marks inside words. The kernel works on letters of
+apart, or a scrap of one or two letters joined to its neighbour), without marks inside words. The kernel works on letters of
 any script: sequences of a to z have a table cell each, others share ``HASHED`` cells by a hash. Two units are compared by their
 common subsequences of ``ORDER`` letters, each weighted by ``DECAY`` to the length it spans in both,
 so inserted letters and gaps cost weight and not the match. A document is as toxic as its worst
@@ -36,7 +36,7 @@ LONGEST, STEP = 24, 12
 LETTERS = 32
 EXACT = LETTERS ** ORDER  # cells of the sequences of a to z
 HASHED = 3 * EXACT  # cells of all other sequences
-SHORT = 4  # letters of words that may be parts of one
+SCRAP, JOINED = 2, 8  # letters of the shorter part of a word written in two, and of the whole
 MEMO = 400_000
 
 # Fixed: look-alikes of letters.
@@ -69,11 +69,11 @@ def units(text: str) -> set[str]:
     for w in [w for w in out if len(w) > LONGEST]:
         out.discard(w)
         out.update(w[i:i + LONGEST] for i in range(0, max(1, len(w) - STEP), STEP))
-    for i in range(len(words) - 1):  # an insult cut in pieces; single letters are joined below
-        for n in (2, 3):
-            part = words[i:i + n]
-            if len(part) == n and max(map(len, part)) <= SHORT and n < sum(map(len, part)):
-                out.add("".join(part))
+    size = list(map(len, words))  # an insult cut in two; single letters are joined below
+    for i in [i for i, n in enumerate(size) if n <= SCRAP]:
+        for j in (i - 1, i):
+            if 0 <= j < len(size) - 1 and 4 < size[j] + size[j + 1] <= JOINED:
+                out.add(words[j] + words[j + 1])
     if sum(1 for w in words if len(w) == 1) >= 3:
         for run in _APART.findall(" ".join(words)):
             whole = run.replace(" ", "")
@@ -101,16 +101,17 @@ def _places(length: int):
 
 
 def _by_length(words):
-    groups: dict[int, list[int]] = {}
+    """Words of one length and kind: their numbers, codes, places, weights, and whether letters beyond a to z occur."""
+    groups: dict[tuple[int, bool], list[int]] = {}
     for i, w in enumerate(words):
-        groups.setdefault(len(w), []).append(i)
-    for length, rows in groups.items():
+        groups.setdefault((len(w), not (w.isascii() and w.isalpha())), []).append(i)
+    for (length, strange), rows in groups.items():
         found, weights = _places(length + 1)
         if found:
-            yield rows, _codes([words[i] for i in rows]), found, weights
+            yield rows, _codes([words[i] for i in rows]), found, weights, strange
 
 
-def _sequence(codes, places):
+def _sequence(codes, places, strange: bool):
     """The table cell of the letters at some places, for every word."""
     import numpy as np
 
@@ -118,15 +119,14 @@ def _sequence(codes, places):
     at = letters[0]
     for x in letters[1:]:
         at = at * LETTERS + x
-    strange = np.zeros(len(codes), bool)
-    for x in letters:
-        strange |= x >= LETTERS
-    if strange.any():
+    if strange:
+        beyond = np.zeros(len(codes), bool)
         h = np.zeros(len(codes), np.uint64)
         for x in letters:
+            beyond |= x >= LETTERS
             h = (h ^ x.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
             h ^= h >> np.uint64(29)
-        at = np.where(strange, EXACT + (h % np.uint64(HASHED)).astype(np.int64), at)
+        at = np.where(beyond, EXACT + (h % np.uint64(HASHED)).astype(np.int64), at)
     return at
 
 
@@ -135,10 +135,10 @@ def margins(words: list[str], table, bias: float):
     import numpy as np
 
     out = np.full(len(words), bias)
-    for rows, codes, found, weights in _by_length(words):
+    for rows, codes, found, weights, strange in _by_length(words):
         total = np.zeros(len(rows))
         for places, weight in zip(found, weights):
-            total += weight * table[_sequence(codes, places)]
+            total += weight * table[_sequence(codes, places, strange)]
         out[rows] += total
     return out
 
@@ -146,9 +146,9 @@ def margins(words: list[str], table, bias: float):
 def features(words: list[str]):
     """Explicit kernel features: a sparse vector for each word, as (sequence, weight) dictionaries."""
     out: list[dict[int, float]] = [{} for _ in words]
-    for rows, codes, found, weights in _by_length(words):
+    for rows, codes, found, weights, strange in _by_length(words):
         for places, weight in zip(found, weights):
-            for row, s in zip(rows, _sequence(codes, places).tolist()):
+            for row, s in zip(rows, _sequence(codes, places, strange).tolist()):
                 own = out[row]
                 own[s] = own.get(s, 0.0) + weight
     return out
@@ -170,9 +170,9 @@ def kernel(words: list[str], landmarks: list[str]):
     lookup = np.full(EXACT + HASHED, len(slots), np.int32)
     lookup[list(slots)] = np.arange(len(slots))
     out = np.zeros((len(words), len(landmarks)))
-    for rows, codes, found, weights in _by_length(words):
+    for rows, codes, found, weights, strange in _by_length(words):
         for places, weight in zip(found, weights):
-            out[rows] += weight * dense[lookup[_sequence(codes, places)]]
+            out[rows] += weight * dense[lookup[_sequence(codes, places, strange)]]
     return out
 
 
