@@ -8,7 +8,7 @@ from catalog import sqltext as q
 from catalog.common import DOMAIN, SUITE, apps, corrupted, rounded
 from catalog.registry import query
 from catalog.repairs import BOTH, CORRUPTED, RATE, REPAIRED
-from plumbline.operators.expectations import run_suite
+from plumbline.operators.expectations import Expectation, Suite, run_suite
 from plumbline.plans import flows, training
 from plumbline.sources.layers import LayerStore
 from plumbline.sources.staging import fresh_path
@@ -115,3 +115,64 @@ def f6(spark, folder):
     store.save_derived("corrupted", corrupted(spark, folder, "light"), "corrupt_2", "conjoined_corruption", "light", "r2")
     watch()  # goes on where it stopped
     return rounded(arrivals.arrived_results(spark, schema, SUITE, sink))
+
+
+MEASURED = Suite(tuple(Expectation(t, k) for t, k in (
+    ("expect_column_values_to_be_unique", {"column": "amount"}), ("expect_column_mean_to_be_between", {"column": "amount", "min_value": 1000}),
+    ("expect_column_stdev_to_be_between", {"column": "amount", "max_value": 1e9}), ("expect_column_sum_to_be_between", {"column": "total_qty", "min_value": 1e6}),
+    ("expect_column_min_to_be_between", {"column": "n_lines", "min_value": 1}), ("expect_column_max_to_be_between", {"column": "n_lines", "max_value": 7}),
+    ("expect_column_unique_value_count_to_be_between", {"column": "segment", "max_value": 5}),
+    ("expect_column_distinct_values_to_contain_set", {"column": "priority", "value_set": ["1-URGENT", "2-HIGH", "none"]}),
+    ("expect_column_most_common_value_to_be_in_set", {"column": "status", "value_set": ["F", "O"]}), ("expect_table_row_count_to_be_between", {"min_value": 10}),
+    ("expect_column_value_z_scores_to_be_less_than", {"column": "amount", "threshold": 2}))), name="measures")
+PER_DATASET = """
+per AS (SELECT dataset_id, count(*) AS n, count(*) - count(amount) AS gaps, avg(amount) AS am, stddev_samp(amount) AS sd, sum(total_qty) AS qty, min(n_lines) AS low, max(n_lines) AS high,
+        count(DISTINCT segment) AS kinds, count(DISTINCT priority) FILTER (WHERE priority IN ('1-URGENT', '2-HIGH', 'none')) AS hits FROM arrived GROUP BY 1),
+repeats AS (SELECT dataset_id, sum(c) FILTER (WHERE c > 1) AS n FROM (SELECT dataset_id, amount, count(*) AS c FROM arrived WHERE amount IS NOT NULL GROUP BY ALL) GROUP BY 1),
+common AS (SELECT dataset_id, count(*) AS tied, count(*) FILTER (WHERE status IN ('F', 'O')) AS hits FROM (
+             SELECT dataset_id, status, rank() OVER (PARTITION BY dataset_id ORDER BY count(*) DESC) AS place FROM arrived WHERE status IS NOT NULL GROUP BY 1, 2)
+           WHERE place = 1 GROUP BY 1),
+far AS (SELECT dataset_id, count(*) FILTER (WHERE abs(amount - am) / sd >= 2) AS n FROM arrived JOIN per USING (dataset_id) GROUP BY 1),
+told AS (
+  SELECT dataset_id, 0 AS idx, coalesce(r.n, 0) = 0 AS success, coalesce(r.n, 0) AS unexpected, NULL AS value FROM per LEFT JOIN repeats r USING (dataset_id)
+  UNION ALL SELECT dataset_id, 1, coalesce(am >= 1000, false), 0, am FROM per UNION ALL SELECT dataset_id, 2, coalesce(sd <= 1e9, false), 0, sd FROM per
+  UNION ALL SELECT dataset_id, 3, coalesce(qty >= 1e6, false), 0, qty FROM per UNION ALL SELECT dataset_id, 4, coalesce(low >= 1, false), 0, low FROM per
+  UNION ALL SELECT dataset_id, 5, coalesce(high <= 7, false), 0, high FROM per UNION ALL SELECT dataset_id, 6, coalesce(kinds <= 5, false), 0, kinds FROM per
+  UNION ALL SELECT dataset_id, 7, hits = 3, 0, NULL FROM per UNION ALL SELECT dataset_id, 8, hits = 1 AND tied = 1, 0, NULL FROM common
+  UNION ALL SELECT dataset_id, 9, n >= 10, 0, n FROM per UNION ALL SELECT dataset_id, 10, f.n = 0, f.n, NULL FROM per JOIN far f USING (dataset_id))"""
+ARRIVED = (
+    *CORRUPTED, *q.conjoined("lighter", "applications", "light"),
+    q.step("kept_1", "corrupted", {"n_lines": "trunc(n_lines)"}), q.step("kept_2", "lighter", {"n_lines": "trunc(n_lines)"}),
+    f"arrived AS ({q.shown('kept_1').replace('SELECT', 'SELECT ' + repr('corrupt_1') + ' AS dataset_id,', 1)} UNION ALL "
+    f"{q.shown('kept_2').replace('SELECT', 'SELECT ' + repr('corrupt_2') + ' AS dataset_id,', 1)})", PER_DATASET)
+TOLD = """SELECT dataset_id, CAST(idx AS INTEGER) AS idx, success, CAST(unexpected AS BIGINT) AS unexpected_count, round(CAST(value AS DOUBLE), 2) AS value FROM told"""
+
+
+def _told(df):
+    value = F.when(F.col("idx").isin(1, 2, 3, 4, 5, 6, 9), F.round(F.col("observed_value").try_cast("double"), 2))
+    return df.select("dataset_id", "idx", "success", "unexpected_count", value.alias("value"))
+
+
+@query("f6_measures", q.with_ctes(*ARRIVED, select=TOLD))
+def f6_measures(spark, folder):
+    """Measures, uniqueness, distinct counts, the most common value and z-scores over files as they arrive, folded half way."""
+    store = _store(spark)
+    sink, checkpoint = fresh_path(spark, "sink"), fresh_path(spark, "stream")
+    store.save_derived("corrupted", corrupted(spark, folder).repartition(3), "corrupt_1", "conjoined_corruption", "severe", "r1")
+    schema = store.schema("corrupted")
+    watch = lambda: arrivals.validate_arrivals(
+        spark, store.path("corrupted"), schema, MEASURED, sink, checkpoint, files_per_batch=2).awaitTermination()
+    watch()
+    arrivals.compact(spark, schema, MEASURED, sink, 0)
+    store.save_derived("corrupted", corrupted(spark, folder, "light"), "corrupt_2", "conjoined_corruption", "light", "r2")
+    watch()
+    return _told(arrivals.arrived_results(spark, schema, MEASURED, sink))
+
+
+@query("e8_measures_by_group", q.with_ctes(*ARRIVED, select=TOLD))
+def e8_measures(spark, folder):
+    """The same rules per dataset of one table."""
+    store = _store(spark)
+    for i, scenario in enumerate(("severe", "light"), 1):
+        store.save_derived("corrupted", corrupted(spark, folder, scenario), f"corrupt_{i}", "conjoined_corruption", scenario, f"r{i}")
+    return _told(run_suite(store.read("corrupted"), MEASURED, ["dataset_id"]))

@@ -37,6 +37,24 @@ class Rule:
     # columns that must be unique together, where ``repeated_skip`` does not hold
     repeated: list[str] | None = None
     repeated_skip: Column | None = None
+    # how a measure rule's aggregates come from parts: partial aggregates with "sum", "min" or "max", and the measures over them
+    states: dict[str, tuple[Column, str]] = field(default_factory=dict)
+    from_states: Callable[[dict[str, Column]], dict[str, Column]] | None = None
+    # how a rule is decided from counts per value
+    by_values: "ByValues | None" = None
+
+
+@dataclass
+class ByValues:
+    """What is counted per value, and what follows from the counts.
+
+    ``decide`` takes ``(keys, value, number, n)`` and the keys, and returns the keys with ``unexpected``
+    for a row rule, or with the rule's measures."""
+
+    value: Column
+    decide: Callable[[DataFrame, list[str]], DataFrame]
+    number: Column | None = None
+    skip: Column | None = None
 
 
 RULES: dict[str, Callable[..., Rule]] = {}
@@ -63,6 +81,25 @@ def build(df: DataFrame, expectation) -> Rule:
     return RULES[expectation.type](df, **expectation.kwargs)
 
 
+# Builders of rules that need a pass of their own, for groups and for merging: by counts per value.
+MERGEABLE: dict[str, Callable[..., Rule]] = {}
+
+
+def mergeable(name: str):
+    def register(builder):
+        MERGEABLE[name] = builder
+        return builder
+    return register
+
+
+def build_mergeable(df: DataFrame, expectation) -> Rule:
+    """The rule in a form that runs per group and merges from parts; raises where there is none."""
+    made = MERGEABLE.get(expectation.type, RULES[expectation.type])(df, **expectation.kwargs)
+    if made.own_pass or made.measures and made.by_values is None and not made.states:
+        raise ValueError(f"{expectation.type} cannot be merged from partial counts")
+    return made
+
+
 def number_text(value: Column) -> Column:
     return F.format_string("%.4f", value.cast("double"))
 
@@ -94,9 +131,10 @@ def _row(column: str, bad: Column, mostly: float = 1.0) -> Rule:
     return Rule(missing=c.isNull(), unexpected=c.isNotNull() & bad, mostly=mostly, subject=c)
 
 
-def _measure(value: Column, low, high, strict_min=False, strict_max=False, extra=None) -> Rule:
-    """One aggregate within bounds; NULL (no rows) does not pass."""
+def _measure(value: Column, low, high, strict_min=False, strict_max=False, extra=None, states=None, final=None) -> Rule:
+    """One aggregate within bounds; NULL (no rows) does not pass. ``states`` and ``final`` say how it merges."""
     return Rule(
+        states=states or {}, from_states=None if states is None else lambda s: {"value": final(s)},
         measures={"value": value, **(extra or {})},
         passed=lambda m: F.coalesce(in_bounds(m["value"], low, high, strict_min, strict_max), F.lit(False)),
         observed=lambda m: number_text(m["value"]),
@@ -305,34 +343,51 @@ def not_match_like_list(df, column: str, like_pattern_list: list, mostly: float
     return _row(column, _any(column, like_pattern_list, "like"), mostly)
 
 
+def _moments(column: str) -> dict:
+    c = F.col(column).cast("double")
+    return {"n": (F.count(c), "sum"), "s": (F.sum(c), "sum"), "q": (F.sum(c * c), "sum")}
+
+
+def _deviation(s: dict[str, Column]) -> Column:
+    """Sample deviation from count, sum and sum of squares."""
+    n = s["n"].cast("double")
+    rest = F.greatest(s["q"] - s["s"] * F.try_divide(s["s"], n), F.lit(0.0))
+    return F.when(n > 1, F.sqrt(rest / (n - 1)))
+
+
 @rule("expect_column_mean_to_be_between")
 def mean_between(df, column: str, min_value=None, max_value=None, strict_min: bool = False,
                  strict_max: bool = False) -> Rule:
-    return _measure(F.avg(column), min_value, max_value, strict_min, strict_max)
+    return _measure(F.avg(column), min_value, max_value, strict_min, strict_max,
+                    states=_moments(column), final=lambda s: F.try_divide(s["s"], s["n"]))
 
 
 @rule("expect_column_stdev_to_be_between")
 def stdev_between(df, column: str, min_value=None, max_value=None, strict_min: bool = False,
                   strict_max: bool = False) -> Rule:
-    return _measure(F.stddev_samp(column), min_value, max_value, strict_min, strict_max)
+    return _measure(F.stddev_samp(column), min_value, max_value, strict_min, strict_max,
+                    states=_moments(column), final=_deviation)
 
 
 @rule("expect_column_sum_to_be_between")
 def sum_between(df, column: str, min_value=None, max_value=None, strict_min: bool = False,
                 strict_max: bool = False) -> Rule:
-    return _measure(F.sum(column), min_value, max_value, strict_min, strict_max)
+    return _measure(F.sum(column), min_value, max_value, strict_min, strict_max,
+                    states={"s": (F.sum(column), "sum")}, final=lambda s: s["s"])
 
 
 @rule("expect_column_min_to_be_between")
 def min_between(df, column: str, min_value=None, max_value=None, strict_min: bool = False,
                 strict_max: bool = False) -> Rule:
-    return _measure(F.min(column), min_value, max_value, strict_min, strict_max)
+    return _measure(F.min(column), min_value, max_value, strict_min, strict_max,
+                    states={"m": (F.min(column), "min")}, final=lambda s: s["m"])
 
 
 @rule("expect_column_max_to_be_between")
 def max_between(df, column: str, min_value=None, max_value=None, strict_min: bool = False,
                 strict_max: bool = False) -> Rule:
-    return _measure(F.max(column), min_value, max_value, strict_min, strict_max)
+    return _measure(F.max(column), min_value, max_value, strict_min, strict_max,
+                    states={"m": (F.max(column), "max")}, final=lambda s: s["m"])
 
 
 @rule("expect_column_median_to_be_between")
@@ -391,7 +446,8 @@ def _distinct_set(df: DataFrame, column: str, value_set: list, inside: bool, con
             test = test & (hits(m) == len(value_set))
         return test
 
-    return Rule(measures=measures, passed=passed,
+    return Rule(measures=measures, passed=passed, from_states=lambda s: s,
+                states={name: (c, "sum" if name == "outside" else "max") for name, c in measures.items()},
                 observed=lambda m: F.concat_ws("/", hits(m).cast("string"), m["outside"].cast("string")))
 
 
@@ -427,12 +483,13 @@ def most_common_in_set(df, column: str, value_set: list, ties_okay: bool = False
 
 @rule("expect_table_row_count_to_be_between")
 def row_count_between(df, min_value=None, max_value=None, strict_min: bool = False, strict_max: bool = False) -> Rule:
-    return _measure(F.count(F.lit(1)), min_value, max_value, strict_min, strict_max)
+    return _measure(F.count(F.lit(1)), min_value, max_value, strict_min, strict_max,
+                    states={"n": (F.count(F.lit(1)), "sum")}, final=lambda s: s["n"])
 
 
 @rule("expect_table_row_count_to_equal")
 def row_count_equal(df, value: int) -> Rule:
-    return _measure(F.count(F.lit(1)), value, value)
+    return _measure(F.count(F.lit(1)), value, value, states={"n": (F.count(F.lit(1)), "sum")}, final=lambda s: s["n"])
 
 
 @rule("expect_table_row_count_to_equal_other_table")
@@ -559,6 +616,75 @@ def kl_divergence(df, column: str, partition_object: dict, threshold: float,
             out = out + F.when(p > 0, term).otherwise(F.lit(0.0))
         return F.when(total > 0, out)
 
-    return Rule(measures=measures,
+    return Rule(measures=measures, states={name: (c, "sum") for name, c in measures.items()}, from_states=lambda s: s,
                 passed=lambda m: F.coalesce(divergence(m) <= F.lit(float(threshold)), F.lit(False)),
                 observed=lambda m: number_text(divergence(m)))
+
+
+# --- rules with a pass of their own, from counts per value ------------------------------
+
+def _repeats(counts: DataFrame, keys: list[str]) -> DataFrame:
+    return counts.groupBy(*keys).agg(F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("unexpected"))
+
+
+@mergeable("expect_column_values_to_be_unique")
+def unique_by_values(df, column: str, mostly: float = 1.0) -> Rule:
+    c = F.col(column)
+    return Rule(missing=c.isNull(), mostly=mostly, subject=c, by_values=ByValues(c.cast("string"), _repeats, skip=c.isNull()))
+
+
+@mergeable("expect_compound_columns_to_be_unique")
+def compound_unique_by_values(df, column_list: list, ignore_row_if: str = "all_values_are_missing", mostly: float = 1.0) -> Rule:
+    skip = _skipped_list(column_list, ignore_row_if)
+    return Rule(missing=skip, mostly=mostly, subject=F.struct(*column_list), by_values=ByValues(F.to_json(F.struct(*column_list)), _repeats, skip=skip))
+
+
+def _by_distinct(column: str, value: Column, bounds: tuple) -> Rule:
+    c = F.col(column)
+    return Rule(passed=lambda m: F.coalesce(in_bounds(m["value"], *bounds), F.lit(False)), observed=lambda m: number_text(m["value"]),
+                measures={"value": F.lit(None)},
+                by_values=ByValues(c.cast("string"), lambda counts, keys: counts.groupBy(*keys).agg(value.alias("value")), skip=c.isNull()))
+
+
+@mergeable("expect_column_unique_value_count_to_be_between")
+def distinct_count_by_values(df, column: str, min_value=None, max_value=None, strict_min: bool = False, strict_max: bool = False,
+                             approximate: bool = False) -> Rule:
+    """Exact also where an approximate count is asked for."""
+    return _by_distinct(column, F.count(F.lit(1)), (min_value, max_value, strict_min, strict_max))
+
+
+@mergeable("expect_column_proportion_of_unique_values_to_be_between")
+def distinct_share_by_values(df, column: str, min_value=None, max_value=None, strict_min: bool = False, strict_max: bool = False) -> Rule:
+    return _by_distinct(column, F.count(F.lit(1)) / F.sum("n"), (min_value, max_value, strict_min, strict_max))
+
+
+@mergeable("expect_column_most_common_value_to_be_in_set")
+def most_common_by_values(df, column: str, value_set: list, ties_okay: bool = False) -> Rule:
+    c, allowed = F.col(column), [str(v) for v in value_set]
+
+    def decide(counts: DataFrame, keys: list[str]) -> DataFrame:
+        same = counts.groupBy(*keys, "n").agg(F.count(F.lit(1)).alias("tied"), F.min("value").alias("lowest"), F.count_if(F.col("value").isin(allowed)).alias("hits"))
+        top = same.groupBy(*keys).agg(*[F.max_by(x, "n").alias(x) for x in ("tied", "lowest", "hits")])
+        good = F.col("hits") > 0 if ties_okay else (F.col("hits") == 1) & (F.col("tied") == 1)
+        return top.select(*keys, good.alias("good"), "lowest")
+
+    return Rule(passed=lambda m: F.coalesce(m["good"], F.lit(False)), observed=lambda m: m["lowest"],
+                measures={"good": F.lit(None), "lowest": F.lit(None)}, by_values=ByValues(c.cast("string"), decide, skip=c.isNull()))
+
+
+@mergeable("expect_column_value_z_scores_to_be_less_than")
+def z_scores_by_values(df, column: str, threshold: float, double_sided: bool = True, mostly: float = 1.0) -> Rule:
+    c = F.col(column)
+
+    def decide(counts: DataFrame, keys: list[str]) -> DataFrame:
+        v, n = F.col("number"), F.col("n")
+        moments = counts.groupBy(*keys).agg((F.sum(v * n) / F.sum("n")).alias("mean"), F.sum("n").alias("total"))
+        same = [F.col(f"c.`{k}`").eqNullSafe(F.col(f"m.`{k}`")) for k in keys]
+        far = counts.alias("c").join(moments.alias("m"), same).select(*[F.col(f"c.`{k}`") for k in keys], (v - F.col("mean")).alias("off"), "n", "total")
+        spread = far.groupBy(*keys).agg(F.when(F.max("total") > 1, F.sqrt(F.sum(F.col("off") * F.col("off") * n) / (F.max("total") - 1))).alias("sd"))
+        same = [F.col(f"f.`{k}`").eqNullSafe(F.col(f"s.`{k}`")) for k in keys]
+        z = F.try_divide(F.abs("off") if double_sided else F.col("off"), F.col("sd"))
+        return far.alias("f").join(spread.alias("s"), same).groupBy(*[F.col(f"f.`{k}`") for k in keys]).agg(
+            F.coalesce(F.sum(F.when(z >= F.lit(float(threshold)), n)), F.lit(0)).alias("unexpected"))
+
+    return Rule(missing=c.isNull(), mostly=mostly, subject=c, by_values=ByValues(c.cast("string"), decide, c.cast("double"), c.isNull()))

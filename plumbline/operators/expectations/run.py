@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from plumbline.functions.cleaning import nan_to_null
 from plumbline.operators.expectations import rules
 from plumbline.operators.expectations.suite import Suite
+from plumbline.sources.staging import staged
 
 RESULT_SCHEMA = (
     "idx int, expectation_type string, column string, column_b string, severity string, success boolean, "
@@ -28,20 +29,14 @@ def _columns_of(expectation) -> tuple[str | None, str | None]:
 
 
 class CompiledSuite:
-    """Aggregates of a suite and the result rows over them.
+    """Aggregates of a suite and the result rows over them."""
 
-    The counters are additive, so partial results of one dataset can be merged by sum
-    (``merge``) before ``results`` turns them into rows.
-    """
-
-    def __init__(self, df: DataFrame, suite: Suite, additive_only: bool = False):
+    def __init__(self, df: DataFrame, suite: Suite):
         self.suite = suite
         self.rules = [rules.build(df, e) for e in suite.expectations]
         self.counters: dict[str, Column] = {"elements": F.count(F.lit(1))}
         self.measures: dict[str, Column] = {}
         for i, rule in enumerate(self.rules):
-            if additive_only and (rule.own_pass or rule.passed is not None or rule.unexpected_count is not None):
-                raise ValueError(f"{suite.expectations[i].type} cannot be merged from partial counts")
             if rule.missing is not None:
                 self.counters[f"missing_{i}"] = F.count(F.when(rule.missing, 1))
             if rule.unexpected is not None:
@@ -53,9 +48,6 @@ class CompiledSuite:
         aggregates = [c.alias(n) for n, c in {**self.counters, **self.measures}.items()]
         return (df.groupBy(*keys) if keys else df).agg(*aggregates)
 
-    def merge(self, partial: DataFrame, keys: Sequence[str]) -> DataFrame:
-        return partial.groupBy(*keys).agg(*[F.sum(n).alias(n) for n in self.counters])
-
     def results(self, counted: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
         rows = [self._row(i, e, r) for i, (e, r) in enumerate(zip(self.suite.expectations, self.rules))]
         if not rows:
@@ -65,7 +57,7 @@ class CompiledSuite:
     def _row(self, i: int, expectation, rule: rules.Rule) -> Column:
         elements = F.col("elements")
         missing = F.col(f"missing_{i}") if rule.missing is not None else F.lit(0)
-        if rule.unexpected is not None:
+        if rule.unexpected is not None or rule.by_values is not None and rule.passed is None:
             unexpected = F.col(f"unexpected_{i}")
         else:
             unexpected = F.lit(rule.unexpected_count or 0)
@@ -94,6 +86,68 @@ class CompiledSuite:
         return F.struct(*[values[n].cast(t).alias(n) for n, t in types.items()])
 
 
+class MergeableSuite(CompiledSuite):
+    """A suite over groups whose rows come in parts.
+
+    A part is two tables: ``partial`` has counters and states of measures per group, ``values`` counts per
+    value where a rule needs them. Parts are united and merged by sum, least or greatest, and
+    ``judged`` turns them into result rows. Nothing is lost by cutting the rows another way.
+    """
+
+    def __init__(self, df: DataFrame, suite: Suite):
+        self.suite = suite
+        self.rules = [rules.build_mergeable(df, e) for e in suite.expectations]
+        self.columns: dict[str, tuple[Column, str]] = {"elements": (F.count(F.lit(1)), "sum")}
+        for i, rule in enumerate(self.rules):
+            if rule.missing is not None:
+                self.columns[f"missing_{i}"] = (F.count(F.when(rule.missing, 1)), "sum")
+            if rule.unexpected is not None:
+                self.columns[f"unexpected_{i}"] = (F.count(F.when(rule.unexpected, 1)), "sum")
+            for name, state in rule.states.items():
+                self.columns[f"s_{i}_{name}"] = state
+
+    def partial(self, df: DataFrame, keys: Sequence[str]) -> DataFrame:
+        return df.groupBy(*keys).agg(*[c.alias(n) for n, (c, _) in self.columns.items()])
+
+    def values(self, df: DataFrame, keys: Sequence[str]) -> DataFrame:
+        """``(keys, idx, value, number, n)``, combined before the shuffle: one row per value however often it occurs."""
+        cells = [F.when(~F.coalesce(v.skip, F.lit(False)), F.struct(F.lit(i).alias("idx"), v.value.alias("value"), (F.lit(None) if v.number is None else v.number).cast("double").alias("number")))
+                 for i, v in self._by_values()]
+        kind = "array<struct<idx:int,value:string,number:double>>"
+        each = df.select(*keys, F.inline(F.array(*cells).cast(kind) if cells else F.array().cast(kind)))
+        return each.where("idx IS NOT NULL").groupBy(*keys, "idx", "value").agg(F.first("number").alias("number"), F.count(F.lit(1)).alias("n"))
+
+    def _by_values(self):
+        return [(i, r.by_values) for i, r in enumerate(self.rules) if r.by_values is not None]
+
+    def merged(self, partial: DataFrame, keys: Sequence[str]) -> DataFrame:
+        how = {"sum": F.sum, "min": F.min, "max": F.max}
+        return partial.groupBy(*keys).agg(*[how[kind](n).alias(n) for n, (_, kind) in self.columns.items()])
+
+    @staticmethod
+    def merged_values(values: DataFrame, keys: Sequence[str]) -> DataFrame:
+        return values.groupBy(*keys, "idx", "value").agg(F.first("number").alias("number"), F.sum("n").alias("n"))
+
+    def judged(self, partial: DataFrame, values: DataFrame, keys: Sequence[str]) -> DataFrame:
+        """Result rows of merged parts."""
+        keys = list(keys)
+        measures = {}
+        for i, rule in enumerate(self.rules):
+            if rule.states:
+                for name, value in rule.from_states({n: F.col(f"s_{i}_{n}") for n in rule.states}).items():
+                    measures[f"m_{i}_{name}"] = value
+        counted = partial.withColumns(measures)
+        for i, v in self._by_values():
+            rule, own = self.rules[i], v.decide(values.where(F.col("idx") == i).drop("idx"), keys)
+            names = {"unexpected": f"unexpected_{i}"} if rule.passed is None else {n: f"m_{i}_{n}" for n in rule.measures}
+            own = own.select(*[F.col(k).alias(f"_{k}") for k in keys], *[F.col(n).alias(to) for n, to in names.items()])
+            same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+            counted = counted.join(own, same, "left").drop(*[f"_{k}" for k in keys])
+            if rule.passed is None:
+                counted = counted.fillna(0, [f"unexpected_{i}"])
+        return self.results(counted, keys)
+
+
 def _ddl() -> str:
     return ", ".join(p.strip().replace(" ", ": ") for p in RESULT_SCHEMA.split(","))
 
@@ -101,13 +155,17 @@ def _ddl() -> str:
 def run_suite(df: DataFrame, suite: Suite, keys: Sequence[str] = ()) -> DataFrame:
     """One row per expectation (and per group of ``keys``): a single scan of ``df``.
 
-    Only uniqueness, exact distinct counts, exact quantiles, the most common value and
-    z-scores add a pass of their own; grouped runs take the rest.
+    Uniqueness, exact distinct counts, exact quantiles, the most common value and z-scores add a
+    pass of their own; per group they are decided from one table of counts per value. Exact
+    quantiles do not run per group.
     """
     df = nan_to_null(df)
-    compiled = CompiledSuite(df, suite, additive_only=False)
-    if keys and any(r.own_pass or (r.passed and not r.measures) for r in compiled.rules):
-        raise ValueError("expectations with a pass of their own cannot run per group")
+    if keys and any(e.type in rules.MERGEABLE for e in suite.expectations):
+        made = MergeableSuite(df, suite)
+        return made.judged(made.partial(df, keys), staged(made.values(df, keys), "values"), keys)
+    compiled = CompiledSuite(df, suite)
+    if keys and any(r.own_pass for r in compiled.rules):
+        raise ValueError("exact quantiles cannot run per group")
     return compiled.results(compiled.aggregate(df, keys), keys)
 
 
