@@ -55,6 +55,61 @@ def m5(spark, folder):
     return features.stratified_split(features.prepare_target(staged(apps(spark, folder), "applications"))).select("id", "is_test")
 
 
+def _cells_sql() -> str:
+    """Every cell of the vectors: scaled numbers in order, then one place per category, in alphabetical order within each column."""
+    parts, numbers, texts = [], [c for c in FEATURES if c in q.NUMBERS], [c for c in FEATURES if c in q.TEXTS]
+    for i, c in enumerate(numbers):
+        parts.append(f"SELECT id, {i} AS place, ({c} - (SELECT avg({c}) FROM n)) / coalesce(nullif((SELECT stddev_pop({c}) FROM n), 0), 1) AS value FROM n")
+    for c in texts:
+        ahead = " + ".join([str(len(numbers)), *[f"(SELECT count(DISTINCT {t}) FROM n)" for t in texts[:texts.index(c)]]])
+        parts.append(f"SELECT id, CAST({ahead} + k AS INTEGER), CAST({c} = v AS DOUBLE) FROM n, (SELECT v, row_number() OVER (ORDER BY v) - 1 AS k FROM (SELECT DISTINCT {c} AS v FROM n))")
+    return " UNION ALL ".join(parts)
+
+
+@query("m4_vector_cells", q.with_ctes(
+    q.step("filled", "applications", {**{c: f"coalesce(CAST({c} AS DOUBLE), {q.quantile(c, 0.5, 'applications')})" for c in q.NUMBERS if c != "category"},
+                                      **{c: f"coalesce({c}, {q.mode_of(c, 'applications')}, 'UNKNOWN')" for c in q.TEXTS}}),
+    "n AS (SELECT * FROM filled)", f"cells AS ({_cells_sql()})", select="SELECT id, CAST(place AS INTEGER) AS place, round(value, 6) + 0.0 AS value FROM cells"))
+def m4_cells(spark, folder):
+    return m4_vectors(spark, folder).select("id", F.posexplode("features").alias("place", "value")).withColumn("value", F.col("value") + 0.0)
+
+
+NEWTON_STEPS = 8
+
+
+def _newton_sql() -> list[str]:
+    """Logistic regression of the label on two scaled columns by unrolled Newton steps: weights by class, L2 of strength 1 but for the intercept."""
+    ctes = ["""base AS (
+  SELECT id, is_test, CAST(category = 2 AS DOUBLE) AS y, (amount - (SELECT avg(amount) FROM split WHERE NOT is_test)) / (SELECT stddev_pop(amount) FROM split WHERE NOT is_test) AS x1,
+         (n_lines - (SELECT avg(n_lines) FROM split WHERE NOT is_test)) / (SELECT stddev_pop(n_lines) FROM split WHERE NOT is_test) AS x2,
+         (SELECT count(*) FROM split WHERE NOT is_test) / (2.0 * (SELECT count(*) FROM split s WHERE NOT s.is_test AND s.category = split.category)) AS w
+  FROM split)""", "b0 AS (SELECT CAST(0 AS DOUBLE) AS b1, CAST(0 AS DOUBLE) AS b2, CAST(0 AS DOUBLE) AS c)"]
+    for i in range(NEWTON_STEPS):
+        ctes.append(f"""g{i} AS (
+  SELECT any_value(b1) AS b1, any_value(b2) AS b2, any_value(c) AS c, sum(w * (p - y) * x1) + any_value(b1) AS g1, sum(w * (p - y) * x2) + any_value(b2) AS g2, sum(w * (p - y)) AS g3,
+         sum(w * p * (1 - p) * x1 * x1) + 1 AS a, sum(w * p * (1 - p) * x1 * x2) AS b, sum(w * p * (1 - p) * x1) AS d, sum(w * p * (1 - p) * x2 * x2) + 1 AS e,
+         sum(w * p * (1 - p) * x2) AS f, sum(w * p * (1 - p)) AS h
+  FROM (SELECT base.*, b{i}.*, 1 / (1 + exp(-(b1 * x1 + b2 * x2 + c))) AS p FROM base, b{i} WHERE NOT is_test))""")
+        # the solution of the symmetric system [[a, b, d], [b, e, f], [d, f, h]] by cofactors
+        det = "(a * (e * h - f * f) - b * (b * h - f * d) + d * (b * f - e * d))"
+        ctes.append(f"""b{i + 1} AS (
+  SELECT b1 - ((e * h - f * f) * g1 + (d * f - b * h) * g2 + (b * f - d * e) * g3) / {det} AS b1,
+         b2 - ((d * f - b * h) * g1 + (a * h - d * d) * g2 + (b * d - a * f) * g3) / {det} AS b2,
+         c - ((b * f - d * e) * g1 + (b * d - a * f) * g2 + (a * e - b * b) * g3) / {det} AS c FROM g{i})""")
+    return ctes
+
+
+@query("m6_two_features", q.with_ctes(f"""split AS (
+  SELECT *, row_number() OVER (PARTITION BY category ORDER BY {q.ticket('split')}, id) <= round(0.2 * count(*) OVER (PARTITION BY category)) AS is_test FROM applications
+  WHERE amount IS NOT NULL AND n_lines IS NOT NULL)""", *_newton_sql(), select=f"""
+SELECT id, CAST(y AS INTEGER) AS label, round(1 / (1 + exp(-(b1 * x1 + b2 * x2 + c))), 6) AS score FROM base, b{NEWTON_STEPS} WHERE is_test"""))
+def m6_two(spark, folder):
+    kept = apps(spark, folder).where("amount IS NOT NULL AND n_lines IS NOT NULL").select("id", "amount", "n_lines", "category")
+    ready = staged(features.stratified_split(features.prepare_target(staged(kept, "kept"))), "split")
+    found = training.fit_and_score(ready, [training.held_out()], ["logistic_regression"], ["amount", "n_lines"], ["id"])
+    return found.select("id", "label", F.round("score", 6).alias("score"))
+
+
 def _ready(spark, folder):
     return training.prepare(apps(spark, folder), DOMAIN)
 

@@ -46,12 +46,14 @@ def _weighted(metric: str) -> Column:
     return _ratio(both, F.col("total"))
 
 
+def _scores() -> list[Column]:
+    return [_ratio(F.col("n_00") + F.col("n_11"), F.col("total")).alias("accuracy"),
+            *[_weighted(m).alias(m) for m in ("precision", "recall", "f1")]]
+
+
 def test_metrics(scored: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Accuracy and class-weighted precision, recall and F1."""
-    return _class_metrics(confusion(scored, keys)).select(
-        *keys, _ratio(F.col("n_00") + F.col("n_11"), F.col("total")).alias("accuracy"),
-        _weighted("precision").alias("precision"), _weighted("recall").alias("recall"), _weighted("f1").alias("f1"),
-    )
+    return _class_metrics(confusion(scored, keys)).select(*keys, *_scores())
 
 
 def roc_auc(scored: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -82,16 +84,17 @@ def roc_auc(scored: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 
 
 def evaluate(scored: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """All metrics and the confusion matrix as [[n00, n01], [n10, n11]], one row per key."""
+    """All metrics, the confusion matrix as [[n00, n01], [n10, n11]] and the class report, one row per key.
+
+    All but the ROC area come from one count."""
     cell = lambda y, p: F.col(f"n_{y}{p}")
-    matrix = confusion(scored, keys).select(*keys, F.array(
-        F.array(cell(0, 0), cell(0, 1)), F.array(cell(1, 0), cell(1, 1))).alias("confusion_matrix"))
-    return test_metrics(scored, keys).join(roc_auc(scored, keys), list(keys)).join(matrix, list(keys))
+    matrix = F.array(F.array(cell(0, 0), cell(0, 1)), F.array(cell(1, 0), cell(1, 1)))
+    counted = _class_metrics(confusion(scored, keys))
+    return counted.select(*keys, *_scores(), matrix.alias("confusion_matrix"), F.array(*_report_lines()).alias("classification_report")).join(
+        roc_auc(scored, keys), list(keys))
 
 
-def class_report(scored: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Precision, recall, F1 and support per class, with macro and weighted averages."""
-    counts = _class_metrics(confusion(scored, keys))
+def _report_lines() -> list[Column]:
     line = lambda name, p, r, f, s: F.struct(
         F.lit(name).alias("class"), p.alias("precision"), r.alias("recall"), f.alias("f1"), s.alias("support"))
     rows = [line(CLASS_NAMES[c], F.col(f"precision_{c}"), F.col(f"recall_{c}"), F.col(f"f1_{c}"), F.col(f"support_{c}"))
@@ -99,7 +102,12 @@ def class_report(scored: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     macro = [(F.col(f"{m}_0") + F.col(f"{m}_1")) / 2 for m in ("precision", "recall", "f1")]
     rows.append(line("macro avg", *macro, F.col("total")))
     rows.append(line("weighted avg", *[_weighted(m) for m in ("precision", "recall", "f1")], F.col("total")))
-    return counts.select(*keys, F.inline(F.array(*rows)))
+    return rows
+
+
+def class_report(scored: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Precision, recall, F1 and support per class, with macro and weighted averages."""
+    return _class_metrics(confusion(scored, keys)).select(*keys, F.inline(F.array(*_report_lines())))
 
 
 def fold_scores(scored: DataFrame, model: str = "model", fold: str = "fold") -> DataFrame:

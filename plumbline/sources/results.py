@@ -66,8 +66,8 @@ def ml_result_rows(metrics: DataFrame, summary: DataFrame, *, dataset_id: str, r
                    folds: int, seed: int, created_at: Column | None = None) -> DataFrame:
     """One row per model: test metrics with its cross-validation, which counts as 0 where absent.
 
-    ``metrics`` has model, the metrics, confusion_matrix, is_best_model and may have
-    classification_report; ``summary`` has model, metric, mean, std."""
+    ``metrics`` has model, the metrics, confusion_matrix, is_best_model and may have the lines of
+    classification_report, which are stored as JSON by class; ``summary`` has model, metric, mean, std."""
     cv = summary.groupBy("model").pivot("metric", list(METRICS)).agg(
         F.first("mean").alias("mean"), F.first("std").alias("std"))
     joined = metrics.join(cv, "model", "left")
@@ -79,6 +79,10 @@ def ml_result_rows(metrics: DataFrame, summary: DataFrame, *, dataset_id: str, r
     })
     if "classification_report" not in out.columns:
         out = out.withColumn("classification_report", F.lit(None))
+    elif out.schema["classification_report"].dataType.typeName() == "array":
+        by_class = F.map_from_entries(F.transform("classification_report", lambda x: F.struct(
+            x["class"], F.struct(*[x[n].alias(n) for n in ("precision", "recall", "f1", "support")]))))
+        out = out.withColumn("classification_report", F.to_json(by_class))
     return _conform(out, ML_RESULTS_SCHEMA)
 
 
