@@ -16,6 +16,7 @@ letter sequence, and scoring is exact without visiting a landmark.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import re
 import unicodedata
@@ -35,7 +36,7 @@ CLOSE = 0.5  # units of a document with so large a share of its strongest eviden
 LONGEST, STEP = 24, 12
 LETTERS = 32
 EXACT = LETTERS ** ORDER  # cells of the sequences of a to z
-HASHED = 3 * EXACT  # cells of all other sequences
+HASHED = EXACT  # cells of all other sequences
 SCRAP, JOINED = 2, 8  # letters of the shorter part of a word written in two, and of the whole
 MEMO = 400_000
 
@@ -91,6 +92,7 @@ def _codes(words: list[str]):
     return np.concatenate((np.full((len(words), 1), 27, np.int64), codes), axis=1)
 
 
+@functools.cache
 def _places(length: int):
     """Places of every subsequence within SPAN and its weight, scaled to unit length over the places."""
     import numpy as np
