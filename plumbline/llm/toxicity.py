@@ -39,6 +39,7 @@ EXACT = LETTERS ** ORDER  # cells of the sequences of a to z
 HASHED = EXACT  # cells of all other sequences
 SCRAP, JOINED = 2, 8  # letters of the shorter part of a word written in two, and of the whole
 MEMO = 400_000
+TEXTS = 1_024  # texts whose units are held at once
 
 # Fixed: look-alikes of letters.
 _ALIKE = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s"}
@@ -371,8 +372,8 @@ def score_udf(spark, model):
         import numpy as np
 
         m, out = shared.value, []
-        for at in range(0, len(values), 256):  # units of few texts at a time
-            out += worst([units(v.as_py() or "") for v in values[at:at + 256]], m)
+        for at in range(0, len(values), TEXTS):  # units of few texts at a time
+            out += worst([units(v.as_py() or "") for v in values[at:at + TEXTS]], m)
         return pa.array(1 / (1 + np.exp(-np.clip(m["scale"] * np.array(out) + m["shift"], -50, 50))), pa.float64())
 
     run.__annotations__ = {"values": pa.Array, "return": pa.Array}
