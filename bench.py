@@ -21,7 +21,7 @@ HEADLINE = [
     "e8_suite_results", "e9_unexpected_rows", "x3_unique", "x5_patterns", "c1_missing_values_severe", "c6_conjoined_severe",
     "r5_cap_outliers", "r9_isolation_forest", "r11_chained", "r14_revalidated", "d11_report_shared", "s5_derived_append",
     "q1_lineage", "m5_split", "m9_test_metrics", "m10_roc_auc", "m11_class_report", "m12_cv_summary", "m13_comparison",
-    "f6_arrivals",
+    "f6_arrivals", "m6_logistic_regression", "m7_random_forest", "m14_training_run",
 ]
 
 
