@@ -9,6 +9,7 @@ from catalog import sqltext as q
 from catalog.common import DOMAIN, apps, rounded, shown, staged
 from catalog.registry import query
 from catalog.scores import MODELS, metrics_sql, scored
+from plumbline.functions.cleaning import printed
 from plumbline.operators import corrupt, evaluate, features, models
 from plumbline.plans import training
 
@@ -169,7 +170,7 @@ SELECT model, '{m}' AS metric, round(avg({m}), 6) AS mean, round(stddev_pop({m})
 def m12_summary(spark, folder):
     folded = features.stratified_folds(apps(spark, folder).withColumn("label", F.col("category")))
     summary = evaluate.cv_summary(evaluate.fold_scores(staged(scored(folded, ["fold"]), "scored")))
-    shown_scores = F.array_join(F.transform("all_scores", lambda v: F.format_string("%.4f", v)), ",")
+    shown_scores = F.array_join(F.transform("all_scores", lambda v: printed(v, 4)), ",")
     return rounded(summary.withColumn("all_scores", shown_scores))
 
 
