@@ -27,6 +27,8 @@ from plumbline.sources.staging import staged
 FIT_ROWS = 8_192  # labelled rows that a forest sees; the reference run has a thousand
 BINS = 256
 DEEPEST = 30
+LEAF = 0xFFFF  # the place of a node without a threshold
+BLOCK = 8_192  # rows scored at once: their bins and places stay in a core's cache
 
 NODES = "feature array<int>, threshold array<double>, left array<int>, value array<double>"
 
@@ -111,24 +113,6 @@ def grow(binned, label, weight, edges, tree: int, seed: int, max_depth: int = DE
             "left": np.concatenate(left).astype(np.int32), "value": np.concatenate(value)}
 
 
-def votes(trees: list[dict], points):
-    """Mean share of class 1 over the trees for every row of ``points``."""
-    import numpy as np
-
-    out = np.zeros(len(points))
-    for t in trees:
-        at = np.zeros(len(points), np.int64)
-        active = np.arange(len(points))
-        while len(active):
-            f = t["feature"][at[active]]
-            inner = f >= 0
-            active, f = active[inner], f[inner]
-            here = at[active]
-            at[active] = t["left"][here] + (points[active, f] > t["threshold"][here])
-        out += t["value"][at]
-    return out / max(len(trees), 1)
-
-
 @dataclass(frozen=True)
 class Group:
     """Binned rows of one fit: a model of its own, grown beside the others."""
@@ -207,12 +191,68 @@ class Forest:
             groups.append(group(np.stack(own["features"].to_list()), label, np.where(label == 1, scales[i].weight[1], scales[i].weight[0])))
         forest = grow_all(rows.sparkSession, groups, self.trees, self.max_depth, self.seed)
         models = gathered(forest)
-        return [ForestModel(models[i]) for i in fits]
+        return [ForestModel.of(models[i], width) for i in fits]
 
 
 @dataclass(frozen=True)
 class ForestModel:
-    trees: list[dict]
+    """Trees for scoring. Thresholds are places among the forest's own ones per feature, ``BINS - 1`` at
+    most, and a node is one whole number: left child, feature and place. A leaf is its own left child."""
+
+    edges: list
+    nodes: list
+    values: list
+
+    @classmethod
+    def of(cls, trees: list[dict], width: int) -> "ForestModel":
+        import numpy as np
+
+        edges = [np.unique(np.concatenate([t["threshold"][t["feature"] == f] for t in trees])) for f in range(width)]
+        if max((len(e) for e in edges), default=0) >= LEAF:
+            raise ValueError("too many thresholds")
+        nodes = []
+        for t in trees:
+            feature, inner = np.maximum(t["feature"], 0).astype(np.int64), t["feature"] >= 0
+            place = np.full(len(feature), LEAF, np.int64)
+            for f in np.unique(feature[inner]):
+                mine = inner & (feature == f)
+                place[mine] = np.searchsorted(edges[f], t["threshold"][mine])
+            left = np.where(inner, t["left"], np.arange(len(feature))).astype(np.int64)
+            nodes.append(left << 32 | feature << 16 | place)
+        return cls(edges, nodes, [t["value"] for t in trees])
 
     def scores(self, points):
-        return votes(self.trees, points)
+        """Mean share of class 1 over the trees for every row of ``points``."""
+        import numpy as np
+
+        parts = [self._scores(points[i:i + BLOCK]) for i in range(0, len(points), BLOCK)]
+        return np.concatenate(parts) if parts else np.zeros(0)
+
+    def _scores(self, points):
+        import numpy as np
+
+        n, width = points.shape
+        out, first = np.zeros(n), np.arange(n) * width
+        bins = np.zeros((n, width), np.uint8 if max((len(e) for e in self.edges), default=0) < 256 else np.uint16)
+        for f, edges in enumerate(self.edges):
+            bins[:, f] = np.where(np.isnan(points[:, f]), 0, np.searchsorted(edges, points[:, f], "left"))  # NaN is below every threshold
+        bins = bins.ravel()
+        for nodes, value in zip(self.nodes, self.values):
+            at, start, rows, level = np.zeros(n, np.int64), first, None, 0
+            while True:
+                node = nodes.take(at)
+                place = node & LEAF
+                if level % 2 == 0 and (level >= 10 or len(nodes) < 1024):  # most rows of a deep tree end below
+                    inner = np.flatnonzero(place != LEAF)
+                    if rows is None:
+                        end, rows = at, inner
+                    else:
+                        end[rows] = at
+                        rows = rows.take(inner)
+                    if not len(inner):
+                        break
+                    node, place, start = node.take(inner), place.take(inner), start.take(inner)
+                at = (node >> 32) + (bins.take(start + (node >> 16 & LEAF)) > place)
+                level += 1
+            out += value.take(end)
+        return out / max(len(self.nodes), 1)

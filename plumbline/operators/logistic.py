@@ -10,10 +10,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 
+def matrix(column, width: int):
+    """Rows of an Arrow column of number lists, all ``width`` long, as they lie in memory."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), width)
+
+
 @dataclass(frozen=True)
 class Scale:
     """What a fit takes from its training rows: means and deviations of the leading columns, class weights."""
@@ -99,6 +103,7 @@ class LogisticRegression:
     @staticmethod
     def _pass(spark, rows: DataFrame, scales: list[Scale], betas: dict, d: int) -> dict:
         import numpy as np
+        import pyarrow as pa
 
         shared = spark.sparkContext.broadcast((scales, betas))
 
@@ -106,19 +111,19 @@ class LogisticRegression:
             scales, betas = shared.value
             total: dict = {}
             for batch in batches:
-                if not len(batch):
+                if not batch.num_rows:
                     continue
-                points, label = np.stack(batch["features"].to_list()), batch["label"].to_numpy(float)
-                trains = np.stack(batch["trains"].to_list()).astype(bool)
+                points, label = matrix(batch["features"], d - 1), batch["label"].to_numpy(zero_copy_only=False).astype(float)
+                trains = matrix(batch["trains"], len(scales))
                 for i, beta in betas.items():
                     mine = trains[:, i]
                     y = label[mine]
                     weight = np.where(y == 1, scales[i].weight[1], scales[i].weight[0])
                     total[i] = total.get(i, 0) + _sums(scales[i].apply(points[mine]), y, weight, beta)
             for i, values in total.items():
-                yield pd.DataFrame({"fit": i, "cell": np.arange(len(values)), "value": values})
+                yield pa.record_batch({"fit": pa.array(np.full(len(values), i, np.int32)), "cell": pa.array(np.arange(len(values), dtype=np.int32)), "value": pa.array(values)})
 
-        parts = rows.select("features", "label", "trains").mapInPandas(run, "fit int, cell int, value double")
+        parts = rows.select("features", "label", "trains").mapInArrow(run, "fit int, cell int, value double")
         added = parts.groupBy("fit", "cell").agg(F.sum("value").alias("value")).toPandas()  # fits x (1 + d + d * d) rows
         out = {}
         for i, cells in added.groupby("fit"):

@@ -2,24 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, replace
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from plumbline.domain import CREDIT, Domain
 from plumbline.functions.cleaning import numeric_columns
 from plumbline.operators import drift, evaluate, features, models, stats
-from plumbline.operators.logistic import Scale
+from plumbline.operators.logistic import Scale, matrix
 from plumbline.sources import results as result_tables
 from plumbline.sources.layers import LayerStore
 from plumbline.sources.staging import staged
 
 # Run parameters (fixed values).
 TEST_SIZE, FOLDS, SEED = 0.2, 5, 42
+SCORED_TOGETHER = 16_384  # rows that a task scores in one call
 
 
 @dataclass(frozen=True)
@@ -41,7 +42,7 @@ def prepare(df: DataFrame, domain: Domain = CREDIT, *, key: str = "id", seed: in
     ``impute_on="all"`` takes the fill values from the whole table, "train" from its training rows."""
     if impute_on not in ("all", "train"):
         raise ValueError(f"impute_on must be 'all' or 'train': {impute_on}")
-    kept = df.select(key, *domain.features, domain.target)
+    kept = staged(df.select(key, *domain.features, domain.target), "kept")  # every count below is a pass of its own
     labelled = features.prepare_target(kept, domain.target)
     split = features.stratified_folds(
         features.stratified_split(labelled, test_size=test_size, key=key, seed=seed), folds=folds, key=key, seed=seed)
@@ -100,25 +101,49 @@ def fit_and_score(ready: DataFrame, runs: Sequence[Run], names: Sequence[str], c
         if hasattr(settings, "key"):
             settings = replace(settings, key=key)
         fitted[name] = settings.fit_all(vectors, scales, width)
-    shared = ready.sparkSession.sparkContext.broadcast(fitted)
-
-    def scores(points: pd.Series, run: pd.Series) -> pd.Series:
-        x = np.stack(points.to_list()) if len(points) else np.zeros((0, width))
-        out, run = np.zeros((len(x), len(names))), run.to_numpy()
-        for j, name in enumerate(names):
-            for i in np.unique(run):
-                out[run == i, j] = shared.value[name][i].scores(x[run == i])
-        return pd.Series(list(out))
-
-    scores = F.pandas_udf(scores, "array<double>")
-    tested = F.filter(F.sequence(F.lit(0), F.lit(len(runs) - 1)), lambda i: F.get("tests", i))
-    rows = vectors.select(*keep, "label", "features", F.explode(tested).alias("run"))
-    rows = rows.select(*keep, "label", "run", scores("features", "run").alias("scores"))
+    rows = _scored(vectors, fitted, names, keep, width)
     each = F.array(*[F.struct(F.lit(name).alias("model"), F.col("scores")[j].alias("score")) for j, name in enumerate(names)])
     rows = rows.select(*keep, "run", "label", F.inline(each))
     return rows.select(*keep, "run", "model", "label", (F.col("score") > 0.5).cast("int").alias("prediction"), "score")
 
 
+def _scored(vectors: DataFrame, fitted: Mapping[str, list], names: Sequence[str], keep: Sequence[str], width: int) -> DataFrame:
+    """``(keep, run, label, scores)`` for every row and run that tests it. A task's rows of one run are scored
+    ``SCORED_TOGETHER`` at a time, since a tree costs the same few calls for one row and for many."""
+    shared = vectors.sparkSession.sparkContext.broadcast(fitted)
+
+    def score(i: int, parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+        x = matrix(rows["features"], width)
+        scores = np.stack([shared.value[name][i].scores(x) for name in names], axis=1)
+        ends = pa.array(np.arange(0, scores.size + 1, len(names), dtype=np.int32))
+        return pa.RecordBatch.from_arrays(
+            [*[rows[c] for c in keep], pa.array(np.full(len(x), i, np.int32)), rows["label"], pa.ListArray.from_arrays(ends, pa.array(scores.ravel()))],
+            [*keep, "run", "label", "scores"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: dict[int, list[pa.RecordBatch]] = {}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            tests = matrix(batch["tests"], len(batch["tests"][0]))
+            for i in range(tests.shape[1]):
+                mine = batch.filter(pa.array(tests[:, i]))
+                if not mine.num_rows:
+                    continue
+                parts = waiting.setdefault(i, [])
+                parts.append(mine)
+                if sum(p.num_rows for p in parts) >= SCORED_TOGETHER:
+                    yield score(i, waiting.pop(i))
+        for i, parts in waiting.items():
+            yield score(i, parts)
+
+    rows = vectors.select(*keep, "label", "features", "tests")
+    kept = T.StructType([rows.schema[c] for c in keep])
+    out = kept.add("run", T.IntegerType()).add("label", T.IntegerType()).add("scores", T.ArrayType(T.DoubleType()))
+    return rows.mapInArrow(run, out)
+
+
 def held_out() -> Run:
     return Run(~F.col("is_test"), F.col("is_test"))
 

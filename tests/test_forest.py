@@ -134,3 +134,42 @@ def test_separable_classes_end(spark):
 def test_no_rows(spark, ready):
     with pytest.raises(ValueError):
         training.fit_and_score(ready.limit(0), [training.held_out()], ["random_forest"], COLUMNS, ["id"])
+
+
+def walked(trees, points):
+    """Every row down every tree, node by node."""
+    out = np.zeros(len(points))
+    for t in trees:
+        for i, x in enumerate(points):
+            at = 0
+            while t["feature"][at] >= 0:
+                at = t["left"][at] + (x[t["feature"][at]] > t["threshold"][at])
+            out[i] += t["value"][at]
+    return out / len(trees)
+
+
+def test_scores_are_those_of_a_plain_walk():
+    x, y, w = data(3000)
+    g = forest.group(x, y, w)
+    for depth in (0, 1, 6, 30):
+        trees = [forest.grow(g.binned, g.label, g.weight, g.edges, t, 42, depth) for t in range(6)]
+        points = np.vstack([x[:200], np.where(x[:200] > x.mean(axis=0), np.nan, x[:200]), [[e[0] for e in g.edges], [np.inf] * 4, [-np.inf] * 4]])
+        assert (forest.ForestModel.of(trees, 4).scores(points) == walked(trees, points)).all()
+
+
+def test_preparing_reads_its_input_once(spark, ready, monkeypatch):
+    """The counts, cuts and medians of a training run over what was written, not over the query before it."""
+    from plumbline.domain import CREDIT
+    n = 300
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    names = {c: t for c, t in CREDIT.columns.items()}
+    columns = [(F.lit(None).cast("string") if t == "string" else (F.col("id") % 7 + 1).cast(t)).alias(c) for c, t in names.items() if c != CREDIT.target]
+    rows = spark.range(n).select("id", *columns, (F.col("id") % 2 + 1).cast(names[CREDIT.target]).alias(CREDIT.target))
+    made = training.prepare(rows.mapInPandas(count, rows.schema), CREDIT)
+    assert made.count() == n and seen.value == n
