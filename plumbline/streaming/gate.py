@@ -10,7 +10,9 @@ expects have been counted.
 from __future__ import annotations
 
 import os
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from plumbline.functions.cleaning import nan_to_null
@@ -36,8 +38,10 @@ def validate_arrivals(spark: SparkSession, source: str, schema: T.StructType, su
         made = MergeableSuite(batch.drop("_file"), suite)
         parts = {"counters": made.partial(batch, KEYS), "values": made.values(batch, KEYS),
                  "files": batch.groupBy(*KEYS).agg(F.count_distinct("_file").alias("n_files"))}  # a file is never cut by a batch
-        for name in TABLES:
-            _write(parts[name], sink, name, BATCH, number)
+        # side by side: a batch of few files leaves most cores free
+        with ThreadPoolExecutor(len(TABLES)) as pool:
+            for job in [pool.submit(inheritable_thread_target(batch.sparkSession)(_write), parts[name], sink, name, BATCH, number) for name in TABLES]:
+                job.result()
 
     writer = rows.writeStream.foreachBatch(count).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()

@@ -149,3 +149,12 @@ def test_no_stage_without_a_folder(spark, monkeypatch):
 
     with pytest.raises(RuntimeError):
         staging.shared_folder(Bare)
+
+
+@pytest.mark.parametrize("name", ["f6_measures", "e8_measures_by_group", "f6_arrivals"])
+def test_orders_are_joined_once_for_both_versions(spark, monkeypatch, name):
+    from catalog import QUERIES, common
+    asked, plain = [], common.applications
+    monkeypatch.setattr(common, "applications", lambda *args: asked.append(args) or plain(*args))
+    QUERIES[name](spark, "/root/testdata/sf0.001").collect()
+    assert len(asked) == 1
