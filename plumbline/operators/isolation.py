@@ -110,17 +110,39 @@ def fit(df: DataFrame, columns: Sequence[str], *, key: str = "id", seed: int = 4
     }
 
 
+def perfect(forest: dict) -> tuple[list, np.ndarray, np.ndarray]:
+    """The trees as perfect ones, children of i at 2i + 1 and 2i + 2: per feature the forest's own thresholds,
+    per tree and inner node its feature and the place of its threshold, per tree and lowest node its length.
+    What hangs below a leaf repeats its length."""
+    trees, depth = len(forest["feature"]), forest["depth"]
+    edges = [np.unique(forest["threshold"][(forest["feature"] == f) & (forest["left"] != np.arange(forest["left"].shape[1]))])
+             for f in range(len(forest["columns"]))]
+    each, at = np.arange(trees)[:, None], np.zeros((trees, 1), np.int64)
+    nodes = []
+    for _ in range(depth):
+        feature, threshold = forest["feature"][each, at], forest["threshold"][each, at]
+        left, right = forest["left"][each, at], forest["right"][each, at]
+        place = np.zeros(at.shape, np.int64)
+        for f, own in enumerate(edges):
+            place = np.where(feature == f, np.searchsorted(own, threshold), place)
+        nodes.append(feature.astype(np.int64) << 32 | place)
+        at = np.stack([left, right], axis=2).reshape(trees, -1)
+    return edges, np.concatenate(nodes, axis=1) if nodes else np.zeros((trees, 0), np.int64), forest["length"][each, at]
+
+
 def path_scores(forest: dict, x: np.ndarray) -> np.ndarray:
-    """Anomaly score in (0, 1], higher is more isolated."""
-    total = np.zeros(len(x))
-    every = np.arange(len(x))
-    for t in range(len(forest["feature"])):
-        at = np.zeros(len(x), dtype=np.int32)
+    """Anomaly score in (0, 1], higher is more isolated. Rows go down all trees as places among the thresholds."""
+    edges, nodes, lengths = perfect(forest)
+    n, width = x.shape
+    bins = np.stack([np.searchsorted(e, x[:, f], "left") for f, e in enumerate(edges)], axis=1).astype(np.int32).ravel()
+    first, total = np.arange(n) * width, np.zeros(n)
+    for node, length in zip(nodes, lengths):
+        at = np.zeros(n, np.int64)
         for _ in range(forest["depth"]):
-            go_left = x[every, forest["feature"][t][at]] <= forest["threshold"][t][at]
-            at = np.where(go_left, forest["left"][t][at], forest["right"][t][at])
-        total += forest["length"][t][at]
-    return 2.0 ** (-(total / len(forest["feature"])) / forest["norm"])
+            here = node.take(at)
+            at = 2 * at + 1 + (bins.take(first + (here >> 32)) > (here & 0xFFFFFFFF))
+        total += length.take(at - len(node))
+    return 2.0 ** (-(total / len(nodes)) / forest["norm"])
 
 
 def score(df: DataFrame, forest: dict, output: str = "anomaly_score") -> DataFrame:

@@ -198,3 +198,25 @@ def test_forest_on_a_tiny_table(spark):
     df = spark.createDataFrame([(i, float(i % 4)) for i in range(9)], "id bigint, x double")
     forest = isolation.fit(df, ["x"], trees=5)
     assert 0 < isolation.path_scores(forest, np.array([[1.0]]))[0] <= 1
+
+
+def test_path_scores_are_those_of_a_plain_walk():
+    """Also where trees end early; at most two array lookups a level."""
+    from plumbline.operators import isolation
+    rng = np.random.default_rng(3)
+    x = np.column_stack([rng.normal(size=500).round(1), rng.integers(0, 3, 500), np.zeros(500)]).astype(float)
+    for limit in (1, 4, 8):
+        trees = [isolation.grow(x[rng.choice(500, 60)], rng, limit) for _ in range(10)] + [isolation.grow(x[:1], rng, limit)]
+        width = max(len(t["feature"]) for t in trees)
+        stack = lambda n, k: np.array([t[n] + [0] * (width - len(t[n])) for t in trees], dtype=k)
+        forest = {"columns": list("abc"), "depth": limit, "norm": 2.5, "feature": stack("feature", np.int32), "threshold": stack("threshold", float),
+                  "left": stack("left", np.int32), "right": stack("right", np.int32), "length": stack("length", float)}
+        total = np.zeros(len(x))
+        for t in trees:
+            at = np.zeros(len(x), int)
+            for _ in range(limit):
+                low = x[np.arange(len(x)), np.array(t["feature"])[at]] <= np.array(t["threshold"])[at]
+                at = np.where(low, np.array(t["left"])[at], np.array(t["right"])[at])
+            total += np.array(t["length"])[at]
+        assert (isolation.path_scores(forest, x) == 2.0 ** (-(total / len(trees)) / 2.5)).all()
+        assert isolation.perfect(forest)[1].shape == (len(trees), 2 ** limit - 1)

@@ -99,3 +99,15 @@ def test_draws_use_high_key_bits(spark):
     df = spark.range(20000).select((F.col("id") * 4294967296).alias("id"))
     got = with_key(df, "id").agg(F.avg(uniform("one")), F.count_distinct(ticket("t"))).first()
     assert abs(got[0] - 0.5) < 0.01 and got[1] == 20000
+
+
+def test_later_passes_key_the_open_cells_only(numbers, monkeypatch):
+    """After the first pass only values in the cells that are still searched get a key."""
+    sizes, plain = [], stats._ordered_key
+    monkeypatch.setattr(stats, "_ordered_key", lambda rows: sizes.append(rows.count()) or plain(rows))
+    x = numbers.select((F.col("id") * 7919 % 30011 - F.lit(15000) + F.lit(0.123)).alias("x"))
+    for p in (0.001, 0.3, 0.97):
+        sizes.clear()
+        got = stats.quantiles(x, {"x": (F.col("x"), [p])})["x"][0]
+        assert got == pytest.approx(np.quantile([r["x"] for r in x.collect()], p))
+        assert sizes[0] == 30000 and len(sizes) > 1 and max(sizes[1:]) < 300
