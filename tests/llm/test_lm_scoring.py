@@ -2,6 +2,11 @@
 
 import math
 from collections import Counter
+from types import SimpleNamespace
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 
 from plumbline.llm import lm_scoring
 
@@ -70,3 +75,35 @@ def test_whole_models_grow_with_the_corpus(spark, monkeypatch):
         got = sorted(map(tuple, lm_scoring.score(rows, known).collect()), key=lambda r: str(r[:2]))
         for a, b in zip(got, expected, strict=True):
             assert a[:2] == b[:2] and all(math.isclose(x, y, abs_tol=1e-9) for x, y in zip(a[2:], b[2:]))
+
+
+def test_many_buckets(spark, monkeypatch):
+    docs = DOCS + [(100 + i, " ".join(f"w{(i * 37 + j * j) % 300} v{j % 7}" for j in range(60))) for i in range(40)]
+    labels = LABELS + [(100 + i, 1, 0) for i in range(0, 40, 3)]
+    rows = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    for name, value in (("BUCKET", 400), ("HOT", 300), ("TOP", 10)):
+        monkeypatch.setattr(lm_scoring, name, value)
+    got = sorted(map(tuple, lm_scoring.score(rows, known).collect()), key=lambda r: str(r[:2]))
+    for a, b in zip(got, brute(docs, labels, 10 ** 9, 10 ** 9, lm_scoring.PRIOR), strict=True):
+        assert a[:2] == b[:2] and all(math.isclose(x, y, abs_tol=1e-9) for x, y in zip(a[2:], b[2:]))
+
+
+def test_dealt_tokens_are_a_few_bytes(monkeypatch):
+    """Every token not known at hand is dealt out once, in fewer bytes than its 64-bit key and row would take."""
+    draw = np.random.default_rng(1)
+    texts = [" ".join(f"w{x}" for x in draw.zipf(1.3, 400) % 50_000) for _ in range(300)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array([i % 3 == 0 or None for i in range(300)]), pa.array(np.arange(300) + 7)], names=("t", "good", "row"))
+    monkeypatch.setattr(lm_scoring, "SLICE", 300_000)
+    assert len(list(lm_scoring._slices([batch]))) > 1
+    counts = pa.Table.from_batches(lm_scoring._count_keys([batch])).group_by("key").aggregate([(x, "sum") for x in ("t", "b", "ct", "cb")]).sort_by("key")
+    tokens = sum(counts["b_sum"].to_pylist())
+    assert tokens == 300 * 400 and sum(counts["cb_sum"].to_pylist()) == tokens
+    hot = counts.filter(pa.compute.or_(pa.compute.greater(counts["b_sum"], 20), pa.compute.equal(counts["key"], 0)))
+    m = {x.split("_")[0]: hot[x].to_numpy() for x in hot.column_names} | {"nt": 1.0, "nb": 1.0, "top": np.zeros(0, int), "cell": np.zeros(0, int)}
+    shared = SimpleNamespace(value=m | {"cell_t": np.zeros(0), "cell_b": np.zeros(0)})
+    dealt = pa.Table.from_batches(lm_scoring._deal(shared, lm_scoring.PRIOR, 4)([batch]))
+    rare = tokens - sum(hot["b_sum"].to_pylist())
+    n = {kind: sum(x for x, k in zip(dealt["n"].to_pylist(), dealt["kind"].to_pylist()) if k == kind) for kind in range(3)}
+    assert n[lm_scoring._OTHERS] == rare and n[lm_scoring._HOT_PAIRS] + rare <= tokens and n[lm_scoring._SUMS] == 300
+    assert dealt.nbytes < 10 * tokens
