@@ -173,3 +173,25 @@ def test_preparing_reads_its_input_once(spark, ready, monkeypatch):
     rows = spark.range(n).select("id", *columns, (F.col("id") % 2 + 1).cast(names[CREDIT.target]).alias(CREDIT.target))
     made = training.prepare(rows.mapInPandas(count, rows.schema), CREDIT)
     assert made.count() == n and seen.value == n
+
+
+def test_many_rows_are_scored_without_walking(monkeypatch):
+    """Leaves of one class and of both, trees of one node, NaN: the scores of the walk to the last bit, and no walk."""
+    draw = np.random.default_rng(5)
+    n = 600
+    x = np.column_stack([draw.normal(size=n), draw.integers(0, 4, n), draw.integers(0, 2, (n, 2))]).astype(float)
+    label = (x[:, 0] + x[:, 2] + draw.normal(size=n) > 0).astype(float)
+    label[x[:, 1] == 3] = 1
+    many = np.column_stack([draw.normal(size=forest.MANY + 77), draw.integers(0, 5, (forest.MANY + 77, 3))]).astype(float)
+    many[draw.random(many.shape) < 0.01] = np.nan
+    for columns, y in ((4, label), (2, label), (4, np.ones(n)), (4, np.zeros(n))):
+        own = x if columns == 4 else np.column_stack([np.round(x[:, :1]), x[:, 1:2], np.zeros((n, 2))])
+        g = forest.group(own, y, np.where(y == 1, 0.7, 1.3))
+        trees = [forest.grow(g.binned, g.label, g.weight, g.edges, i, 7) for i in range(12)]
+        mixed = [((t["feature"] < 0) & (t["value"] > 0) & (t["value"] < 1)).sum() for t in trees]
+        assert max(mixed) <= forest.MIXED and (columns == 4 or min(mixed) > 0)
+        model = forest.ForestModel.of(trees, 4)
+        with monkeypatch.context() as patch:
+            patch.setattr(forest.ForestModel, "_walk", None)
+            scores = model.scores(many)
+        assert (scores == walked(trees, many)).all()
