@@ -30,3 +30,11 @@ def test_entry(spark):
     import __spark_entry__ as entry
     assert entry.entry(spark).first()["decision"] in ("ml", "remediate")
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_files_of_a_load_are_written_by_the_whole_cluster():
+    from types import SimpleNamespace
+
+    from catalog import flow
+    session = lambda n: SimpleNamespace(sparkContext=SimpleNamespace(defaultParallelism=n))
+    assert flow._files(session(2)) == 5 and flow._files(session(12)) == 12
