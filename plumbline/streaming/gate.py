@@ -19,6 +19,7 @@ from plumbline.functions.cleaning import nan_to_null
 from plumbline.operators.expectations import Suite
 from plumbline.operators.expectations.run import MergeableSuite
 from plumbline.plans.flows import gate
+from plumbline.sources.staging import staged
 
 KEYS = ["dataset_id"]
 TABLES = ("counters", "values", "files")
@@ -79,10 +80,10 @@ def compact(spark: SparkSession, schema: T.StructType, suite: Suite, sink: str,
 
 
 def arrived_results(spark: SparkSession, schema: T.StructType, suite: Suite, sink: str) -> DataFrame:
-    """Result rows per dataset from all batches so far."""
+    """Result rows per dataset from all batches so far, written once: a batch that runs again replaces the files read here."""
     made = MergeableSuite(spark.createDataFrame([], schema), suite)
     counters, values = _current(spark, sink, "counters"), _current(spark, sink, "values")
-    return made.judged(made.merged(counters, KEYS), made.merged_values(values, KEYS), KEYS)
+    return staged(made.judged(made.merged(counters, KEYS), made.merged_values(values, KEYS), KEYS), "arrived")
 
 
 def arrived_decisions(spark: SparkSession, schema: T.StructType, suite: Suite, sink: str, manifest: DataFrame,
